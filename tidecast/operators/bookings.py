@@ -70,7 +70,7 @@ def booking_dow_by_origin(b: DataFrame, oset: OriginSet) -> DataFrame:
              .agg(F.sum("reserve_visitors").alias("_s"), F.count("reserve_visitors").alias("_n")))
     q = F.datediff(F.lit(oset.ini), F.col("reserve_date")) - F.lit(oset.gap)
     hi = F.least(F.lit(oset.count), (F.ceil(q / F.lit(float(oset.skip))) - 1).cast("int"))
-    ex = daily.where(hi >= 1).withColumn("origin_id", F.explode(F.sequence(F.lit(1), hi)).cast("long"))
+    ex = daily.where(hi >= 1).withColumn("origin_id", F.explode(F.sequence(F.lit(1).cast("long"), hi.cast("long"))))
     per_day = ex.groupBy("origin_id", "store_id", "visit_date", "dow").agg(
         (F.sum("_s") / F.sum("_n")).alias("_m"), F.sum("_n").alias("_c"))
     return per_day.groupBy("origin_id", "store_id", "dow").agg(

@@ -49,11 +49,16 @@ def column_medians(df: DataFrame, cols: Sequence[str], partitions: int | None =
         .alias("median")).select(F.col("c").alias("name"), "median")
 
 
-def medians_scalar(df: DataFrame, cols: Sequence[str]) -> Column:
-    """Medians as one struct-valued scalar subquery (field per column)."""
-    med = column_medians(df, cols)
-    row = med.agg(F.struct(*[F.max(F.when(F.col("name") == c, F.col("median"))).alias(c) for c in cols]))
-    return row.scalar()
+def with_medians(df: DataFrame, cols: Sequence[str], src: DataFrame | None = None,
+                 prefix: str = "_med_") -> DataFrame:
+    """Attach the exact medians of ``cols`` (over ``src``, default ``df``) as
+    columns ``<prefix><col>``. The medians are one row, joined on a constant
+    key with a broadcast hint: a proven one-row side, computed once."""
+    src = df if src is None else src
+    med = column_medians(src, cols)
+    row = med.agg(*[F.max(F.when(F.col("name") == c, F.col("median"))).alias(f"{prefix}{c}") for c in cols])
+    row = row.withColumn("_one", F.lit(1))
+    return df.withColumn("_one", F.lit(1)).join(F.broadcast(row), "_one").drop("_one")
 
 
 def impute_sentinel(df: DataFrame, cols: Sequence[str], sentinel=-1,
@@ -64,9 +69,10 @@ def impute_sentinel(df: DataFrame, cols: Sequence[str], sentinel=-1,
     if exclude_sentinel:
         # Non-sentinel values only: turn sentinels into nulls for the median.
         src = df.select(*[F.when(F.col(c) != sentinel, F.col(c)).alias(c) for c in cols])
-    med = medians_scalar(src, cols)
-    return df.withColumns({c: F.when(F.col(c) == sentinel, med[c]).otherwise(F.col(c).cast("double"))
+    out = with_medians(df, cols, src)
+    out = out.withColumns({c: F.when(F.col(c) == sentinel, F.col(f"_med_{c}")).otherwise(F.col(c).cast("double"))
                            for c in cols})
+    return out.drop(*[f"_med_{c}" for c in cols])
 
 
 def replace_inf_zero(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -77,10 +83,13 @@ def replace_inf_zero(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def replace_inf_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """-inf -> median, then +inf -> median recomputed after that step."""
-    m1 = medians_scalar(df, cols)
-    step1 = df.withColumns({c: F.when(F.col(c) == F.lit(-INF), m1[c]).otherwise(F.col(c)) for c in cols})
-    m2 = medians_scalar(step1, cols)
-    return step1.withColumns({c: F.when(F.col(c) == F.lit(INF), m2[c]).otherwise(F.col(c)) for c in cols})
+    s1 = with_medians(df, cols)
+    s1 = s1.withColumns({c: F.when(F.col(c) == F.lit(-INF), F.col(f"_med_{c}")).otherwise(F.col(c))
+                         for c in cols}).drop(*[f"_med_{c}" for c in cols])
+    s2 = with_medians(s1, cols)
+    s2 = s2.withColumns({c: F.when(F.col(c) == F.lit(INF), F.col(f"_med_{c}")).otherwise(F.col(c))
+                         for c in cols})
+    return s2.drop(*[f"_med_{c}" for c in cols])
 
 
 def union_train_test(train: DataFrame, test: DataFrame, label: str = "visitors") -> DataFrame:

@@ -46,11 +46,13 @@ def target_encode_oof(targets: DataFrame, keysets: Mapping[str, Sequence[str]] =
     N_key,fold), null when the other folds have no row."""
     out = targets
     for name, cols in keysets.items():
-        per_fold = targets.groupBy(*by, *cols, fold).agg(F.sum(y).alias("_s"), F.count(y).alias("_n"))
-        tot = per_fold.groupBy(*by, *cols).agg(F.sum("_s").alias("_S"), F.sum("_n").alias("_N"))
+        per_fold = targets.groupBy(*by, *cols, fold).agg(F.sum(y).alias("_fold_sum"),
+                                                         F.count(y).alias("_fold_cnt"))
+        tot = per_fold.groupBy(*by, *cols).agg(F.sum("_fold_sum").alias("_key_sum"),
+                                               F.sum("_fold_cnt").alias("_key_cnt"))
+        rest_n = F.col("_key_cnt") - F.col("_fold_cnt")
         enc = per_fold.join(tot, on=[*by, *cols]).select(
             *by, *cols, fold,
-            F.when(F.col("_N") - F.col("_n") > 0,
-                   (F.col("_S") - F.col("_s")) / (F.col("_N") - F.col("_n"))).alias(name))
+            F.when(rest_n > 0, (F.col("_key_sum") - F.col("_fold_sum")) / rest_n).alias(name))
         out = out.join(enc, on=[*by, *cols, fold], how="left")
     return out

@@ -84,7 +84,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
           AS lead_hours_mod24,
         reserve_visitors FROM bookings"""),
     "weather": ((), """SELECT replace(r.r_name, ' ', '-') AS prefecture, CAST(o.o_orderdate AS DATE) AS visit_date,
-        CAST(COUNT(*) AS DOUBLE) AS rainfall, MAX(o.o_totalprice) / 100000.0 AS wind_max,
+        CAST(COUNT(*) AS DOUBLE) AS rainfall, MAX(o.o_totalprice) / 1000.0 AS wind_max,
         MIN(o.o_orderpriority) AS weather_daytime
         FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
         JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
@@ -337,8 +337,6 @@ def _q() -> dict[str, str]:
     # step 7
     lagd = _lag_names(days=DAY_LAGS)
     cols, joins = _lag_sql(lagd)
-    raw = ", ".join(f"{n}_.y AS {n}" for n in [])  # placeholder (kept simple below)
-    del raw
     lag_raw = ", ".join(f"g{i}.y AS {n}" for i, n in enumerate(lagd))
     ld_train = f"SELECT t.origin_id, t.store_id, t.visit_date, {lag_raw} FROM o9 t {joins}"
     ld_test = f"SELECT t.origin_id, t.store_id, t.visit_date, {lag_raw} FROM t39 t {joins}"
@@ -368,7 +366,6 @@ def _q() -> dict[str, str]:
         "SELECT origin_id, store_id, " + ", ".join(f"{r(f'CASE WHEN isinf({c}) THEN 0 ELSE {c} END')} AS {c}"
                                                    for c in scale_cols) + " FROM sc",
         "origins9", "hist", extra={"sc": sc_src})
-    q["_impute_inf_median_unrounded"] = ""  # marker, replaced below
     # Medians over unrounded values: rebuild the scale columns without rounding.
     src_u, _ = _trailing_sql(TRAIL_DAYS)
     outer_u = ["origin_id", "store_id"]
@@ -381,7 +378,6 @@ def _q() -> dict[str, str]:
                    for c in scale_cols)
     s2 = ", ".join(f"{r(f'CASE WHEN {c} = CAST(' + chr(39) + 'Infinity' + chr(39) + f' AS DOUBLE) THEN (SELECT {c} FROM m2) ELSE {c} END')} AS {c}"
                    for c in scale_cols)
-    del q["_impute_inf_median_unrounded"]
     q["impute_inf_median"] = with_views(
         f"SELECT origin_id, store_id, {s2} FROM st1", "origins9", "hist",
         extra={"sc": sc_u, "m1": f"SELECT {m1} FROM sc", "st1": f"SELECT origin_id, store_id, {s1} FROM sc",
@@ -399,4 +395,120 @@ def _q() -> dict[str, str]:
         + ", ".join(f"CAST(c.dow = {i} AS BIGINT) AS dow_{i}" for i in range(1, 7)) + ", "
         + ", ".join(lag_sel[n] for n in ("lag_10d", "lag_20d", "lag_30d", "lag_1d", "lag_3d", "lag_5d"))
         + f" FROM o9 t LEFT JOIN cal_pad c ON c.visit_date = t.visit_date {joins}", "o9", "hist", "cal_pad")
+    q.update(_q_step8())
+    return q
+
+
+# ---- step 8: naive forecasters, ensemble, scores, submission ----------------
+def _naive_test_ctes():
+    return {
+        "h": f"SELECT * FROM hist WHERE visit_date < {D0}",
+        "nl0": "SELECT store_id, dow, SUM(weight * y) / SUM(weight) AS wm FROM h GROUP BY 1, 2",
+        "nl1": "SELECT store_id, AVG(y) AS mn FROM h GROUP BY 1",
+        "ntr": f"SELECT store_id, AVG(y) AS m FROM h WHERE visit_date >= {D0} - 50 GROUP BY 1",
+        "np": """SELECT t.store_id, t.visit_date, t.flag, COALESCE(nl0.wm, nl1.mn) AS pred_1,
+            COALESCE(g.y, nl0.wm, nl1.mn) AS pred_2, ntr.m AS pred_3
+            FROM t39 t LEFT JOIN nl0 ON nl0.store_id = t.store_id AND nl0.dow = t.dow
+            LEFT JOIN nl1 ON nl1.store_id = t.store_id
+            LEFT JOIN hist g ON g.store_id = t.store_id AND g.visit_date = t.visit_date - 49
+              AND g.visit_date < t.cutoff
+            LEFT JOIN ntr ON ntr.store_id = t.store_id""",
+        "npl": """SELECT 1 AS model_id, store_id, visit_date, flag, pred_1 AS pred FROM np
+            UNION ALL SELECT 2, store_id, visit_date, flag, pred_2 FROM np
+            UNION ALL SELECT 3, store_id, visit_date, flag, pred_3 FROM np""",
+    }
+
+
+def _blend_expr(weights: dict, prefix="np."):
+    allp = " AND ".join(f"{prefix}pred_{m} IS NOT NULL" for m in weights)
+    s = " + ".join(f"CAST({w!r} AS DOUBLE) * {prefix}pred_{m}" for m, w in weights.items())
+    return f"CASE WHEN {allp} THEN {s} END"
+
+
+def _q_step8() -> dict[str, str]:
+    from tidecast.plans.catalog import BLEND_WEIGHTS, DATE_FACTORS, EQUAL_WEIGHTS, THIRD_LAYER_ALPHA
+    q: dict[str, str] = {}
+    nt = _naive_test_ctes()
+    views = ("t39", "hist")
+    q["backtest_split"] = with_views(
+        "SELECT n, part, CAST(COUNT(*) AS BIGINT) AS n_rows, MIN(visit_date) AS min_date, "
+        "MAX(visit_date) AS max_date FROM (SELECT CAST(k.n AS BIGINT) AS n, v.visit_date, "
+        f"CASE WHEN v.visit_date >= {D0} - CAST(33 * k.n AS INTEGER) "
+        f"AND v.visit_date < {D0} - CAST(33 * (k.n - 1) AS INTEGER) THEN 'valid' "
+        f"WHEN v.visit_date < {D0} - CAST(33 * k.n AS INTEGER) AND v.visit_date >= {D0} - 365 THEN 'train' END "
+        "AS part FROM visits v, range(1, 6) AS k(n)) WHERE part IS NOT NULL GROUP BY 1, 2", "visits")
+    q["ens_gather"] = with_views(
+        f"SELECT store_id, visit_date, {r('pred_1')} AS pred_1, {r('pred_2')} AS pred_2, {r('pred_3')} AS pred_3 "
+        "FROM np", *views, extra=nt)
+    q["ens_corr"] = with_views(
+        " UNION ALL ".join(f"SELECT 'pred_{a}' AS a, 'pred_{b}' AS b, {r(f'CORR(pred_{a}, pred_{b})')} AS corr FROM np"
+                           for a, b in ((1, 2), (1, 3), (2, 3))), *views, extra=nt)
+    q["ens_blend"] = with_views(
+        f"SELECT store_id, visit_date, {r(_blend_expr(BLEND_WEIGHTS))} AS pred_blend FROM np", *views, extra=nt)
+    a = THIRD_LAYER_ALPHA
+    q["ens_blend3"] = with_views(
+        f"SELECT store_id, visit_date, {r(f'({_blend_expr(EQUAL_WEIGHTS)}) * {a} + ({_blend_expr(BLEND_WEIGHTS)}) * {1.0 - a!r}')} "
+        "AS pred_3rd FROM np", *views, extra=nt)
+    q["score_rmsle"] = with_views(
+        f"SELECT CAST(p.model_id AS BIGINT) AS model_id, CAST(COUNT(*) AS BIGINT) AS n, "
+        f"{r('SQRT(AVG(POWER(g.y - p.pred, 2)))')} AS rmsle FROM npl p JOIN hist g "
+        "ON g.store_id = p.store_id AND g.visit_date = p.visit_date WHERE p.pred IS NOT NULL GROUP BY 1",
+        *views, extra=nt)
+    o9n = {
+        "nl0": "SELECT o.origin_id, h.store_id, h.dow, SUM(h.weight * h.y) / SUM(h.weight) AS wm "
+               "FROM origins9 o JOIN hist h ON h.visit_date < o.cutoff GROUP BY 1, 2, 3",
+        "nl1": "SELECT o.origin_id, h.store_id, AVG(h.y) AS mn FROM origins9 o JOIN hist h "
+               "ON h.visit_date < o.cutoff GROUP BY 1, 2",
+        "ntr": "SELECT o.origin_id, h.store_id, AVG(h.y) AS m FROM origins9 o JOIN hist h "
+               "ON h.visit_date < o.cutoff AND h.visit_date >= o.cutoff - 50 GROUP BY 1, 2",
+        "np": """SELECT t.origin_id, t.store_id, t.visit_date, t.flag, t.y, COALESCE(nl0.wm, nl1.mn) AS pred_1,
+            COALESCE(g.y, nl0.wm, nl1.mn) AS pred_2, ntr.m AS pred_3
+            FROM o9 t LEFT JOIN nl0 ON nl0.origin_id = t.origin_id AND nl0.store_id = t.store_id AND nl0.dow = t.dow
+            LEFT JOIN nl1 ON nl1.origin_id = t.origin_id AND nl1.store_id = t.store_id
+            LEFT JOIN hist g ON g.store_id = t.store_id AND g.visit_date = t.visit_date - 49
+              AND g.visit_date < t.cutoff
+            LEFT JOIN ntr ON ntr.origin_id = t.origin_id AND ntr.store_id = t.store_id""",
+        "npl": """SELECT 1 AS model_id, flag, y, pred_1 AS pred FROM np
+            UNION ALL SELECT 2, flag, y, pred_2 FROM np UNION ALL SELECT 3, flag, y, pred_3 FROM np""",
+        "sc": """SELECT model_id, SQRT(AVG(POWER(y - pred, 2)) FILTER (WHERE flag = 1)) AS s1,
+            SQRT(AVG(POWER(y - pred, 2)) FILTER (WHERE flag = 2)) AS s2 FROM npl WHERE pred IS NOT NULL
+            GROUP BY model_id""",
+    }
+    q["score_horizon"] = with_views(
+        f"SELECT CAST(model_id AS BIGINT) AS model_id, {r('s1')} AS s1, {r('s2')} AS s2, "
+        f"{r('(s1 * 6 + s2 * 33) / 39.0')} AS total FROM sc", "o9", "origins9", "hist", extra=o9n)
+    bt = {
+        "p": f"""SELECT CAST(k.n AS BIGINT) AS n, h.store_id, h.dow, h.y,
+            CASE WHEN h.visit_date >= {D0} - CAST(33 * k.n AS INTEGER)
+              AND h.visit_date < {D0} - CAST(33 * (k.n - 1) AS INTEGER) THEN 'valid'
+            WHEN h.visit_date < {D0} - CAST(33 * k.n AS INTEGER) AND h.visit_date >= {D0} - 365 THEN 'train'
+            END AS part FROM hist h, range(1, 6) AS k(n)""",
+        "fit": "SELECT n, store_id, dow, AVG(y) AS pred FROM p WHERE part = 'train' GROUP BY 1, 2, 3",
+        "s": """SELECT v.n, SQRT(AVG(POWER(v.y - f.pred, 2))) AS rmsle FROM p v JOIN fit f
+            ON f.n = v.n AND f.store_id = v.store_id AND f.dow = v.dow WHERE v.part = 'valid' GROUP BY v.n""",
+    }
+    q["backtest_scores"] = with_views(
+        f"SELECT n, {r('rmsle')} AS rmsle, {r('(SELECT AVG(rmsle) FROM s)')} AS mean_rmsle FROM s", "hist", extra=bt)
+    subm = dict(nt)
+    subm["sb"] = (f"SELECT i.id, i.visit_date, EXP({_blend_expr(BLEND_WEIGHTS)}) - 1 AS visitors FROM horizon_ids i "
+                  "LEFT JOIN np ON np.store_id = i.store_id AND np.visit_date = i.visit_date")
+    q["submission_build"] = with_views(f"SELECT id, {r('visitors')} AS visitors FROM sb", *views, "horizon_ids",
+                                       extra=subm)
+    fac = " UNION ALL ".join(f"SELECT {D0} + {k} AS visit_date, CAST({v!r} AS DOUBLE) AS factor"
+                             for k, v in DATE_FACTORS.items())
+    subm2 = dict(subm)
+    subm2["fac"] = fac
+    subm2["adj"] = ("SELECT sb.id, sb.visit_date, sb.visitors, sb.visitors * COALESCE(fac.factor, 1.0) AS visitors_adj "
+                    "FROM sb LEFT JOIN fac ON fac.visit_date = sb.visit_date")
+    q["submission_adjust"] = with_views(
+        f"SELECT id, {r('visitors')} AS visitors_raw, {r('visitors_adj')} AS visitors_adj FROM adj",
+        *views, "horizon_ids", extra=subm2)
+    subm3 = dict(subm2)
+    subm3["act"] = (f"SELECT visit_date + 364 AS visit_date, AVG(visitors) AS actual_last_year FROM visits "
+                    f"WHERE visit_date + 364 BETWEEN {D0} AND {D0} + {HORIZON_DAYS - 1} GROUP BY 1")
+    subm3["pr"] = "SELECT visit_date, AVG(visitors) AS pred, AVG(visitors_adj) AS pred_adj FROM adj GROUP BY 1"
+    q["yoy_compare"] = with_views(
+        f"SELECT a.visit_date, {r('a.actual_last_year')} AS actual_last_year, {r('p.pred')} AS pred, "
+        f"{r('p.pred_adj')} AS pred_adj FROM act a LEFT JOIN pr p ON p.visit_date = a.visit_date",
+        *views, "horizon_ids", "visits", extra=subm3)
     return q

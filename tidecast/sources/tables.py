@@ -135,7 +135,7 @@ class Fixtures:
         return (j.groupBy(F.regexp_replace("r_name", " ", "-").alias("prefecture"),
                           F.to_date("o_orderdate").alias("visit_date"))
                 .agg(F.count(F.lit(1)).cast("double").alias("rainfall"),
-                     (F.max("o_totalprice") / 100000.0).alias("wind_max"),
+                     (F.max("o_totalprice") / 1000.0).alias("wind_max"),
                      F.min("o_orderpriority").alias("weather_daytime")))
 
     @cached_property
