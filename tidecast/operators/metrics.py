@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def rmsle(df: DataFrame, y: str = "y", pred: str = "pred", by: Sequence[str] = ()) -> DataFrame:
+def rmsle(df: DataFrame, y: str = "y", pred: str = "pred", by: Sequence[str] = (),
+          count_as: str = "n") -> DataFrame:
     """sqrt(mean((y - pred)^2)) with y and pred already log1p-scaled;
     rows without a prediction are left out."""
     d = df.where(F.col(pred).isNotNull() & F.col(y).isNotNull())
-    return d.groupBy(*by).agg(F.count(F.lit(1)).alias("n"),
+    return d.groupBy(*by).agg(F.count(F.lit(1)).alias(count_as),
                               F.sqrt(F.avg(F.pow(F.col(y) - F.col(pred), 2))).alias("rmsle"))
 
 
