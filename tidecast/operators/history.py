@@ -59,17 +59,21 @@ def level_stats(history: DataFrame, oset: OriginSet, keys: Sequence[str],
 
 def with_fallback(targets: DataFrame, history: DataFrame, oset: OriginSet,
                   levels: Sequence[Sequence[str]], prefix: str | None = None,
-                  y: str = "y", weight: str = "weight") -> DataFrame:
+                  y: str = "y", weight: str = "weight", cache: dict | None = None) -> DataFrame:
     """J6 + J7: statistics of the first level whose key group has history;
     the weighted mean falls back to the plain mean (as the reference does).
-    ``targets`` needs origin_id and every level's key columns."""
+    ``targets`` needs origin_id and every level's key columns; ``cache``
+    shares level tables between calls (same level, same plan)."""
     distinct_levels: list[tuple[str, ...]] = []
     for lv in levels:
         if tuple(lv) not in distinct_levels:
             distinct_levels.append(tuple(lv))
     out = targets
+    cache = {} if cache is None else cache
     for i, lv in enumerate(distinct_levels):
-        st = level_stats(history, oset, lv, y, weight)
+        if lv not in cache:
+            cache[lv] = level_stats(history, oset, lv, y, weight)
+        st = cache[lv]
         st = st.select("origin_id", *lv, *[F.col(c).alias(f"_{c}_{i}") for c in
                                            ("wmean", "mean", "ymax", "ymin", "ymed", "ycnt")])
         out = out.join(st, on=["origin_id", *lv], how="left")

@@ -442,3 +442,14 @@ def yoy_compare_q(spark, d):
     end = INI + dt.timedelta(days=HORIZON_DAYS - 1)
     return finalize(sub.yoy_compare(fr.fx.visits, _adjusted(spark, fr), INI, end)
                     .select("visit_date", "actual_last_year", "pred", "pred_adj"))
+
+
+# ---- step 6: whole datasets ------------------------------------------------
+def dataset_test(spark, d):
+    from tidecast.plans.dataset import build_dataset
+    return finalize(build_dataset(_fr(spark, d), TEST, test=True))
+
+
+def dataset_rolling(spark, d):
+    from tidecast.plans.dataset import build_dataset
+    return finalize(build_dataset(_fr(spark, d), TRAIN_ALL))

@@ -396,9 +396,142 @@ def _q() -> dict[str, str]:
         + ", ".join(lag_sel[n] for n in ("lag_10d", "lag_20d", "lag_30d", "lag_1d", "lag_3d", "lag_5d"))
         + f" FROM o9 t LEFT JOIN cal_pad c ON c.visit_date = t.visit_date {joins}", "o9", "hist", "cal_pad")
     q.update(_q_step8())
+    q["dataset_test"] = _dataset_sql(test=True)
+    q["dataset_rolling"] = _dataset_sql(test=False)
     return q
 
 
+def _dataset_sql(test: bool) -> str:
+    """SQL twin of ``build_dataset`` for the test origin or the nine
+    ``train_all`` origins: every block as its own CTE, joined on the keys."""
+    from tidecast.plans.dataset import feature_columns
+    from tidecast.operators.target_encoding import BASE_KEYSETS
+    ctes: dict[str, str] = {}
+    if test:
+        ctes["orig"] = (f"SELECT CAST(1 AS BIGINT) AS origin_id, {D0} AS begin_d, {D0} + {HORIZON_DAYS - 1} AS end_d, "
+                        f"{D0} AS cutoff")
+        ctes["tg"] = ("SELECT t.origin_id, t.store_id, t.visit_date, t.cutoff, t.horizon_day, t.flag, "
+                      "t.dow, c.month, c.holiday_flg, c.holiday_next1d, c.holiday_prev1d, c.holiday_rev, "
+                      "s.genre, s.area_l1, s.area_l2, s.area_l3, s.d_lat, s.d_long "
+                      "FROM t39 t LEFT JOIN cal_full c ON c.visit_date = t.visit_date "
+                      "LEFT JOIN store_dim s ON s.store_id = t.store_id")
+        views = ["t39", "cal_full", "store_dim", "hist", "bk", "weather"]
+        label = []
+        set_name = "test"
+    else:
+        ctes["orig"] = "SELECT origin_id, begin_d, end_d, cutoff FROM origins9"
+        ctes["tg"] = ("SELECT t.origin_id, t.store_id, t.visit_date, t.cutoff, t.horizon_day, CAST(0 AS BIGINT) AS flag, "
+                      "t.visitors, t.y, t.dow, c.month, c.holiday_flg, c.holiday_next1d, c.holiday_prev1d, "
+                      "c.holiday_rev, s.genre, s.area_l1, s.area_l2, s.area_l3, s.d_lat, s.d_long "
+                      "FROM o9 t LEFT JOIN cal_full c ON c.visit_date = t.visit_date "
+                      "LEFT JOIN store_dim s ON s.store_id = t.store_id")
+        views = ["o9", "origins9", "cal_full", "store_dim", "hist", "bk", "weather"]
+        label = ["visitors", "y"]
+        set_name = "train_all"
+    # history statistics per origin and level
+    lv_a = [("store_id", "dow"), ("store_id",)]
+    lv_b = [("store_id", "dow", "holiday_flg"), ("store_id", "dow"), ("store_id",)]
+    for tag, levels in (("a", lv_a), ("b", lv_b)):
+        for i, keys in enumerate(levels):
+            k = ", ".join(f"h.{c}" for c in keys)
+            ctes[f"{tag}{i}"] = (f"SELECT o.origin_id, {k}, SUM(h.weight * h.y) / SUM(h.weight) AS wm, AVG(h.y) AS mn, "
+                                 "MAX(h.y) AS mx, MIN(h.y) AS mi, MEDIAN(h.y) AS md, COUNT(h.y) AS cn "
+                                 f"FROM orig o JOIN hist h ON h.visit_date < o.cutoff GROUP BY o.origin_id, {k}")
+    joins, sel = [], []
+
+    def fallback(tag, levels, prefix):
+        n = len(levels)
+        for i, keys in enumerate(levels):
+            cond = " AND ".join([f"{tag}{i}.origin_id = t.origin_id"] + [f"{tag}{i}.{c} = t.{c}" for c in keys])
+            joins.append(f"LEFT JOIN {tag}{i} ON {cond}")
+        co = lambda f: "COALESCE(" + ", ".join(f(i) for i in range(n)) + ")"
+        sel.extend([f"{co(lambda i: f'{tag}0.wm' if i == 0 else f'{tag}{i}.mn')} AS {prefix}_wmean",
+                    f"{co(lambda i: f'{tag}{i}.mx')} AS {prefix}_ymax",
+                    f"{co(lambda i: f'{tag}{i}.mi')} AS {prefix}_ymin",
+                    f"{co(lambda i: f'{tag}{i}.md')} AS {prefix}_ymed",
+                    f"CAST({co(lambda i: f'{tag}{i}.cn')} AS BIGINT) AS {prefix}_ycnt"])
+
+    fallback("a", lv_a, "dow_all")
+    fallback("b", lv_b, "dowhol_all")
+    # target encodings
+    if test:
+        for i, (name, keys) in enumerate(BASE_KEYSETS.items()):
+            k = ", ".join(keys)
+            ctes[f"e{i}"] = f"SELECT {k}, AVG(y) AS m FROM hist WHERE visit_date < {D0} GROUP BY {k}"
+            joins.append(f"LEFT JOIN e{i} ON " + " AND ".join(f"e{i}.{c} = t.{c}" for c in keys))
+            sel.append(f"e{i}.m AS {name}")
+    else:
+        fold = ("CAST(('0x' || substr(md5(CAST(store_id AS VARCHAR) || '_' || CAST(visit_date AS VARCHAR)), 1, 8)) "
+                "AS BIGINT) % 5")
+        ctes["tf"] = f"SELECT *, {fold} AS fold FROM tg"
+        for name, keys in BASE_KEYSETS.items():
+            cond = " AND ".join(f"u.{c} = t.{c}" for c in keys)
+            sel.append(f"(SELECT AVG(u.y) FROM tf u WHERE u.origin_id = t.origin_id AND {cond} "
+                       f"AND u.fold <> {fold.replace('store_id', 't.store_id').replace('visit_date', 't.visit_date')}) "
+                       f"AS {name}")
+    # bookings
+    ctes["bs"] = ("SELECT o.origin_id, b.store_id, b.visit_date, CAST(SUM(b.reserve_visitors) AS BIGINT) AS res_ttl, "
+                  "CAST(COUNT(b.reserve_visitors) AS BIGINT) AS res_cnt, AVG(b.reserve_visitors) AS res_mean, "
+                  "STDDEV_SAMP(b.visit_hour) AS res_hr_std FROM orig o JOIN bk b "
+                  "ON b.visit_date BETWEEN o.begin_d AND o.end_d AND b.reserve_date < o.cutoff GROUP BY 1, 2, 3")
+    joins.append("LEFT JOIN bs ON bs.origin_id = t.origin_id AND bs.store_id = t.store_id "
+                 "AND bs.visit_date = t.visit_date")
+    sel += ["bs.res_ttl", "bs.res_cnt", "bs.res_mean", "bs.res_hr_std"]
+    ctes["bd"] = ("SELECT origin_id, store_id, dow, AVG(m) AS party_mean_dow, AVG(c) AS cnt_mean_dow FROM "
+                  "(SELECT o.origin_id, b.store_id, b.visit_date, b.dow, AVG(b.reserve_visitors) AS m, "
+                  "COUNT(b.reserve_visitors) AS c FROM orig o JOIN bk b ON b.reserve_date < o.cutoff "
+                  "GROUP BY 1, 2, 3, 4) GROUP BY 1, 2, 3")
+    joins.append("LEFT JOIN bd ON bd.origin_id = t.origin_id AND bd.store_id = t.store_id AND bd.dow = t.dow")
+    sel += ["bd.party_mean_dow", "bd.cnt_mean_dow"]
+    # lags
+    offs = _lag_names(days=DAY_LAGS, weeks=WEEK_LAGS)
+    for i, (name, d) in enumerate(offs.items()):
+        joins.append(f"LEFT JOIN hist g{i} ON g{i}.store_id = t.store_id AND g{i}.visit_date = t.visit_date - {d} "
+                     f"AND g{i}.visit_date < t.cutoff")
+        sel.append(f"g{i}.y AS {name}")
+    for name, d in _lag_names(weeks=WEEK_LAGS, prefix="lag_res").items():
+        sel.append(f"(SELECT CAST(SUM(b.reserve_visitors) AS BIGINT) FROM bk b WHERE b.store_id = t.store_id "
+                   f"AND b.visit_date = t.visit_date - {d} AND b.reserve_date < t.cutoff) AS {name}")
+    # trailing windows
+    inner = []
+    for d in TRAIL_DAYS:
+        for a, fn in (("mean", "AVG"), ("max", "MAX"), ("min", "MIN"), ("std", "STDDEV_SAMP")):
+            inner.append(f"{fn}(h.y) FILTER (WHERE h.visit_date >= o.cutoff - {d}) AS {a}_{d}d")
+    ctes["tr"] = (f"SELECT o.origin_id, h.store_id, {', '.join(inner)} FROM orig o JOIN hist h "
+                  f"ON h.visit_date < o.cutoff AND h.visit_date >= o.cutoff - {max(TRAIL_DAYS)} GROUP BY 1, 2")
+    joins.append("LEFT JOIN tr ON tr.origin_id = t.origin_id AND tr.store_id = t.store_id")
+    for d in TRAIL_DAYS:
+        sel += [f"tr.{a}_{d}d" for a in ("mean", "max", "min", "std")]
+        sel.append(f"{ratio(f'tr.mean_{d}d - tr.min_{d}d', f'tr.max_{d}d - tr.min_{d}d')} AS scale_maxmin_{d}d")
+        sel.append(f"{ratio(f'tr.mean_{d}d', f'tr.std_{d}d')} AS scale_std_{d}d")
+    inner = [f"AVG(h.y) FILTER (WHERE h.visit_date >= o.cutoff - {7 * w}) AS mean_dow_{w}w" for w in DOW_WEEKS]
+    ctes["td"] = (f"SELECT o.origin_id, h.store_id, h.dow, {', '.join(inner)} FROM orig o JOIN hist h "
+                  f"ON h.visit_date < o.cutoff AND h.visit_date >= o.cutoff - {7 * max(DOW_WEEKS)} GROUP BY 1, 2, 3")
+    joins.append("LEFT JOIN td ON td.origin_id = t.origin_id AND td.store_id = t.store_id AND td.dow = t.dow")
+    sel += [f"td.mean_dow_{w}w" for w in DOW_WEEKS]
+    joins.append("LEFT JOIN weather w ON w.prefecture = t.area_l1 AND w.visit_date = t.visit_date")
+    sel += ["w.rainfall", "w.wind_max"]
+    feats = feature_columns()
+    base_feats = ["month", "holiday_flg", "holiday_next1d", "holiday_prev1d", "holiday_rev", "d_lat", "d_long"]
+    ctes["wide"] = ("SELECT t.origin_id, t.store_id, t.visit_date, t.horizon_day, t.flag, "
+                    + "".join(f"t.{c}, " for c in label)
+                    + "t.genre, t.area_l1, t.area_l2, t.area_l3, t.dow, "
+                    + ", ".join(f"t.{c}" for c in base_feats) + ", " + ", ".join(sel)
+                    + " FROM tg t " + " ".join(joins))
+    na = " + ".join(f"CAST({c} IS NULL AS BIGINT)" for c in feats)
+    outs = ["origin_id", "store_id", "visit_date", "horizon_day", "flag"]
+    outs += [r("y") + " AS y" if c == "y" else c for c in label]
+    outs += ["genre", "area_l1", "area_l2", "area_l3", f"'{set_name}' AS set", f"{na} AS na_cnt"]
+    outs += [f"{r(f'COALESCE({c}, -1)')} AS {c}" if c not in _INT_FEATS else f"COALESCE({c}, -1) AS {c}"
+             for c in feats]
+    return with_views(f"SELECT {', '.join(outs)} FROM wide", *views, extra=ctes)
+
+
+_INT_FEATS = {"dow", "month", "holiday_flg", "holiday_next1d", "holiday_prev1d", "holiday_rev",
+              "dow_all_ycnt", "dowhol_all_ycnt", "res_ttl", "res_cnt",
+              *[f"lag_res_{w}w" for w in WEEK_LAGS]}
+
+
 # ---- step 8: naive forecasters, ensemble, scores, submission ----------------
 def _naive_test_ctes():
     return {

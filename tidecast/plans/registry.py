@@ -61,6 +61,8 @@ QUERIES = {
     "submission_build": c.submission_build,
     "submission_adjust": c.submission_adjust,
     "yoy_compare": c.yoy_compare_q,
+    "dataset_test": c.dataset_test,
+    "dataset_rolling": c.dataset_rolling,
 }
 
 
