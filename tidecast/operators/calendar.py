@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,29 +23,36 @@ def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructTyp
 
 
 def pad_calendar(calendar: DataFrame, before=PAD_BEFORE, after=PAD_AFTER) -> DataFrame:
-    """Add literal rows before the first and after the last date, then
-    derive weekday (Monday = 0) and month. Edge dates come from scalar
-    subqueries, so nothing is collected to the driver."""
-    spark = calendar.sparkSession
-    lo = calendar.agg(F.min("visit_date")).scalar()
-    hi = calendar.agg(F.max("visit_date")).scalar()
-    rows = [(o, "lo", f) for o, f in before] + [(o, "hi", f) for o, f in after]
-    pads = literal_rows(spark, rows, "offset int, edge string, holiday_flg long")
-    pads = pads.select(
-        F.date_add(F.when(F.col("edge") == "lo", lo).otherwise(hi), F.col("offset")).alias("visit_date"),
-        "holiday_flg")
-    cal = calendar.select("visit_date", F.col("holiday_flg").cast("long")).unionByName(pads)
+    """U1 + S3: add literal rows before the first and after the last date,
+    then derive weekday (Monday = 0) and month. The pads are an array of
+    literal (offset, flag) structs applied to the one-row bounds, so the
+    plan holds no subquery and no join."""
+    bounds = calendar.agg(F.min("visit_date").alias("lo"), F.max("visit_date").alias("hi"))
+    pads = ([F.struct(F.date_add("lo", o).alias("visit_date"), F.lit(f).cast("long").alias("holiday_flg"))
+             for o, f in before]
+            + [F.struct(F.date_add("hi", o).alias("visit_date"), F.lit(f).cast("long").alias("holiday_flg"))
+               for o, f in after])
+    pad_rows = bounds.select(F.explode(F.array(*pads)).alias("p")).select("p.*")
+    cal = calendar.select("visit_date", F.col("holiday_flg").cast("long")).unionByName(pad_rows)
     return cal.withColumns({"dow": weekday0("visit_date"),
                             "month": F.month("visit_date").cast("long")})
 
 
+def _day_window():
+    # The calendar holds one row per day: its size is bounded by the date
+    # span (about 365 rows a year), so one ordered partition is cheap.
+    return Window.orderBy("visit_date")
+
+
 def neighbour_flag(cal: DataFrame, col: str, offset: int, out: str) -> DataFrame:
-    """Attribute of the day ``offset`` days away (edge -> 0), by a
-    self-join on the shifted date; the calendar is bounded by the number of
-    days, so the lookup side is broadcast."""
-    look = cal.select(F.date_sub("visit_date", offset).alias("_d"), F.col(col).alias(out))
-    j = cal.join(F.broadcast(look), cal.visit_date == look._d, "left").drop("_d")
-    return j.withColumn(out, F.coalesce(F.col(out), F.lit(0)).cast("long"))
+    """Attribute of the day ``offset`` days away (missing day -> 0). The
+    neighbour row is taken by position and kept only if its date is exactly
+    ``offset`` days away, so holes in the calendar are handled."""
+    w = _day_window()
+    nb_date = F.lead("visit_date", offset).over(w) if offset > 0 else F.lag("visit_date", -offset).over(w)
+    nb_val = F.lead(col, offset).over(w) if offset > 0 else F.lag(col, -offset).over(w)
+    hit = nb_date == F.date_add("visit_date", offset)
+    return cal.withColumn(out, F.coalesce(F.when(hit, nb_val), F.lit(0)).cast("long"))
 
 
 def with_neighbours(cal: DataFrame) -> DataFrame:
@@ -61,14 +68,11 @@ def with_holiday_rev(cal: DataFrame, weekend=(5, 6)) -> DataFrame:
 
 
 def with_weight(cal: DataFrame, power: int = 1) -> DataFrame:
-    """Recency weight (position + 1) / n**power over the padded calendar.
-    Position is the day number from the first date (the calendar has one row
-    per day), so no global window is needed. The constant cancels in every
-    weighted mean."""
-    lo = cal.agg(F.min("visit_date")).scalar()
-    n = cal.agg(F.count(F.lit(1)).cast("double")).scalar()
-    pos = F.datediff("visit_date", lo) + 1
-    return cal.withColumn("weight", pos.cast("double") / F.pow(n, F.lit(float(power))))
+    """Recency weight (position + 1) / n**power over the calendar in
+    date order. The constant cancels in every weighted mean."""
+    pos = F.row_number().over(_day_window())
+    n = F.count(F.lit(1)).over(Window.partitionBy(F.lit(1)))
+    return cal.withColumn("weight", pos.cast("double") / F.pow(n.cast("double"), F.lit(float(power))))
 
 
 def enrich_calendar(calendar: DataFrame, power: int = 1) -> DataFrame:

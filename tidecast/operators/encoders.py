@@ -13,16 +13,18 @@ from tidecast.functions.scalars import area_token, fold_of
 
 def store_dim(stores: DataFrame) -> DataFrame:
     """F12 + A14: area levels 1..3 and distance from the global maximum of
-    the coordinates (scalar subqueries, no cross join)."""
-    max_lat = stores.agg(F.max("latitude")).scalar()
-    max_long = stores.agg(F.max("longitude")).scalar()
-    return stores.withColumns({
+    the coordinates. The maxima are one distributed aggregate, joined back
+    as a one-row broadcast on a constant key."""
+    top = stores.agg(F.max("latitude").alias("_max_lat"), F.max("longitude").alias("_max_long"),
+                     F.lit(1).alias("_one"))
+    j = stores.withColumn("_one", F.lit(1)).join(F.broadcast(top), "_one")
+    return j.withColumns({
         "area_l1": area_token("area", 0),
         "area_l2": area_token("area", 1),
         "area_l3": area_token("area", 2),
-        "d_lat": max_lat - F.col("latitude"),
-        "d_long": max_long - F.col("longitude"),
-    })
+        "d_lat": F.col("_max_lat") - F.col("latitude"),
+        "d_long": F.col("_max_long") - F.col("longitude"),
+    }).drop("_one", "_max_lat", "_max_long")
 
 
 def level_codes(df: DataFrame, col: str, out: str | None = None) -> DataFrame:

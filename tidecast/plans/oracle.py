@@ -129,8 +129,9 @@ def with_views(body: str, *names: str, extra: dict[str, str] | None = None) -> s
 
     for n in names:
         visit(n)
-    ctes = [f"{n} AS ({VIEWS[n][1]})" for n in order]
-    ctes += [f"{k} AS ({v})" for k, v in (extra or {}).items()]
+    # MATERIALIZED: views referenced many times (lag joins) are built once.
+    ctes = [f"{n} AS MATERIALIZED ({VIEWS[n][1]})" for n in order]
+    ctes += [f"{k} AS MATERIALIZED ({v})" for k, v in (extra or {}).items()]
     return "WITH " + ",\n".join(ctes) + "\n" + body
 
 
@@ -489,9 +490,14 @@ def _dataset_sql(test: bool) -> str:
         joins.append(f"LEFT JOIN hist g{i} ON g{i}.store_id = t.store_id AND g{i}.visit_date = t.visit_date - {d} "
                      f"AND g{i}.visit_date < t.cutoff")
         sel.append(f"g{i}.y AS {name}")
-    for name, d in _lag_names(weeks=WEEK_LAGS, prefix="lag_res").items():
-        sel.append(f"(SELECT CAST(SUM(b.reserve_visitors) AS BIGINT) FROM bk b WHERE b.store_id = t.store_id "
-                   f"AND b.visit_date = t.visit_date - {d} AND b.reserve_date < t.cutoff) AS {name}")
+    res = _lag_names(weeks=WEEK_LAGS, prefix="lag_res")
+    ctes["lr"] = ("SELECT t.origin_id, t.store_id, t.visit_date, " + ", ".join(
+        f"(SELECT CAST(SUM(b.reserve_visitors) AS BIGINT) FROM bk b WHERE b.store_id = t.store_id "
+        f"AND b.visit_date = t.visit_date - {d} AND b.reserve_date < t.cutoff) AS {n}" for n, d in res.items())
+        + " FROM tg t")
+    joins.append("LEFT JOIN lr ON lr.origin_id = t.origin_id AND lr.store_id = t.store_id "
+                 "AND lr.visit_date = t.visit_date")
+    sel += [f"lr.{n}" for n in res]
     # trailing windows
     inner = []
     for d in TRAIL_DAYS:
