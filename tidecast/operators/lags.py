@@ -47,15 +47,22 @@ def lag_features(targets: DataFrame, history: DataFrame, offsets: Mapping[str, i
     return j.groupBy(*keys).agg(*aggs)
 
 
-def lag_booking(targets: DataFrame, bookings: DataFrame, offsets: Mapping[str, int],
-                keys: Sequence[str] = ("origin_id", "store_id", "visit_date")) -> DataFrame:
+def booking_daily(bookings: DataFrame) -> DataFrame:
+    """Party sums per (store, visit date, reserve date): the pre-aggregate
+    of every booking lag (partial aggregation combines a hot store)."""
+    return (bookings.groupBy("store_id", F.col("visit_date").alias("_lag_date"), "reserve_date")
+            .agg(F.sum("reserve_visitors").alias("_party")))
+
+
+def lag_booking(targets: DataFrame, bookings: DataFrame | None, offsets: Mapping[str, int],
+                keys: Sequence[str] = ("origin_id", "store_id", "visit_date"),
+                daily: DataFrame | None = None) -> DataFrame:
     """Lagged reservation sums. A booking counts for an origin when it
     was made before that origin's cutoff (its visit may be later). Bookings
     are first summed per (store, visit date, reserve date) so a busy store
     day becomes a bounded number of rows before the join."""
     keys = list(keys)
-    daily = (bookings.groupBy("store_id", F.col("visit_date").alias("_lag_date"), "reserve_date")
-             .agg(F.sum("reserve_visitors").alias("_party")))
+    daily = booking_daily(bookings) if daily is None else daily
     t = _explode_offsets(targets, keys, offsets)
     j = t.join(daily, on=[t.store_id == daily.store_id, t._lag_date == daily._lag_date,
                           daily.reserve_date < t.cutoff], how="left").drop(daily.store_id, daily._lag_date)

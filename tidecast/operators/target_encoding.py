@@ -29,18 +29,20 @@ MORE_KEYSETS = {
 
 def target_encode_hist(targets: DataFrame, history: DataFrame,
                        keysets: Mapping[str, Sequence[str]] = BASE_KEYSETS,
-                       y: str = "y", by: Sequence[str] = ()) -> DataFrame:
+                       y: str = "y", by: Sequence[str] = (), broadcast: bool = False) -> DataFrame:
     """Mean of y over the history rows of the same key (history is
-    already cut at the origin's cutoff); ``by`` adds e.g. origin_id."""
+    already cut at the origin's cutoff); ``by`` adds e.g. origin_id.
+    ``broadcast``: the caller has bounded the number of key levels."""
     out = targets
     for name, cols in keysets.items():
         enc = history.groupBy(*by, *cols).agg(F.avg(y).alias(name))
-        out = out.join(enc, on=[*by, *cols], how="left")
+        out = out.join(F.broadcast(enc) if broadcast else enc, on=[*by, *cols], how="left")
     return out
 
 
 def target_encode_oof(targets: DataFrame, keysets: Mapping[str, Sequence[str]] = BASE_KEYSETS,
-                      y: str = "y", fold: str = "fold", by: Sequence[str] = ("origin_id",)) -> DataFrame:
+                      y: str = "y", fold: str = "fold", by: Sequence[str] = ("origin_id",),
+                      broadcast: bool = False) -> DataFrame:
     """Each row gets the mean of y over the rows of its key in the
     *other* folds of the same origin: (S_key - S_key,fold) / (N_key -
     N_key,fold), null when the other folds have no row."""
@@ -54,5 +56,5 @@ def target_encode_oof(targets: DataFrame, keysets: Mapping[str, Sequence[str]] =
         enc = per_fold.join(tot, on=[*by, *cols]).select(
             *by, *cols, fold,
             F.when(rest_n > 0, (F.col("_key_sum") - F.col("_fold_sum")) / rest_n).alias(name))
-        out = out.join(enc, on=[*by, *cols, fold], how="left")
+        out = out.join(F.broadcast(enc) if broadcast else enc, on=[*by, *cols, fold], how="left")
     return out

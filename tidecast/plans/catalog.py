@@ -453,3 +453,65 @@ def dataset_test(spark, d):
 def dataset_rolling(spark, d):
     from tidecast.plans.dataset import build_dataset
     return finalize(build_dataset(_fr(spark, d), TRAIN_ALL))
+
+
+# ---- step 9: MLlib cross-fitting, bagging, stacking, importance -----------
+# Trainer settings for the catalogue keys (small, so the keys
+# stay cheap; the operators take any GBT parameters).
+ML_PARAMS = dict(maxDepth=4, maxIter=10)
+
+
+def model_inputs(train: DataFrame, test: DataFrame, feats, sentinel_cols, inf_cols):
+    """Model-input preparation of the first-stage scripts: union train and
+    test (U4), sentinel -1 -> column median over both (P12), +-inf -> 0
+    (P13), split again by the tag."""
+    from tidecast.session import cut_lineage
+    u = imp.union_train_test(train, test.withColumn("visitors", F.lit(0).cast("long")))
+    u = imp.replace_inf_zero(imp.impute_sentinel(u, sentinel_cols), inf_cols)
+    # Every fit and prediction reads these rows: materialise them once in
+    # the shared checkpoint folder (reliable, survives executor loss).
+    u = cut_lineage(u.select("is_test", "store_id", "visit_date", "y", *feats))
+    return u.where(F.col("is_test") == 0), u.where(F.col("is_test") == 1)
+
+
+def _ml_frames(spark, d):
+    from tidecast.plans.dataset import build_dataset, feature_columns
+    fr = _fr(spark, d)
+    train = build_dataset(fr, TRAIN_ALL)
+    test = build_dataset(fr, TEST, test=True)
+    feats = feature_columns()
+    sentinel = [c for c in feats if c.startswith(("dow_all_", "dowhol_all_")) or c in BASE_KEYSETS]
+    inf_cols = [c for c in feats if c.startswith("scale_")]
+    train, test = model_inputs(train, test, feats, sentinel, inf_cols)
+    return fr, train.withColumn("fold", fold_of(5, "store_id", "visit_date")), test, feats
+
+
+def crossfit_gbt(spark, d):
+    _, train, test, feats = _ml_frames(spark, d)
+    oof, tst, _ = mdl.crossfit(train, test, feats, label="y", k=5, params=ML_PARAMS)
+    a = oof.select(F.lit("train_all").alias("set"), "store_id", "visit_date", "fold", "pred")
+    b = tst.select(F.lit("test").alias("set"), "store_id", "visit_date", F.lit(-1).cast("long").alias("fold"), "pred")
+    return finalize(a.unionByName(b))
+
+
+def bagged_fit(spark, d):
+    _, train, test, feats = _ml_frames(spark, d)
+    return finalize(mdl.bagged_fit(train, test, feats, label="y", seeds=(0, 1, 2), params=ML_PARAMS))
+
+
+def feature_importance(spark, d):
+    _, train, test, feats = _ml_frames(spark, d)
+    _, _, model = mdl.crossfit(train.where(F.col("fold") < 2), test.limit(0), feats, label="y", k=1,
+                               params=ML_PARAMS)
+    return mdl.importance(model, feats, spark)
+
+
+def ens_stack(spark, d):
+    fr = _fr(spark, d)
+    tr = naive_wide(fr, TRAIN_ALL, fr.train_targets(TRAIN_ALL, by_day_flag=True, decorate=False))
+    te = naive_wide(fr, TEST, fr.test_targets(decorate=False))
+    cols = [f"pred_{m}" for m in MODELS]
+    tr = tr.fillna(-1.0, subset=cols).withColumn("fold", fold_of(4, "store_id", "visit_date"))
+    te = te.fillna(-1.0, subset=cols)
+    _, tst, _ = mdl.crossfit(tr, te, cols, label="y", k=4, params=ML_PARAMS)
+    return finalize(tst.select("store_id", "visit_date", F.col("pred").alias("pred_stack")))

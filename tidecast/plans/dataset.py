@@ -18,7 +18,10 @@ from tidecast.operators.lags import DAY_LAGS, WEEK_LAGS, lag_booking, lag_featur
 from tidecast.operators.origins import TEST, OriginSet
 from tidecast.operators.target_encoding import BASE_KEYSETS, target_encode_hist, target_encode_oof
 from tidecast.operators.trailing import DOW_WEEKS, TRAIL_DAYS, trailing_dow, trailing_stats
+from tidecast.operators.lags import booking_daily
 from tidecast.plans.frames import CAL_COLS, STORE_COLS, Frames
+from tidecast.plans.partitioning import (by_store, distinct_count, enable_copartitioned_joins,
+                                         maybe_broadcast)  # noqa: F401
 
 KEYS = ["origin_id", "store_id", "visit_date"]
 STATS = ("wmean", "ymax", "ymin", "ymed", "ycnt")
@@ -41,41 +44,57 @@ def feature_columns() -> list[str]:
 def build_dataset(fr: Frames, oset: OriginSet, test: bool = False, fill: bool = True) -> DataFrame:
     """Rows: targets of the set (visits in the windows, or the test grid).
     Columns: keys, set, flag, horizon_day, [visitors], categorical store
-    attributes, every feature of ``feature_columns()``, na_cnt."""
+    attributes, every feature of ``feature_columns()``, na_cnt.
+
+    Partitioning (see ``tidecast.plans.partitioning``): targets, history and
+    booking aggregates are hash-partitioned by store once; every block is
+    keyed by (origin, store, ...) and joins the wide frame co-partitioned.
+    """
+    spark = fr.spark
+    enable_copartitioned_joins(spark)
     oset = TEST if test else oset
     t = fr.test_targets() if test else fr.train_targets(oset)
     label = [] if test else ["visitors", "y"]
-    base = t.select(*KEYS, "cutoff", "horizon_day", "flag", *label, *CAL_COLS, *STORE_COLS)
+    base = by_store(t.select(*KEYS, "cutoff", "horizon_day", "flag", *label, *CAL_COLS, *STORE_COLS))
+    hist = by_store(fr.hist)
+    daily = by_store(booking_daily(fr.bookings))
+
+    # Bounds from the dimensions for the category-keyed lookups.
+    n_cat = max(distinct_count(fr.stores, keys) for keys in BASE_KEYSETS.values() if "dow" not in keys)
+    enc_bound = n_cat * 7 * oset.count * 5
 
     # History statistics with fallbacks (level tables shared by both blocks).
     cache: dict = {}
-    out = with_fallback(base, fr.hist, oset, [("store_id", "dow"), ("store_id",)], prefix="dow_all", cache=cache)
-    out = with_fallback(out, fr.hist, oset, [("store_id", "dow", "holiday_flg"), ("store_id", "dow"), ("store_id",)],
+    out = with_fallback(base, hist, oset, [("store_id", "dow"), ("store_id",)], prefix="dow_all", cache=cache)
+    out = with_fallback(out, hist, oset, [("store_id", "dow", "holiday_flg"), ("store_id", "dow"), ("store_id",)],
                         prefix="dowhol_all", cache=cache)
 
     # Target encodings: history means for the test origin, out-of-fold
-    # means of the window's own labels for training origins.
+    # means of the window's own labels for training origins. Keyed by
+    # category: broadcast behind the level bound.
+    small = enc_bound <= 2_000_000
     if test:
-        out = target_encode_hist(out, _history_before_test(fr), BASE_KEYSETS)
+        out = target_encode_hist(out, _history_before_test(fr), BASE_KEYSETS, broadcast=small)
     else:
         out = out.withColumn("fold", fold_of(5, "store_id", "visit_date"))
-        out = target_encode_oof(out, BASE_KEYSETS).drop("fold")
+        out = target_encode_oof(out, BASE_KEYSETS, broadcast=small).drop("fold")
 
-    # Bookings known before the cutoff.
-    out = out.join(booking_stats_by_origin(fr.bookings, oset), KEYS, "left")
-    out = out.join(booking_dow_by_origin(fr.bookings, oset), ["origin_id", "store_id", "dow"], "left")
+    # Bookings known before the cutoff (aggregates re-keyed by store).
+    out = out.join(by_store(booking_stats_by_origin(fr.bookings, oset)), KEYS, "left")
+    out = out.join(by_store(booking_dow_by_origin(fr.bookings, oset)), ["origin_id", "store_id", "dow"], "left")
 
     # Calendar-date lags of visits and of booking sums (one join each).
     tk = base.select(*KEYS, "cutoff")
-    out = out.join(lag_features(tk, fr.hist, lag_names(days=DAY_LAGS, weeks=WEEK_LAGS)), KEYS, "left")
-    out = out.join(lag_booking(tk, fr.bookings, lag_names(weeks=WEEK_LAGS, prefix="lag_res")), KEYS, "left")
+    out = out.join(lag_features(tk, hist, lag_names(days=DAY_LAGS, weeks=WEEK_LAGS)), KEYS, "left")
+    out = out.join(lag_booking(tk, None, lag_names(weeks=WEEK_LAGS, prefix="lag_res"), daily=daily), KEYS, "left")
 
     # Trailing windows at the cutoff.
-    out = out.join(trailing_stats(fr.hist, oset, TRAIL_DAYS), ["origin_id", "store_id"], "left")
-    out = out.join(trailing_dow(fr.hist, oset, DOW_WEEKS), ["origin_id", "store_id", "dow"], "left")
+    out = out.join(trailing_stats(hist, oset, TRAIL_DAYS), ["origin_id", "store_id"], "left")
+    out = out.join(trailing_dow(hist, oset, DOW_WEEKS), ["origin_id", "store_id", "dow"], "left")
 
-    # Weather of the target day.
-    out = weather_join(out, fr.fx.weather)
+    # Weather of the target day: (region, day) table, bounded by regions x days.
+    w_bound = distinct_count(fr.stores, ["area_l1"]) * fr.cal.count()
+    out = weather_join(out, fr.fx.weather, broadcast=w_bound <= 2_000_000)
 
     feats = feature_columns()
     cols = ["origin_id", "store_id", "visit_date", "horizon_day", "flag", *label,

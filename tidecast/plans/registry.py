@@ -63,6 +63,10 @@ QUERIES = {
     "yoy_compare": c.yoy_compare_q,
     "dataset_test": c.dataset_test,
     "dataset_rolling": c.dataset_rolling,
+    "crossfit_gbt": c.crossfit_gbt,
+    "bagged_fit": c.bagged_fit,
+    "ens_stack": c.ens_stack,
+    "feature_importance": c.feature_importance,
 }
 
 
