@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference has no streaming, watermark, window-state or late-data logic;
+its two time rules (history strictly before a cutoff on the visit date, and
+on the booking date) are batch filters, implemented in
+``tidecast.operators.origins`` and ``tidecast.operators.bookings``.
+"""
