@@ -46,10 +46,12 @@ def level_stats(history: DataFrame, oset: OriginSet, keys: Sequence[str],
             (acc["s"] + x["y"]).alias("s")))
     mid_lo = F.get("h", ((n - 1) / 2).cast("int"))["y"]
     mid_hi = F.get("h", (n / 2).cast("int"))["y"]
-    return per.where(n > 0).select(
+    # One pass of the fold per row: materialise the sums struct as a column.
+    per = per.where(n > 0).withColumn("_sums", sums)
+    return per.select(
         "origin_id", *keys,
-        (sums["sw"] / sums["w"]).alias("wmean"),
-        (sums["s"] / n).alias("mean"),
+        (F.col("_sums.sw") / F.col("_sums.w")).alias("wmean"),
+        (F.col("_sums.s") / n).alias("mean"),
         F.get("h", n - 1)["y"].alias("ymax"),
         F.get("h", 0)["y"].alias("ymin"),
         ((mid_lo + mid_hi) / 2.0).alias("ymed"),

@@ -19,6 +19,8 @@ from tidecast.operators.origins import TEST, OriginSet
 from tidecast.operators.target_encoding import BASE_KEYSETS, target_encode_hist, target_encode_oof
 from tidecast.operators.trailing import DOW_WEEKS, TRAIL_DAYS, trailing_dow, trailing_stats
 from tidecast.operators.lags import booking_daily
+from tidecast.session import cut_lineage
+from tidecast.sources.tables import INI
 from tidecast.plans.frames import CAL_COLS, STORE_COLS, Frames
 from tidecast.plans.partitioning import (by_store, distinct_count, enable_copartitioned_joins,
                                          maybe_broadcast)  # noqa: F401
@@ -55,9 +57,15 @@ def build_dataset(fr: Frames, oset: OriginSet, test: bool = False, fill: bool =
     oset = TEST if test else oset
     t = fr.test_targets() if test else fr.train_targets(oset)
     label = [] if test else ["visitors", "y"]
-    base = by_store(t.select(*KEYS, "cutoff", "horizon_day", "flag", *label, *CAL_COLS, *STORE_COLS))
-    hist = by_store(fr.hist)
-    daily = by_store(booking_daily(fr.bookings))
+    # Shared inputs, already reduced to (store, day) grain, are materialised
+    # once in the shared checkpoint folder: every block reads them, and the
+    # checkpoint keeps their hash partitioning by store.
+    keep = dict(keep_partitioning=True)
+    base = cut_lineage(by_store(t.select(*KEYS, "cutoff", "horizon_day", "flag", *label, *CAL_COLS, *STORE_COLS)),
+                       **keep)
+    hist = cut_lineage(by_store(fr.hist.select("store_id", "visit_date", "y", "dow", "holiday_flg", "weight",
+                                               "genre", "area_l3")), **keep)
+    daily = cut_lineage(by_store(booking_daily(fr.bookings)), **keep)
 
     # Bounds from the dimensions for the category-keyed lookups.
     n_cat = max(distinct_count(fr.stores, keys) for keys in BASE_KEYSETS.values() if "dow" not in keys)
@@ -74,7 +82,7 @@ def build_dataset(fr: Frames, oset: OriginSet, test: bool = False, fill: bool =
     # category: broadcast behind the level bound.
     small = enc_bound <= 2_000_000
     if test:
-        out = target_encode_hist(out, _history_before_test(fr), BASE_KEYSETS, broadcast=small)
+        out = target_encode_hist(out, hist.where(F.col("visit_date") < F.lit(INI)), BASE_KEYSETS, broadcast=small)
     else:
         out = out.withColumn("fold", fold_of(5, "store_id", "visit_date"))
         out = target_encode_oof(out, BASE_KEYSETS, broadcast=small).drop("fold")

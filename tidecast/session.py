@@ -48,8 +48,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, keep_partitioning: bool = False) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder: survives
-    executor loss, unlike a local checkpoint."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    executor loss, unlike a local checkpoint.
+
+    ``keep_partitioning``: plan the checkpointed query without adaptive
+    execution, so its hash partitioning is recorded with the checkpoint and
+    later aggregations / joins on that key need no shuffle (an adaptive plan
+    reports unknown partitioning)."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    if not keep_partitioning:
+        return df.checkpoint(eager=True)
+    prev = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", prev)
