@@ -121,16 +121,21 @@ _loaded: dict[str, _Counts] = {}
 _lock = threading.Lock()
 
 
+def counts(path: str) -> _Counts:
+    """The word counts of a file, compiled once in each worker process."""
+    with _lock:
+        if path not in _loaded:
+            _loaded[path] = _Counts(load(path))
+        return _loaded[path]
+
+
 def piece_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words and n_pieces of every row (repeated rows and null ids
     too). Null and empty texts have none. Rows are independent: no shuffle.
     ``path`` must be readable by executors."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        with _lock:
-            if path not in _loaded:
-                _loaded[path] = _Counts(load(path))
-        of = _loaded[path].__getitem__
+        of = counts(path).__getitem__
         words, pieces = [], []
         for text in batch.column(1).to_pylist():
             found = list(map(of, (text or "").split()))
