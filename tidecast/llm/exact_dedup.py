@@ -169,7 +169,7 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     gone = groups.where(~F.col("kept"))
     lost = gone.where(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(F.col("doc_id").alias("gone__id"), F.col("text_sha256").alias("gone__sha"))
     sha = F.sha2(normalised(docs[text_col]), 256)
-    left = docs.join(lost.distinct(), docs[id_col].eqNullSafe(F.col("gone__id")) & (sha == F.col("gone__sha")), "left_anti")
+    left = docs.join(lost.distinct().hint("merge"), docs[id_col].eqNullSafe(F.col("gone__id")) & (sha == F.col("gone__sha")), "left_anti")
     if gone.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).limit(1).count():  # repeated rows of the id that stays
         left = left.withColumn("text__sha", F.sha2(normalised(F.col(text_col)), 256)).dropDuplicates([id_col, "text__sha"]).drop("text__sha")
     return left

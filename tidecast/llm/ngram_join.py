@@ -270,7 +270,9 @@ def ngram_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 sets += [grams[offsets[d]:offsets[d + 1]].tobytes() for d in have]
         return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(sets, pa.binary())], ["key", "grams"])
 
-    sets = map_arrow(base.join(wanted.distinct(), "doc_id", "left_semi"), full_sets, "key binary, grams binary").dropDuplicates(["key"])
+    # The ids wanted grow with the data, so their texts come by a shuffle at
+    # every size rather than by a broadcast that small inputs would allow.
+    sets = map_arrow(base.join(wanted.distinct().hint("merge"), "doc_id", "left_semi"), full_sets, "key binary, grams binary").dropDuplicates(["key"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("key", pa.binary()), ("root", pa.binary()), ("links", pa.int64())])
@@ -317,5 +319,4 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     the one with the smallest id stays (rows without an id stay)."""
     found = ngram_links(docs, id_col, text_col, **options)
     gone = store(found.where(F.col("doc_id") != F.col("class_id")).select(F.col("doc_id").alias("gone__id")).distinct(), "gone")
-    left = docs.join(gone, docs[id_col] == F.col("gone__id"), "left_anti")
-    return left
+    return docs.join(gone.hint("merge"), docs[id_col] == F.col("gone__id"), "left_anti")
