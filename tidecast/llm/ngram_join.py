@@ -124,9 +124,10 @@ def _groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[tuple[
         yield key, rows
 
 
-def owned_pairs(bucket: int, members: list[dict]) -> np.ndarray:
+def owned_pairs(bucket: int, members: list[dict], across: bool) -> np.ndarray:
     """Matrix of the pairs that this unit verifies: their smallest shared
-    bucket is this one, and they are of the unit's two chunks."""
+    bucket is this one, and in a unit ``across`` two chunks they are of
+    different chunks."""
     m = len(members)
     smaller = [[h for h in x["buckets"] if h < bucket] for x in members]
     ids: dict[int, int] = {}
@@ -140,8 +141,8 @@ def owned_pairs(bucket: int, members: list[dict]) -> np.ndarray:
             has[i, [ids[h] for h in hs]] = 1
         has = has[:, has.sum(axis=0) > 1]
         own &= (has @ has.T) == 0
-    chunk = np.array([x["chunk"] for x in members])
-    if len(np.unique(chunk)) > 1:
+    if across:
+        chunk = np.array([x["chunk"] for x in members])
         own &= chunk[:, None] != chunk[None, :]
     np.fill_diagonal(own, False)
     return own
@@ -248,9 +249,9 @@ def ngram_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("key", pa.binary()), ("size", pa.int64()), ("buckets", pa.list_(pa.int64())), ("bucket", pa.int64()), ("chunk", pa.int32()), ("lo", pa.int32()), ("hi", pa.int32())])
         out: list[dict] = []
-        for (bucket, _, _), members in _groups(batches, unit):
+        for (bucket, lo, hi), members in _groups(batches, unit):
             if len(members) > 1:
-                out += [x for x, has in zip(members, owned_pairs(bucket, members).any(axis=1)) if has]
+                out += [x for x, has in zip(members, owned_pairs(bucket, members, lo != hi).any(axis=1)) if has]
             if len(out) > 5000:
                 yield pa.RecordBatch.from_pylist(out, schema)
                 out = []
@@ -277,12 +278,12 @@ def ngram_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("key", pa.binary()), ("root", pa.binary()), ("links", pa.int64())])
         out: list[dict] = []
-        for (bucket, _, _), members in _groups(batches, unit):
+        for (bucket, lo, hi), members in _groups(batches, unit):
             if len(members) < 2:
                 continue
             with paused_gc():
                 members.sort(key=lambda x: x["key"])
-                own = owned_pairs(bucket, members)
+                own = owned_pairs(bucket, members, lo != hi)
                 have = [np.frombuffer(x["grams"], dtype=np.uint64) for x in members]
                 length = np.array([len(s) for s in have])
                 own &= np.minimum(length[:, None], length[None, :]) >= threshold * np.maximum(length[:, None], length[None, :]) - 1e-9
