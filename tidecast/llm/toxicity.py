@@ -26,8 +26,10 @@ HASH_BITS = 18
 #: Lengths of the character n-grams.
 NGRAMS = (4, 5)
 SMOOTHING = 1.0
-RIDGE = 1e-4
-ITERATIONS = 60
+RIDGE = 1e-3
+ITERATIONS = 150
+#: Texts of the sample that must hold a feature for it to count.
+MIN_TEXTS = 3
 
 
 def present(text: str | None, flags: np.ndarray) -> np.ndarray:
@@ -68,6 +70,7 @@ def fit(texts: list[str | None], toxic: list[int], share: float) -> tuple[np.nda
     seen = [np.bincount(flat, weights=(y == k)[owner].astype(float), minlength=1 << HASH_BITS) + SMOOTHING for k in (0, 1)]
     n = [float((y == k).sum()) + 2 * SMOOTHING for k in (0, 1)]
     ratio = np.log(seen[1] / n[1]) - np.log(seen[0] / n[0])
+    ratio[seen[0] + seen[1] < MIN_TEXTS + 2 * SMOOTHING] = 0
     scaled = ratio[flat]
     weight, bias = np.zeros(1 << HASH_BITS), 0.0
     square, square_bias = np.full(1 << HASH_BITS, 1e-8), 1e-8
