@@ -17,11 +17,6 @@ PAD_BEFORE = ((-2, 1), (-1, 1))
 PAD_AFTER = ((1, 0), (2, 0))
 
 
-def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str) -> DataFrame:
-    """S3: a small literal table."""
-    return spark.createDataFrame(list(rows), schema)
-
-
 def pad_calendar(calendar: DataFrame, before=PAD_BEFORE, after=PAD_AFTER) -> DataFrame:
     """U1 + S3: add literal rows before the first and after the last date,
     then derive weekday (Monday = 0) and month. The pads are an array of

@@ -49,7 +49,3 @@ def blend2(a: DataFrame, b: DataFrame, col_a: str, col_b: str, alpha: float = 0.
 def weights_table(spark, weights: Mapping) -> DataFrame:
     return spark.createDataFrame([(k, float(v)) for k, v in weights.items()], "model_id long, weight double")
 
-
-def avg_predictions(preds: DataFrame, keys: Sequence[str], pred: str = "pred") -> DataFrame:
-    """Mean over folds or bags of the long form."""
-    return preds.groupBy(*keys).agg(F.avg(pred).alias(pred))

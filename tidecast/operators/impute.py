@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidecast.session import cut_lineage
+
 INF = float("inf")
 
 
@@ -31,7 +33,9 @@ def column_medians(df: DataFrame, cols: Sequence[str], partitions: int | None =
     long = df.select(kv).select("kv.c", "kv.v").where(F.col("v").isNotNull())
     counts = long.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
     p = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = counts.repartitionByRange(p, "c", "v").withColumn("pid", F.spark_partition_id())
+    # Range bounds are sampled, so the partition numbers are frozen before two
+    # branches read them (a checkpoint of one row per distinct value).
+    ranged = cut_lineage(counts.repartitionByRange(p, "c", "v").withColumn("pid", F.spark_partition_id()))
     block = ranged.groupBy("c", "pid").agg(F.sum("n").alias("bn"))
     wb = Window.partitionBy("c").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
     block = block.select("c", "pid", F.coalesce(F.sum("bn").over(wb), F.lit(0)).alias("offset"),

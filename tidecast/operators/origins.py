@@ -71,6 +71,16 @@ class OriginSet:
         return F.when(lo <= hi, F.sequence(lo.cast("long"), hi.cast("long"))).otherwise(
             F.array().cast("array<long>"))
 
+    def target_range(self) -> tuple[dt.date, dt.date]:
+        """First and last date of any target window."""
+        first = self.ini - dt.timedelta(days=self.skip * self.count)
+        return first, self.ini - dt.timedelta(days=self.skip) + dt.timedelta(days=self.split - 1)
+
+    def history_range(self, lookback: int | None) -> tuple[dt.date | None, dt.date]:
+        """First (None: no bound) and last date that any origin may look at."""
+        begin = self.ini - dt.timedelta(days=self.skip * self.count + self.gap + (lookback or 0))
+        return begin if lookback is not None else None, self.ini - dt.timedelta(days=self.skip + self.gap + 1)
+
     def horizon_day(self, date: Column, origin: Column) -> Column:
         """P5: day number in the horizon, counting the gap."""
         return (F.datediff(date, self.begin_of(origin)) + self.gap + 1).cast("long")
@@ -97,6 +107,8 @@ def assign_origin(facts: DataFrame, oset: OriginSet, date_col: str = "visit_date
     """J9 + P3 + P5 + P6: keep rows inside some target window, tagged with
     origin_id, cutoff, horizon_day and flag (computed column, no join)."""
     tile = oset.tile_of(F.col(date_col))
+    # Literal bounds reach the scan; the arithmetic on top can't.
+    facts = facts.where(F.col(date_col).between(*map(F.lit, oset.target_range())))
     df = facts.withColumn("origin_id", tile).where(F.col("origin_id").isNotNull())
     hday = oset.horizon_day(F.col(date_col), F.col("origin_id"))
     return df.withColumns({
@@ -110,16 +122,11 @@ def explode_covering(df: DataFrame, oset: OriginSet, lookback: int | None,
                      date_col: str = "visit_date") -> DataFrame:
     """P4 for many origins at once: one copy of each history row per origin
     that may see it, with ``cutoff`` and ``age = cutoff - date`` (>= 1)."""
+    first, last = oset.history_range(lookback)
+    df = df.where(F.col(date_col) <= F.lit(last))
+    if first is not None:
+        df = df.where(F.col(date_col) >= F.lit(first))
     out = df.withColumn("origin_id", F.explode(oset.covering(F.col(date_col), lookback)))
     cutoff = oset.cutoff_of(F.col("origin_id"))
     return out.withColumns({"cutoff": cutoff, "age": F.datediff(cutoff, F.col(date_col))})
 
-
-def history_before(df: DataFrame, cutoff: dt.date, date_col: str = "visit_date") -> DataFrame:
-    """Strictly before the cutoff (pushed into the parquet scan)."""
-    return df.where(F.col(date_col) < F.lit(cutoff))
-
-
-def recent(df: DataFrame, ref: dt.date, days: int = 365, date_col: str = "visit_date") -> DataFrame:
-    """Rows within ``days`` before the reference date."""
-    return df.where(F.col(date_col) >= F.date_sub(F.lit(ref), days))

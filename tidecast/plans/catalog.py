@@ -368,8 +368,11 @@ def _test_preds(fr):
 
 
 def ens_gather(spark, d):
-    fr = _fr(spark, d)
-    wide = ens.pivot_predictions(_test_preds(fr), MODELS)
+    from tidecast.session import shared_path
+    from tidecast.sources.sinks import gather_predictions, write_predictions
+    path = shared_path(spark, "predictions")
+    write_predictions(_test_preds(_fr(spark, d)), path)
+    wide = ens.pivot_predictions(gather_predictions(spark, path), MODELS)
     return finalize(wide.select("store_id", "visit_date", *[f"pred_{m}" for m in MODELS]))
 
 
@@ -456,11 +459,6 @@ def dataset_rolling(spark, d):
 
 
 # ---- step 9: MLlib cross-fitting, bagging, stacking, importance -----------
-# Trainer settings for the catalogue keys (small, so the keys
-# stay cheap; the operators take any GBT parameters).
-ML_PARAMS = dict(maxDepth=4, maxIter=10)
-
-
 def model_inputs(train: DataFrame, test: DataFrame, feats, sentinel_cols, inf_cols):
     """Model-input preparation of the first-stage scripts: union train and
     test (U4), sentinel -1 -> column median over both (P12), +-inf -> 0
@@ -488,7 +486,7 @@ def _ml_frames(spark, d):
 
 def crossfit_gbt(spark, d):
     _, train, test, feats = _ml_frames(spark, d)
-    oof, tst, _ = mdl.crossfit(train, test, feats, label="y", k=5, params=ML_PARAMS)
+    oof, tst, _ = mdl.crossfit(train, test, feats, label="y", k=5)
     a = oof.select(F.lit("train_all").alias("set"), "store_id", "visit_date", "fold", "pred")
     b = tst.select(F.lit("test").alias("set"), "store_id", "visit_date", F.lit(-1).cast("long").alias("fold"), "pred")
     return finalize(a.unionByName(b))
@@ -496,14 +494,12 @@ def crossfit_gbt(spark, d):
 
 def bagged_fit(spark, d):
     _, train, test, feats = _ml_frames(spark, d)
-    return finalize(mdl.bagged_fit(train, test, feats, label="y", seeds=(0, 1, 2), params=ML_PARAMS))
+    return finalize(mdl.bagged_fit(train, test, feats, label="y"))
 
 
 def feature_importance(spark, d):
-    _, train, test, feats = _ml_frames(spark, d)
-    _, _, model = mdl.crossfit(train.where(F.col("fold") < 2), test.limit(0), feats, label="y", k=1,
-                               params=ML_PARAMS)
-    return mdl.importance(model, feats, spark)
+    _, train, _, feats = _ml_frames(spark, d)
+    return mdl.importance(mdl.fit(train, feats, label="y"), feats, spark)
 
 
 def ens_stack(spark, d):
@@ -513,5 +509,5 @@ def ens_stack(spark, d):
     cols = [f"pred_{m}" for m in MODELS]
     tr = tr.fillna(-1.0, subset=cols).withColumn("fold", fold_of(4, "store_id", "visit_date"))
     te = te.fillna(-1.0, subset=cols)
-    _, tst, _ = mdl.crossfit(tr, te, cols, label="y", k=4, params=ML_PARAMS)
+    _, tst, _ = mdl.crossfit(tr, te, cols, label="y", k=4)
     return finalize(tst.select("store_id", "visit_date", F.col("pred").alias("pred_stack")))

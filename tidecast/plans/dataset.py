@@ -112,7 +112,3 @@ def build_dataset(fr: Frames, oset: OriginSet, test: bool = False, fill: bool =
         out = fill_and_count(out, feats)
     return out
 
-
-def _history_before_test(fr: Frames) -> DataFrame:
-    from tidecast.sources.tables import INI
-    return fr.hist.where(F.col("visit_date") < F.lit(INI))

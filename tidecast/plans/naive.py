@@ -7,7 +7,6 @@ earlier falling back to 1, 3 = trailing 50-day mean. All on the log scale.
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +38,6 @@ def naive_wide(fr: Frames, oset: OriginSet, targets: DataFrame) -> DataFrame:
 def naive_long(wide: DataFrame) -> DataFrame:
     """Long form (model_id, keys, flag, [y], pred)."""
     extra = ["y"] if "y" in wide.columns else []
-    parts = [wide.select(F.lit(m).cast("long").alias("model_id"), *KEYS, "flag", *extra,
-                         F.col(f"pred_{m}").alias("pred")) for m in MODELS]
-    return reduce(DataFrame.unionByName, parts)
+    each = F.explode(F.array(*[F.struct(F.lit(m).cast("long").alias("model_id"), F.col(f"pred_{m}").alias("pred"))
+                               for m in MODELS])).alias("p")
+    return wide.select(*KEYS, "flag", *extra, each).select("p.model_id", *KEYS, "flag", *extra, "p.pred")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,11 +44,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="tidecast-ckpt-")
     sc.setCheckpointDir(configured)
     return configured
 
 
+def shared_path(spark: SparkSession, tag: str) -> str:
+    """A new path below the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame, keep_partitioning: bool = False) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder: survives
     executor loss, unlike a local checkpoint.

@@ -3,7 +3,8 @@ prediction gatherer."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +17,8 @@ def write_features(df: DataFrame, path: str, partition_by: Sequence[str] = ("set
 
 
 def write_predictions(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Long-form predictions (model_id, keys, pred)."""
-    df.write.mode(mode).parquet(path)
+    """Long-form predictions (model_id, keys, pred), one folder a model."""
+    df.write.mode(mode).partitionBy("model_id").parquet(path)
 
 
 def write_submission(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -30,12 +31,10 @@ def write_importance(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 
 
-def gather_predictions(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """Read many prediction sets in one scan; ``model_id`` comes from the
-    file path (``paths`` maps model id to directory)."""
-    by_path = {p.rstrip("/"): m for m, p in paths.items()}
-    df = spark.read.parquet(*by_path.keys()).withColumn("_src", F.col("_metadata.file_path"))
-    model = F.lit(None).cast("string")
-    for p, m in by_path.items():
-        model = F.when(F.col("_src").contains(p), F.lit(m)).otherwise(model)
-    return df.withColumn("model_id", model).drop("_src")
+def gather_predictions(spark: SparkSession, path: str | Mapping[str, str]) -> DataFrame:
+    """All predictions of one folder, with ``model_id`` from the partition
+    folders; or of several folders, given as model id to folder."""
+    if isinstance(path, str):
+        return spark.read.parquet(path)
+    parts = [spark.read.parquet(p).withColumn("model_id", F.lit(m)) for m, p in path.items()]
+    return reduce(DataFrame.unionByName, parts)

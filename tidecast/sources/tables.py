@@ -180,6 +180,3 @@ class Fixtures:
         from tidecast.operators.bookings import parse_bookings
         return parse_bookings(self.bookings)
 
-
-def with_weekday(df: DataFrame, date_col: str = "visit_date", out: str = "dow") -> DataFrame:
-    return df.withColumn(out, weekday0(date_col))
