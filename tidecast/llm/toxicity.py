@@ -1,5 +1,6 @@
 """Toxicity by a linear classifier on character n-grams whose features are
-scaled by naive Bayes log-count ratios (presence features, hashed).
+scaled by naive Bayes log-count ratios (hashed). An n-gram gives a presence
+feature for each of its ``TIMES`` levels: met at all, met twice, met four times.
 
 Training reads a bounded sample of labelled texts (``MAX_TRAIN_DOCS``, whole
 texts, as many of either label where there are enough); the intercept is then
@@ -25,6 +26,8 @@ MAX_TRAIN_DOCS = 6000
 HASH_BITS = 18
 #: Lengths of the character n-grams.
 NGRAMS = (4, 5)
+#: A feature each for n-grams that a text holds at least so often.
+TIMES = (1, 2, 4)
 SMOOTHING = 1.0
 RIDGE = 1e-3
 ITERATIONS = 150
@@ -32,11 +35,12 @@ ITERATIONS = 150
 MIN_TEXTS = 3
 
 
-def present(text: str | None, flags: np.ndarray) -> np.ndarray:
-    """Sorted distinct hashed n-grams of the lower-cased text, blanks as one
-    space, with a space at either end. ``flags`` is scratch, all False."""
+def present(text: str | None) -> np.ndarray:
+    """Sorted distinct features of the lower-cased text, blanks as one space,
+    with a space at either end: its hashed n-grams at each level of ``TIMES``."""
     plain = " " + " ".join((text or "").lower().split()) + " "
     code = np.frombuffer(plain.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    every = [np.zeros(0, dtype=np.uint32)]
     for n in NGRAMS:
         size = len(code) - n + 1
         if size <= 0:
@@ -45,17 +49,19 @@ def present(text: str | None, flags: np.ndarray) -> np.ndarray:
         for j in range(n):
             h = (h ^ code[j:j + size]) * np.uint32(0x9E3779B1)
             h ^= h >> np.uint32(15)
-        flags[h >> np.uint32(32 - HASH_BITS)] = True
-    out = np.flatnonzero(flags)
-    flags[out] = False
-    return out
+        every.append(h)
+    grams, times = np.unique(np.concatenate(every), return_counts=True)
+    out = [grams]
+    for least in TIMES[1:]:
+        h = (grams[times >= least] ^ np.uint32(least)) * np.uint32(0x9E3779B1)
+        out.append(h ^ (h >> np.uint32(15)))
+    return np.unique(np.concatenate(out) >> np.uint32(32 - HASH_BITS)).astype(np.int64)
 
 
 def fit(texts: list[str | None], toxic: list[int], share: float) -> tuple[np.ndarray, float]:
     """Weights of the features and the intercept, for a population in which
     ``share`` of the rows is toxic."""
-    flags = np.zeros(1 << HASH_BITS, dtype=bool)
-    rows = [present(t, flags) for t in texts]
+    rows = [present(t) for t in texts]
     size = np.array([len(r) for r in rows])
     keep = size > 0
     y = np.array(toxic, dtype=np.float64)[keep]
@@ -122,8 +128,7 @@ def score_toxicity(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         weight, bias = shared.value
-        flags = np.zeros(1 << HASH_BITS, dtype=bool)
-        z = np.array([weight[present(t, flags)].sum(dtype=np.float64) + bias for t in batch.column(1).to_pylist()], dtype=np.float64)
+        z = np.array([weight[present(t)].sum(dtype=np.float64) + bias for t in batch.column(1).to_pylist()], dtype=np.float64)
         score = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         return pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"])
 
