@@ -42,14 +42,17 @@ def target_encode_hist(targets: DataFrame, history: DataFrame,
 
 def target_encode_oof(targets: DataFrame, keysets: Mapping[str, Sequence[str]] = BASE_KEYSETS,
                       y: str = "y", fold: str = "fold", by: Sequence[str] = ("origin_id",),
-                      broadcast: bool = False) -> DataFrame:
+                      broadcast: bool = False, rows: DataFrame | None = None) -> DataFrame:
     """Each row gets the mean of y over the rows of its key in the
     *other* folds of the same origin: (S_key - S_key,fold) / (N_key -
-    N_key,fold), null when the other folds have no row."""
+    N_key,fold), null when the other folds have no row. ``rows``: the same
+    rows as ``targets`` before other features were joined on; the sums are
+    taken from them, so those joins are not evaluated again."""
     out = targets
+    rows = targets if rows is None else rows
     for name, cols in keysets.items():
-        per_fold = targets.groupBy(*by, *cols, fold).agg(F.sum(y).alias("_fold_sum"),
-                                                         F.count(y).alias("_fold_cnt"))
+        per_fold = rows.groupBy(*by, *cols, fold).agg(F.sum(y).alias("_fold_sum"),
+                                                      F.count(y).alias("_fold_cnt"))
         tot = per_fold.groupBy(*by, *cols).agg(F.sum("_fold_sum").alias("_key_sum"),
                                                F.sum("_fold_cnt").alias("_key_cnt"))
         rest_n = F.col("_key_cnt") - F.col("_fold_cnt")

@@ -84,8 +84,9 @@ def build_dataset(fr: Frames, oset: OriginSet, test: bool = False, fill: bool =
     if test:
         out = target_encode_hist(out, hist.where(F.col("visit_date") < F.lit(INI)), BASE_KEYSETS, broadcast=small)
     else:
-        out = out.withColumn("fold", fold_of(5, "store_id", "visit_date"))
-        out = target_encode_oof(out, BASE_KEYSETS, broadcast=small).drop("fold")
+        fold = fold_of(5, "store_id", "visit_date")
+        out = target_encode_oof(out.withColumn("fold", fold), BASE_KEYSETS, broadcast=small,
+                                rows=base.withColumn("fold", fold)).drop("fold")
 
     # Bookings known before the cutoff (aggregates re-keyed by store).
     out = out.join(by_store(booking_stats_by_origin(fr.bookings, oset)), KEYS, "left")
