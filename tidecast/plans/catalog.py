@@ -25,13 +25,14 @@ from tidecast.operators.covariates import bridge_join, enrich_facts, weather_joi
 from tidecast.operators.features import add_interactions, cols_like, select_features
 from tidecast.operators.history import expanding, expanding_stats, with_fallback
 from tidecast.operators.lags import DAY_LAGS, WEEK_LAGS, lag_booking, lag_features, lag_names
-from tidecast.operators.origins import TEST, TRAIN_ALL, assign_origin
+from tidecast.operators.origins import TEST, TRAIN1, TRAIN2, TRAIN_ALL, assign_origin
 from tidecast.operators.target_encoding import (BASE_KEYSETS, MORE_KEYSETS, target_encode_hist,
                                                 target_encode_oof)
 from tidecast.operators.trailing import (DOW_FULL_WEEKS, DOW_WEEKS, TRAIL_DAYS, TRAIL_WEEKS_DAYS,
                                          trailing_diffs, trailing_dow, trailing_stats)
 from tidecast.plans.frames import Frames, finalize
 from tidecast.plans.naive import MODELS, naive_long, naive_wide
+from tidecast.session import cut_lineage
 from tidecast.sources.tables import HORIZON_DAYS, INI
 
 KEYS3 = ["origin_id", "store_id", "visit_date"]
@@ -48,6 +49,10 @@ THIRD_LAYER_ALPHA = 0.7
 DATE_FACTORS = {2: 1.10, 4: 1.10, 7: 1.35, 8: 1.20, 9: 1.10, 10: 1.10, 11: 1.10,
                 12: 1.05, 13: 1.00, 14: 0.95, 15: 0.90, 16: 0.90}
 
+# The sixteen dates of the reference's ensemble submission.
+ENSEMBLE_FACTORS = {2: 1.10, 3: 1.00, 4: 1.10, 5: 1.00, 6: 1.00, 7: 1.30, 8: 1.40, 9: 1.10, 10: 1.10, 11: 1.05,
+                    12: 1.05, 13: 1.00, 14: 1.10, 15: 0.95, 16: 0.95, 17: 1.00}
+
 BACKTEST_SPLIT = 33
 
 
@@ -388,12 +393,15 @@ def ens_blend(spark, d):
     return finalize(b.select("store_id", "visit_date", "pred_blend"))
 
 
-def ens_blend3(spark, d):
-    fr = _fr(spark, d)
+def _blend3(spark, fr):
     p = _test_preds(fr)
     a = ens.blend(p, ens.weights_table(spark, EQUAL_WEIGHTS), out="pred_eq")
     b = ens.blend(p, ens.weights_table(spark, BLEND_WEIGHTS))
-    return finalize(ens.blend2(a, b, "pred_eq", "pred_blend", THIRD_LAYER_ALPHA))
+    return ens.blend2(a, b, "pred_eq", "pred_blend", THIRD_LAYER_ALPHA)
+
+
+def ens_blend3(spark, d):
+    return finalize(_blend3(spark, _fr(spark, d)))
 
 
 def score_rmsle(spark, d):
@@ -440,6 +448,14 @@ def submission_adjust(spark, d):
     return finalize(a.select("id", F.col("visitors").alias("visitors_raw"), "visitors_adj"))
 
 
+def submission_ensemble(spark, d):
+    """Third-layer blend as a submission, with the ensemble's own factors."""
+    fr = _fr(spark, d)
+    s = sub.build_submission(fr.fx.horizon_ids, _blend3(spark, fr), pred="pred_3rd")
+    a = sub.adjust_by_date(s, sub.factor_table(spark, INI, ENSEMBLE_FACTORS))
+    return finalize(a.select("id", F.col("visitors").alias("visitors_raw"), "visitors_adj"))
+
+
 def yoy_compare_q(spark, d):
     fr = _fr(spark, d)
     end = INI + dt.timedelta(days=HORIZON_DAYS - 1)
@@ -458,12 +474,27 @@ def dataset_rolling(spark, d):
     return finalize(build_dataset(_fr(spark, d), TRAIN_ALL))
 
 
+def dataset_train1(spark, d):
+    from tidecast.plans.dataset import build_dataset
+    return finalize(build_dataset(_fr(spark, d), TRAIN1))
+
+
+def dataset_train2(spark, d):
+    from tidecast.plans.dataset import build_dataset
+    return finalize(build_dataset(_fr(spark, d), TRAIN2))
+
+
+def model_inputs_q(spark, d):
+    _, train, test, feats = _ml_frames(spark, d)
+    cols = ["is_test", "store_id", "visit_date", "y", *feats]
+    return finalize(train.select(*cols).unionByName(test.select(*cols)))
+
+
 # ---- step 9: MLlib cross-fitting, bagging, stacking, importance -----------
 def model_inputs(train: DataFrame, test: DataFrame, feats, sentinel_cols, inf_cols):
     """Model-input preparation of the first-stage scripts: union train and
     test (U4), sentinel -1 -> column median over both (P12), +-inf -> 0
     (P13), split again by the tag."""
-    from tidecast.session import cut_lineage
     u = imp.union_train_test(train, test.withColumn("visitors", F.lit(0).cast("long")))
     u = imp.replace_inf_zero(imp.impute_sentinel(u, sentinel_cols), inf_cols)
     # Every fit and prediction reads these rows: materialise them once in
@@ -473,14 +504,13 @@ def model_inputs(train: DataFrame, test: DataFrame, feats, sentinel_cols, inf_co
 
 
 def _ml_frames(spark, d):
-    from tidecast.plans.dataset import build_dataset, feature_columns
+    from tidecast.plans.dataset import build_dataset, feature_columns, imputed_columns
     fr = _fr(spark, d)
     train = build_dataset(fr, TRAIN_ALL)
     test = build_dataset(fr, TEST, test=True)
     feats = feature_columns()
-    sentinel = [c for c in feats if c.startswith(("dow_all_", "dowhol_all_")) or c in BASE_KEYSETS]
     inf_cols = [c for c in feats if c.startswith("scale_")]
-    train, test = model_inputs(train, test, feats, sentinel, inf_cols)
+    train, test = model_inputs(train, test, feats, imputed_columns(), inf_cols)
     return fr, train.withColumn("fold", fold_of(5, "store_id", "visit_date")), test, feats
 
 
@@ -502,12 +532,36 @@ def feature_importance(spark, d):
     return mdl.importance(mdl.fit(train, feats, label="y"), feats, spark)
 
 
-def ens_stack(spark, d):
+def _stacked(spark, d):
+    """Second layer: out-of-fold and test predictions of the stacker, joined
+    back onto their rows, and the third layer (stack and weighted blend)."""
     fr = _fr(spark, d)
     tr = naive_wide(fr, TRAIN_ALL, fr.train_targets(TRAIN_ALL, by_day_flag=True, decorate=False))
     te = naive_wide(fr, TEST, fr.test_targets(decorate=False))
     cols = [f"pred_{m}" for m in MODELS]
-    tr = tr.fillna(-1.0, subset=cols).withColumn("fold", fold_of(4, "store_id", "visit_date"))
-    te = te.fillna(-1.0, subset=cols)
-    _, tst, _ = mdl.crossfit(tr, te, cols, label="y", k=4)
-    return finalize(tst.select("store_id", "visit_date", F.col("pred").alias("pred_stack")))
+    blended = sum(F.col(f"pred_{m}") * w for m, w in BLEND_WEIGHTS.items())
+    tr = tr.withColumn("pred_blend", blended).fillna(-1.0, subset=cols)
+    te = te.withColumn("pred_blend", blended).fillna(-1.0, subset=cols)
+    # Each fold's fit and its predictions read these rows.
+    tr = cut_lineage(tr.withColumn("fold", fold_of(4, "store_id", "visit_date")))
+    te = cut_lineage(te)
+    oof, tst, _ = mdl.crossfit(tr, te, cols, label="y", k=4)
+    keys = ["store_id", "visit_date"]
+    third = F.col("pred_stack") * THIRD_LAYER_ALPHA + F.col("pred_blend") * (1.0 - THIRD_LAYER_ALPHA)
+    return [rows.join(p.select(*keys, F.col("pred").alias("pred_stack")), keys).withColumn("pred_3rd", third)
+            for rows, p in ((tr, oof), (te, tst))]
+
+
+def ens_stack(spark, d):
+    tr, te = _stacked(spark, d)
+    cols = ["store_id", "visit_date", "flag", "pred_stack", "pred_3rd"]
+    a = tr.select(F.lit("train_all").alias("set"), *cols)
+    return finalize(a.unionByName(te.select(F.lit("test").alias("set"), *cols)))
+
+
+def score_stack(spark, d):
+    tr, _ = _stacked(spark, d)
+    layers = F.explode(F.array(*[F.struct(F.lit(c).alias("layer"), F.col(c).alias("pred"))
+                                 for c in ("pred_blend", "pred_stack", "pred_3rd")])).alias("p")
+    long = tr.select("flag", "y", layers).select("flag", "y", "p.layer", "p.pred")
+    return finalize(met.horizon_score(long, "y", "pred", by=["layer"]).select("layer", "s1", "s2", "total"))

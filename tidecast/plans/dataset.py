@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidecast.functions.scalars import fold_of
 from tidecast.operators.bookings import booking_dow_by_origin, booking_stats_by_origin
 from tidecast.operators.covariates import weather_join
+from tidecast.operators.encoders import one_hot
 from tidecast.operators.history import with_fallback
 from tidecast.operators.impute import fill_and_count
 from tidecast.operators.lags import DAY_LAGS, WEEK_LAGS, lag_booking, lag_features, lag_names
@@ -20,13 +21,22 @@ from tidecast.operators.target_encoding import BASE_KEYSETS, target_encode_hist,
 from tidecast.operators.trailing import DOW_WEEKS, TRAIL_DAYS, trailing_dow, trailing_stats
 from tidecast.operators.lags import booking_daily
 from tidecast.session import cut_lineage
-from tidecast.sources.tables import INI
-from tidecast.plans.frames import CAL_COLS, STORE_COLS, Frames
-from tidecast.plans.partitioning import (by_store, distinct_count, enable_copartitioned_joins,
-                                         maybe_broadcast)  # noqa: F401
+from tidecast.sources.tables import AREA_L3_LEVELS, INI, WEATHER_LEVELS
+from tidecast.plans.frames import CAL_COLS, STORE_COLS, STORE_LABELS, Frames
+from tidecast.plans.partitioning import by_store, distinct_count, enable_copartitioned_joins
 
 KEYS = ["origin_id", "store_id", "visit_date"]
 STATS = ("wmean", "ymax", "ymin", "ymed", "ycnt")
+# Prefix of the history statistics -> key columns of their fallback levels.
+HIST_FAMILIES = {
+    "dow_all": [("store_id", "dow"), ("store_id",)],
+    **{f"{name}_all": [("store_id", "dow", flag), ("store_id", "dow"), ("store_id",)]
+       for name, flag in (("dowhol", "holiday_flg"), ("dowhol_next", "holiday_next1d"),
+                          ("dowhol_prev", "holiday_prev1d"), ("dowhol_rev", "holiday_rev"))},
+}
+# Columns given as 0/1 dummies -> their levels (the first one is dropped).
+DUMMIES = {"dow": range(7), "month": range(1, 13), "area_l3_lbl": range(AREA_L3_LEVELS),
+           "weather_lbl": range(len(WEATHER_LEVELS))}
 BOOK_COLS = ("res_ttl", "res_cnt", "res_mean", "res_hr_std")
 BOOK_DOW_COLS = ("party_mean_dow", "cnt_mean_dow")
 
@@ -34,13 +44,25 @@ BOOK_DOW_COLS = ("party_mean_dow", "cnt_mean_dow")
 def feature_columns() -> list[str]:
     """Generated feature names, in output order (after keys)."""
     cols = list(CAL_COLS) + [c for c in STORE_COLS if c not in ("genre", "area_l1", "area_l2", "area_l3")]
-    cols += [f"dow_all_{s}" for s in STATS] + [f"dowhol_all_{s}" for s in STATS]
+    cols += [f"{c}_lbl" for c in STORE_LABELS] + [f"{p}_{s}" for p in HIST_FAMILIES for s in STATS]
     cols += list(BASE_KEYSETS) + list(BOOK_COLS) + list(BOOK_DOW_COLS)
     cols += list(lag_names(days=DAY_LAGS, weeks=WEEK_LAGS)) + list(lag_names(weeks=WEEK_LAGS, prefix="lag_res"))
     for d in TRAIL_DAYS:
         cols += [f"{a}_{d}d" for a in ("mean", "max", "min", "std")] + [f"scale_maxmin_{d}d", f"scale_std_{d}d"]
-    cols += [f"mean_dow_{w}w" for w in DOW_WEEKS] + ["rainfall", "wind_max"]
-    return cols
+    cols += [f"mean_dow_{w}w" for w in DOW_WEEKS] + ["rainfall", "wind_max", "weather_lbl"]
+    return cols + dummy_columns()
+
+
+def dummy_columns() -> list[str]:
+    return [f"{c}_{lvl}" for c, levels in DUMMIES.items() for lvl in list(levels)[1:]]
+
+
+def imputed_columns() -> list[str]:
+    """Columns whose -1 becomes the median in the model inputs: history
+    statistics without their counts, target encodings, trailing windows."""
+    cols = [f"{p}_{s}" for p in HIST_FAMILIES for s in STATS if s != "ycnt"] + list(BASE_KEYSETS)
+    return cols + [f"{a}_{d}d" for d in TRAIL_DAYS
+                   for a in ("mean", "max", "min", "std", "scale_maxmin", "scale_std")]
 
 
 def build_dataset(fr: Frames, oset: OriginSet, test: bool = False, fill: bool = True) -> DataFrame:
@@ -56,26 +78,28 @@ def build_dataset(fr: Frames, oset: OriginSet, test: bool = False, fill: bool =
     enable_copartitioned_joins(spark)
     oset = TEST if test else oset
     t = fr.test_targets() if test else fr.train_targets(oset)
+    t = t.join(fr.store_labels, "store_id", "left")
+    codes = [f"{c}_lbl" for c in STORE_LABELS]
     label = [] if test else ["visitors", "y"]
     # Shared inputs, already reduced to (store, day) grain, are materialised
     # once in the shared checkpoint folder: every block reads them, and the
     # checkpoint keeps their hash partitioning by store.
     keep = dict(keep_partitioning=True)
-    base = cut_lineage(by_store(t.select(*KEYS, "cutoff", "horizon_day", "flag", *label, *CAL_COLS, *STORE_COLS)),
+    base = cut_lineage(by_store(t.select(*KEYS, "cutoff", "horizon_day", "flag", *label, *CAL_COLS, *STORE_COLS, *codes)),
                        **keep)
-    hist = cut_lineage(by_store(fr.hist.select("store_id", "visit_date", "y", "dow", "holiday_flg", "weight",
-                                               "genre", "area_l3")), **keep)
+    hist = cut_lineage(by_store(fr.hist.select("store_id", "visit_date", "y", "dow", "holiday_flg", "holiday_next1d",
+                                               "holiday_prev1d", "holiday_rev", "weight", "genre", "area_l3")), **keep)
     daily = cut_lineage(by_store(booking_daily(fr.bookings)), **keep)
 
     # Bounds from the dimensions for the category-keyed lookups.
     n_cat = max(distinct_count(fr.stores, keys) for keys in BASE_KEYSETS.values() if "dow" not in keys)
     enc_bound = n_cat * 7 * oset.count * 5
 
-    # History statistics with fallbacks (level tables shared by both blocks).
+    # History statistics with fallbacks (level tables shared by all families).
     cache: dict = {}
-    out = with_fallback(base, hist, oset, [("store_id", "dow"), ("store_id",)], prefix="dow_all", cache=cache)
-    out = with_fallback(out, hist, oset, [("store_id", "dow", "holiday_flg"), ("store_id", "dow"), ("store_id",)],
-                        prefix="dowhol_all", cache=cache)
+    out = base
+    for prefix, levels in HIST_FAMILIES.items():
+        out = with_fallback(out, hist, oset, levels, prefix=prefix, cache=cache)
 
     # Target encodings: history means for the test origin, out-of-fold
     # means of the window's own labels for training origins. Keyed by
@@ -103,7 +127,11 @@ def build_dataset(fr: Frames, oset: OriginSet, test: bool = False, fill: bool =
 
     # Weather of the target day: (region, day) table, bounded by regions x days.
     w_bound = distinct_count(fr.stores, ["area_l1"]) * fr.cal.count()
-    out = weather_join(out, fr.fx.weather, broadcast=w_bound <= 2_000_000)
+    out = weather_join(out, fr.fx.weather, cols=("rainfall", "wind_max", "weather_daytime"),
+                       broadcast=w_bound <= 2_000_000)
+    place = F.array_position(F.array(*map(F.lit, WEATHER_LEVELS)), F.col("weather_daytime"))
+    out = out.withColumn("weather_lbl", F.when(place > 0, place - 1))
+    out = one_hot(out, list(DUMMIES), levels={c: list(v) for c, v in DUMMIES.items()}).fillna(0, dummy_columns())
 
     feats = feature_columns()
     cols = ["origin_id", "store_id", "visit_date", "horizon_day", "flag", *label,

@@ -12,12 +12,13 @@ from pyspark.sql import types as T
 from tidecast.functions.scalars import rounded, weekday0
 from tidecast.operators.bookings import parse_bookings
 from tidecast.operators.calendar import enrich_calendar
-from tidecast.operators.encoders import store_dim
+from tidecast.operators.encoders import label_encode, store_dim
 from tidecast.operators.origins import TEST, OriginSet, assign_origin
 from tidecast.sources.tables import Fixtures
 
 CAL_COLS = ("dow", "month", "holiday_flg", "holiday_next1d", "holiday_prev1d", "holiday_rev")
 STORE_COLS = ("genre", "area_l1", "area_l2", "area_l3", "d_lat", "d_long")
+STORE_LABELS = ("genre", "area_l1", "area_l2", "area_l3")
 
 
 class Frames:
@@ -38,12 +39,20 @@ class Frames:
     @cached_property
     def hist(self) -> DataFrame:
         """(store_id, visit_date, y, dow, holiday_flg, holiday_next1d,
-        weight, genre, area_l1..3): every visit on the log scale."""
-        cal = self.cal.select("visit_date", "holiday_flg", "holiday_next1d", "weight")
+        holiday_prev1d, holiday_rev, weight, genre, area_l1..3): every visit on the log scale."""
+        cal = self.cal.select("visit_date", "holiday_flg", "holiday_next1d", "holiday_prev1d", "holiday_rev", "weight")
         st = self.stores.select("store_id", "genre", "area_l1", "area_l2", "area_l3")
         h = self.fx.history().join(F.broadcast(cal), "visit_date", "left").join(st, "store_id", "left")
         return h.withColumn("dow", weekday0("visit_date"))
 
+    @cached_property
+    def store_labels(self) -> DataFrame:
+        """(store_id, <attribute>_lbl): label codes of the category columns."""
+        st = self.stores.select("store_id", *STORE_LABELS)
+        for c in STORE_LABELS:
+            st = label_encode(st, c)
+        return st.select("store_id", *[f"{c}_lbl" for c in STORE_LABELS])
+
     @cached_property
     def bookings(self) -> DataFrame:
         return parse_bookings(self.fx.bookings)

@@ -68,7 +68,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         LEFT JOIN cal_pad pv ON pv.visit_date = c.visit_date - 1"""),
     "hist": (("visits", "cal_full", "store_dim"), """SELECT v.store_id, v.visit_date,
         ln(1 + v.visitors) AS y, CAST(isodow(v.visit_date) - 1 AS BIGINT) AS dow,
-        c.holiday_flg, c.holiday_next1d, c.weight, s.genre, s.area_l1, s.area_l2, s.area_l3
+        c.holiday_flg, c.holiday_next1d, c.holiday_prev1d, c.holiday_rev, c.weight, s.genre, s.area_l1, s.area_l2, s.area_l3
         FROM visits v LEFT JOIN cal_full c ON v.visit_date = c.visit_date
         LEFT JOIN store_dim s ON v.store_id = s.store_id"""),
     "bookings": ((), """SELECT l.l_suppkey AS store_id,
@@ -397,42 +397,71 @@ def _q() -> dict[str, str]:
         + ", ".join(lag_sel[n] for n in ("lag_10d", "lag_20d", "lag_30d", "lag_1d", "lag_3d", "lag_5d"))
         + f" FROM o9 t LEFT JOIN cal_pad c ON c.visit_date = t.visit_date {joins}", "o9", "hist", "cal_pad")
     q.update(_q_step8())
-    q["dataset_test"] = _dataset_sql(test=True)
-    q["dataset_rolling"] = _dataset_sql(test=False)
+    q["dataset_test"] = _dataset_sql("test")
+    q["dataset_rolling"] = _dataset_sql("train_all")
+    q["dataset_train1"] = _dataset_sql("train1")
+    q["dataset_train2"] = _dataset_sql("train2")
+    q["model_inputs"] = _model_inputs_sql()
     return q
 
 
-def _dataset_sql(test: bool) -> str:
-    """SQL twin of ``build_dataset`` for the test origin or the nine
-    ``train_all`` origins: every block as its own CTE, joined on the keys."""
-    from tidecast.plans.dataset import feature_columns
+# Training sets: days of a target window, number of windows, gap in days, segment flag.
+_SETS = {"train_all": (39, 9, 0, 0), "train1": (6, 60, 0, 1), "train2": (33, 10, 6, 2)}
+_STATS = ("wmean", "ymax", "ymin", "ymed", "ycnt")
+_HIST = ("dow_all", "dowhol_all", "dowhol_next_all", "dowhol_prev_all", "dowhol_rev_all")
+_TRAIL = (5, 10, 20, 30, 50, 100)
+_DUMMY = ([f"dow_{k}" for k in range(1, 7)] + [f"month_{k}" for k in range(2, 13)]
+          + [f"area_l3_lbl_{k}" for k in range(1, 10)] + [f"weather_lbl_{k}" for k in range(1, 5)])
+_BASE = ["dow", "month", "holiday_flg", "holiday_next1d", "holiday_prev1d", "holiday_rev", "d_lat", "d_long",
+         "genre_lbl", "area_l1_lbl", "area_l2_lbl", "area_l3_lbl"]
+_FEATS = (_BASE + [f"{p}_{s}" for p in _HIST for s in _STATS]
+          + ["genre_mean", "genre_dow_mean", "area_mean", "area_dow_mean", "res_ttl", "res_cnt", "res_mean", "res_hr_std",
+             "party_mean_dow", "cnt_mean_dow", "lag_1d", "lag_3d", "lag_5d", "lag_10d", "lag_20d", "lag_30d"]
+          + [f"lag_{w}w" for w in range(1, 21)] + [f"lag_res_{w}w" for w in range(1, 21)]
+          + [f"{a}_{d}d" for d in _TRAIL for a in ("mean", "max", "min", "std", "scale_maxmin", "scale_std")]
+          + ["mean_dow_2w", "mean_dow_4w", "mean_dow_8w", "rainfall", "wind_max", "weather_lbl"] + _DUMMY)
+
+
+def _dataset_sql(set_name: str, exact: bool = False) -> str:
+    """SQL twin of ``build_dataset`` for the test origin or the origins of a
+    training set: every block as its own CTE, joined on the keys. ``exact``
+    leaves the floats unrounded."""
     from tidecast.operators.target_encoding import BASE_KEYSETS
     ctes: dict[str, str] = {}
+    test = set_name == "test"
+    ctes["codes"] = "SELECT store_id, " + ", ".join(
+        f"CAST(DENSE_RANK() OVER (ORDER BY {c}) - 1 AS BIGINT) AS {c}_lbl" for c in ("genre", "area_l1", "area_l2", "area_l3")) + " FROM store_dim"
+    attrs = ("c.month, c.holiday_flg, c.holiday_next1d, c.holiday_prev1d, c.holiday_rev, s.genre, s.area_l1, s.area_l2, "
+             "s.area_l3, s.d_lat, s.d_long, k.genre_lbl, k.area_l1_lbl, k.area_l2_lbl, k.area_l3_lbl")
+    views = ["cal_full", "store_dim", "hist", "bk", "weather"]
     if test:
         ctes["orig"] = (f"SELECT CAST(1 AS BIGINT) AS origin_id, {D0} AS begin_d, {D0} + {HORIZON_DAYS - 1} AS end_d, "
                         f"{D0} AS cutoff")
         ctes["tg"] = ("SELECT t.origin_id, t.store_id, t.visit_date, t.cutoff, t.horizon_day, t.flag, "
-                      "t.dow, c.month, c.holiday_flg, c.holiday_next1d, c.holiday_prev1d, c.holiday_rev, "
-                      "s.genre, s.area_l1, s.area_l2, s.area_l3, s.d_lat, s.d_long "
-                      "FROM t39 t LEFT JOIN cal_full c ON c.visit_date = t.visit_date "
-                      "LEFT JOIN store_dim s ON s.store_id = t.store_id")
-        views = ["t39", "cal_full", "store_dim", "hist", "bk", "weather"]
+                      f"t.dow, {attrs} FROM t39 t LEFT JOIN cal_full c ON c.visit_date = t.visit_date "
+                      "LEFT JOIN store_dim s ON s.store_id = t.store_id LEFT JOIN codes k ON k.store_id = t.store_id")
+        views.append("t39")
         label = []
-        set_name = "test"
     else:
-        ctes["orig"] = "SELECT origin_id, begin_d, end_d, cutoff FROM origins9"
-        ctes["tg"] = ("SELECT t.origin_id, t.store_id, t.visit_date, t.cutoff, t.horizon_day, CAST(0 AS BIGINT) AS flag, "
-                      "t.visitors, t.y, t.dow, c.month, c.holiday_flg, c.holiday_next1d, c.holiday_prev1d, "
-                      "c.holiday_rev, s.genre, s.area_l1, s.area_l2, s.area_l3, s.d_lat, s.d_long "
-                      "FROM o9 t LEFT JOIN cal_full c ON c.visit_date = t.visit_date "
-                      "LEFT JOIN store_dim s ON s.store_id = t.store_id")
-        views = ["o9", "origins9", "cal_full", "store_dim", "hist", "bk", "weather"]
+        days, count, gap, flag = _SETS[set_name]
+        ctes["orig"] = (f"SELECT CAST(i AS BIGINT) AS origin_id, {D0} - CAST({days} * i AS INTEGER) AS begin_d, "
+                        f"{D0} - CAST({days} * i AS INTEGER) + {days - 1} AS end_d, "
+                        f"{D0} - CAST({days} * i AS INTEGER) - {gap} AS cutoff FROM range(1, {count + 1}) AS t(i)")
+        ctes["tg"] = (f"SELECT o.origin_id, t.store_id, t.visit_date, o.cutoff, "
+                      f"CAST((t.visit_date - o.begin_d) + 1 + {gap} AS BIGINT) AS horizon_day, "
+                      f"CAST({flag} AS BIGINT) AS flag, t.visitors, ln(1 + t.visitors) AS y, "
+                      f"CAST(isodow(t.visit_date) - 1 AS BIGINT) AS dow, {attrs} "
+                      "FROM visits t JOIN orig o ON t.visit_date BETWEEN o.begin_d AND o.end_d "
+                      "LEFT JOIN cal_full c ON c.visit_date = t.visit_date "
+                      "LEFT JOIN store_dim s ON s.store_id = t.store_id LEFT JOIN codes k ON k.store_id = t.store_id")
+        views.append("visits")
         label = ["visitors", "y"]
-        set_name = "train_all"
     # history statistics per origin and level
-    lv_a = [("store_id", "dow"), ("store_id",)]
-    lv_b = [("store_id", "dow", "holiday_flg"), ("store_id", "dow"), ("store_id",)]
-    for tag, levels in (("a", lv_a), ("b", lv_b)):
+    families = {"dow_all": [("store_id", "dow"), ("store_id",)]}
+    for prefix, col in (("dowhol_all", "holiday_flg"), ("dowhol_next_all", "holiday_next1d"),
+                        ("dowhol_prev_all", "holiday_prev1d"), ("dowhol_rev_all", "holiday_rev")):
+        families[prefix] = [("store_id", "dow", col), ("store_id", "dow"), ("store_id",)]
+    for tag, levels in families.items():
         for i, keys in enumerate(levels):
             k = ", ".join(f"h.{c}" for c in keys)
             ctes[f"{tag}{i}"] = (f"SELECT o.origin_id, {k}, SUM(h.weight * h.y) / SUM(h.weight) AS wm, AVG(h.y) AS mn, "
@@ -452,8 +481,8 @@ def _dataset_sql(test: bool) -> str:
                     f"{co(lambda i: f'{tag}{i}.md')} AS {prefix}_ymed",
                     f"CAST({co(lambda i: f'{tag}{i}.cn')} AS BIGINT) AS {prefix}_ycnt"])
 
-    fallback("a", lv_a, "dow_all")
-    fallback("b", lv_b, "dowhol_all")
+    for prefix, levels in families.items():
+        fallback(prefix, levels, prefix)
     # target encodings
     if test:
         for i, (name, keys) in enumerate(BASE_KEYSETS.items()):
@@ -516,9 +545,15 @@ def _dataset_sql(test: bool) -> str:
     joins.append("LEFT JOIN td ON td.origin_id = t.origin_id AND td.store_id = t.store_id AND td.dow = t.dow")
     sel += [f"td.mean_dow_{w}w" for w in DOW_WEEKS]
     joins.append("LEFT JOIN weather w ON w.prefecture = t.area_l1 AND w.visit_date = t.visit_date")
-    sel += ["w.rainfall", "w.wind_max"]
-    feats = feature_columns()
-    base_feats = ["month", "holiday_flg", "holiday_next1d", "holiday_prev1d", "holiday_rev", "d_lat", "d_long"]
+    weather = ("CASE w.weather_daytime WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 1 WHEN '3-MEDIUM' THEN 2 "
+               "WHEN '4-NOT SPECIFIED' THEN 3 WHEN '5-LOW' THEN 4 END")
+    sel += ["w.rainfall", "w.wind_max", f"CAST({weather} AS BIGINT) AS weather_lbl"]
+    for name in _DUMMY:
+        col, level = name.rsplit("_", 1)
+        of = weather if col == "weather_lbl" else f"t.{col}"
+        sel.append(f"CAST(COALESCE({of}, -1) = {level} AS BIGINT) AS {name}")
+    feats = _FEATS
+    base_feats = [c for c in _BASE if c != "dow"]
     ctes["wide"] = ("SELECT t.origin_id, t.store_id, t.visit_date, t.horizon_day, t.flag, "
                     + "".join(f"t.{c}, " for c in label)
                     + "t.genre, t.area_l1, t.area_l2, t.area_l3, t.dow, "
@@ -526,16 +561,38 @@ def _dataset_sql(test: bool) -> str:
                     + " FROM tg t " + " ".join(joins))
     na = " + ".join(f"CAST({c} IS NULL AS BIGINT)" for c in feats)
     outs = ["origin_id", "store_id", "visit_date", "horizon_day", "flag"]
-    outs += [r("y") + " AS y" if c == "y" else c for c in label]
+    out = (lambda x: x) if exact else r
+    outs += [out("y") + " AS y" if c == "y" else c for c in label]
     outs += ["genre", "area_l1", "area_l2", "area_l3", f"'{set_name}' AS set", f"{na} AS na_cnt"]
-    outs += [f"{r(f'COALESCE({c}, -1)')} AS {c}" if c not in _INT_FEATS else f"COALESCE({c}, -1) AS {c}"
+    outs += [f"{out(f'COALESCE({c}, -1)')} AS {c}" if c not in _INT_FEATS else f"COALESCE({c}, -1) AS {c}"
              for c in feats]
     return with_views(f"SELECT {', '.join(outs)} FROM wide", *views, extra=ctes)
 
 
-_INT_FEATS = {"dow", "month", "holiday_flg", "holiday_next1d", "holiday_prev1d", "holiday_rev",
-              "dow_all_ycnt", "dowhol_all_ycnt", "res_ttl", "res_cnt",
-              *[f"lag_res_{w}w" for w in WEEK_LAGS]}
+_INT_FEATS = {"dow", "month", "holiday_flg", "holiday_next1d", "holiday_prev1d", "holiday_rev", "genre_lbl", "area_l1_lbl",
+              "area_l2_lbl", "area_l3_lbl", *[f"{p}_ycnt" for p in _HIST], "res_ttl", "res_cnt", "weather_lbl", *_DUMMY,
+              *[f"lag_res_{w}w" for w in range(1, 21)]}
+
+
+def _model_inputs_sql() -> str:
+    """Train and test rows together: -1 to the median over both, then
+    infinity to 0, for the columns that the first-stage models list."""
+    trail = [f"{a}_{d}d" for d in _TRAIL for a in ("mean", "max", "min", "std", "scale_maxmin", "scale_std")]
+    med = ([f"{p}_{s}" for p in _HIST for s in ("wmean", "ymax", "ymin", "ymed")]
+           + ["genre_mean", "genre_dow_mean", "area_mean", "area_dow_mean"] + trail)
+    cols = ", ".join(_FEATS)
+    outs = []
+    for c in _FEATS:
+        e = f"CASE WHEN u.{c} = -1 THEN m.{c} ELSE u.{c} END" if c in med else f"u.{c}"
+        if c.startswith("scale_"):
+            e = f"CASE WHEN isinf({e}) THEN 0 ELSE {e} END"
+        outs.append(f"{e} AS {c}" if c in _INT_FEATS else f"{r(e)} AS {c}")
+    return (f"WITH u AS MATERIALIZED (SELECT CAST(0 AS BIGINT) AS is_test, store_id, visit_date, y, {cols} "
+            f"FROM ({_dataset_sql('train_all', exact=True)}) UNION ALL "
+            f"SELECT CAST(1 AS BIGINT), store_id, visit_date, CAST(NULL AS DOUBLE), {cols} "
+            f"FROM ({_dataset_sql('test', exact=True)})), "
+            f"m AS MATERIALIZED (SELECT {', '.join(f'MEDIAN({c}) AS {c}' for c in med)} FROM u) "
+            f"SELECT u.is_test, u.store_id, u.visit_date, {r('u.y')} AS y, {', '.join(outs)} FROM u, m")
 
 
 # ---- step 8: naive forecasters, ensemble, scores, submission ----------------
@@ -642,6 +699,17 @@ def _q_step8() -> dict[str, str]:
     q["submission_adjust"] = with_views(
         f"SELECT id, {r('visitors')} AS visitors_raw, {r('visitors_adj')} AS visitors_adj FROM adj",
         *views, "horizon_ids", extra=subm2)
+    # The sixteen dates of the ensemble submission, as days after the first one.
+    ens_fac = ((2, 1.10), (3, 1.00), (4, 1.10), (5, 1.00), (6, 1.00), (7, 1.30), (8, 1.40), (9, 1.10), (10, 1.10),
+               (11, 1.05), (12, 1.05), (13, 1.00), (14, 1.10), (15, 0.95), (16, 0.95), (17, 1.00))
+    subm4 = dict(nt)
+    subm4["fac"] = " UNION ALL ".join(f"SELECT {D0} + {k} AS visit_date, CAST({v!r} AS DOUBLE) AS factor" for k, v in ens_fac)
+    third = f"({_blend_expr(EQUAL_WEIGHTS)}) * {a} + ({_blend_expr(BLEND_WEIGHTS)}) * {1.0 - a!r}"
+    subm4["sb"] = (f"SELECT i.id, i.visit_date, EXP({third}) - 1 AS visitors FROM horizon_ids i "
+                   "LEFT JOIN np ON np.store_id = i.store_id AND np.visit_date = i.visit_date")
+    q["submission_ensemble"] = with_views(
+        f"SELECT sb.id, {r('sb.visitors')} AS visitors_raw, {r('sb.visitors * COALESCE(fac.factor, 1.0)')} AS visitors_adj "
+        "FROM sb LEFT JOIN fac ON fac.visit_date = sb.visit_date", *views, "horizon_ids", extra=subm4)
     subm3 = dict(subm2)
     subm3["act"] = (f"SELECT visit_date + 364 AS visit_date, AVG(visitors) AS actual_last_year FROM visits "
                     f"WHERE visit_date + 364 BETWEEN {D0} AND {D0} + {HORIZON_DAYS - 1} GROUP BY 1")

@@ -60,12 +60,17 @@ QUERIES = {
     "backtest_scores": c.backtest_scores,
     "submission_build": c.submission_build,
     "submission_adjust": c.submission_adjust,
+    "submission_ensemble": c.submission_ensemble,
     "yoy_compare": c.yoy_compare_q,
     "dataset_test": c.dataset_test,
     "dataset_rolling": c.dataset_rolling,
+    "dataset_train1": c.dataset_train1,
+    "dataset_train2": c.dataset_train2,
+    "model_inputs": c.model_inputs_q,
     "crossfit_gbt": c.crossfit_gbt,
     "bagged_fit": c.bagged_fit,
     "ens_stack": c.ens_stack,
+    "score_stack": c.score_stack,
     "feature_importance": c.feature_importance,
 }
 

@@ -31,6 +31,10 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 # Reference date of the forecast (first day of the test horizon) and its length.
 INI = dt.date(2001, 8, 1)
 HORIZON_DAYS = 39
+# Levels of the category columns that the mapping gives: weather labels
+# (order priorities) and the number of third area levels (supplier key % 10).
+WEATHER_LEVELS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+AREA_L3_LEVELS = 10
 
 # Month-day of the holidays flagged in the calendar view.
 HOLIDAY_MONTH_DAYS = ("01-01", "02-11", "04-29", "05-03", "05-04", "05-05",
