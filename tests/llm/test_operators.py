@@ -227,6 +227,14 @@ def test_html_rules(spark):
     assert len(rows) == 5 and all(r.n_chars == len(r.text) for r in rows) and html_extract.extract_pages(frame.limit(0)).count() == 0
 
 
+def test_html_article_is_a_prior_only():
+    prose = "The cat is on the mat and it was a very nice day for all of the people who were there, and that is what we have to say about it. " * 2
+    links = "".join(f"<li><a href={i}>Another headline about shoes and hats number {i} of this series, with more words</a> 3 Jan</li>" for i in range(3))
+    page = (f"<article><h2>Teaser</h2><p>A lead.</p></article><div><p>{prose}</p><p>Short one.</p><p>{prose}</p></div><p>Last updated</p>"
+            f"<article><h2>Next</h2><p>{prose}</p><ul class=x>{links}</ul></article><p>Call us</p>")
+    assert html_extract.main_text(page) == "\n".join(["Teaser", "A lead.", prose.strip(), "Short one.", prose.strip(), "Next", prose.strip()])
+
+
 def test_buckets_are_optimal():
     rng = np.random.default_rng(1)
     for _ in range(20):

@@ -2,10 +2,11 @@
 
 Pass 1 decides blocks by their container, link density, length and stop-word
 density: text inside menus, headers, footers, sidebars, notices, adverts,
-forms and comments is bad, text of an article element is good, long blocks
-with many stop words are good, blocks with many links are bad. Pass 2 gives
-blocks left open (short, or of middling stop-word density) the label of their
-nearest decided neighbours.
+forms and comments is bad, long blocks with many stop words are good, blocks
+with many links are bad. Pass 2 gives blocks left open (short, or of middling
+stop-word density) the label of their nearest decided neighbours. An article
+or main element is a prior: inside it more blocks are left open and its edge
+counts as good, outside it nothing but the text speaks for a block.
 
 Pages are independent: no shuffle; memory is bounded by one Arrow batch.
 """
@@ -141,51 +142,78 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
-def _first_pass(b: Block, has_article: bool) -> str:
+def _first_pass(b: Block) -> str:
+    """good, bad, near (reads like prose, but has links or is not long) or
+    short (says little by itself)."""
+    if b.place == "bad":
+        return "bad"
+    article = b.place == "article"
     density = b.link_chars / len(b.text)
-    if b.place == "bad" or "©" in b.text and b.place != "article":
+    if "©" in b.text and not article:
         return "bad"
-    if b.place == "article":
-        return "bad" if density > MAX_ARTICLE_LINK_DENSITY and len(b.text) < SHORT and not b.heading else "good"
-    if has_article or density > MAX_LINK_DENSITY:
+    if density > (MAX_ARTICLE_LINK_DENSITY if article else MAX_LINK_DENSITY) and not (article and b.heading):
         return "bad"
     if len(b.text) < SHORT:
-        return "bad" if density else "short"
+        return "bad" if density and not article else "short"
     words = _WORD.findall(b.text.lower())
     stop = sum(w in STOP_WORDS for w in words) / max(1, len(words))
+    if density > MAX_LINK_DENSITY:  # in an article: prose with many links, or a list of them
+        return "near" if stop >= STOP_LOW or b.heading else "bad"
     if stop >= STOP_HIGH:
         return "good" if len(b.text) >= LONG else "near"
-    return "near" if stop >= STOP_LOW else "bad"
+    return "near" if stop >= STOP_LOW else "short" if article else "bad"
+
+
+def _inherited(found: list[Block], first: list[str], order: range) -> list[tuple[str, int]]:
+    """For each block the nearest decided label before it in ``order`` and its
+    distance. Inside an article, boilerplate containers are passed over and
+    the article's edge counts as good; outside, an article's blocks and the
+    page's edge count as bad."""
+    out: list[tuple[str, int]] = [("bad", 0)] * len(found)
+    inside, outside = ("good", order[0] - order.step), ("bad", order[0] - order.step)
+    was = None
+    for i in order:
+        place = found[i].place
+        if place == "article":
+            if was == "open" or was is None:
+                inside = ("good", i - order.step)
+            label, at = inside
+            if first[i] in ("good", "bad"):
+                inside = (first[i], i)
+            outside = ("bad", i)
+        else:
+            label, at = outside
+            if first[i] in ("good", "bad"):
+                outside = (first[i], i)
+        if place != "bad":
+            was = place
+        out[i] = (label, abs(i - at))
+    return out
 
 
 def classify(found: list[Block]) -> list[Block]:
-    """Label every block good or bad. An open block whose nearest decided
-    neighbours differ takes the label of the closer one; at equal distance a
-    block of middling density is good, a short one bad. A page's edge counts
-    as bad, except for a heading, which looks only at what follows."""
-    has_article = any(b.place == "article" for b in found)
-    first = [_first_pass(b, has_article) for b in found]
-    decided = [i for i, k in enumerate(first) if k in ("good", "bad")]
-    before, last = [], -1
-    for i, k in enumerate(first):
-        before.append(last)
-        last = i if k in ("good", "bad") else last
-    after, last = [0] * len(first), len(first)
-    for i in range(len(first) - 1, -1, -1):
-        after[i] = last
-        last = i if first[i] in ("good", "bad") else last
-    for i, (b, k) in enumerate(zip(found, first)):
+    """Label every block good or bad by its text; being inside an article
+    speaks for a block that its text leaves open, being outside against it.
+    An open block whose nearest decided neighbours differ takes the label of
+    the closer one; at equal distance a block of middling density is good, a
+    short one only inside an article. A page's edge and an article next to it
+    count as bad, an article's edge seen from inside as good; a heading looks
+    only at what follows."""
+    if not found:
+        return found
+    first = [_first_pass(b) for b in found]
+    before = _inherited(found, first, range(len(found)))
+    after = _inherited(found, first, range(len(found) - 1, -1, -1))
+    decided = any(k in ("good", "bad") for k in first)
+    for b, k, (left, far), (right, near) in zip(found, first, before, after):
         if k in ("good", "bad"):
             b.label = k
-            continue
-        left = first[before[i]] if before[i] >= 0 else "bad"
-        right = first[after[i]] if after[i] < len(first) else "bad"
-        if left == right or b.heading:
+        elif left == right or b.heading:
             b.label = right
-        elif i - before[i] != after[i] - i:
-            b.label = left if i - before[i] < after[i] - i else right
+        elif far != near:
+            b.label = left if far < near else right
         else:
-            b.label = "good" if k == "near" else "bad"
+            b.label = "good" if k == "near" or b.place == "article" else "bad"
         if not decided and k == "near":
             b.label = "good"  # nothing to inherit from: keep what reads like prose
     return found
