@@ -235,6 +235,18 @@ def test_html_article_is_a_prior_only():
     assert html_extract.main_text(page) == "\n".join(["Teaser", "A lead.", prose.strip(), "Short one.", prose.strip(), "Next", prose.strip()])
 
 
+@pytest.mark.parametrize("start, end", [
+    ('<div class="content-sidebar-wrap">', "</div>"), ('<div class="has-sidebar no-comments">', "</div>"), ("<form action=/>", "</form>"),
+    ('<form action=/><div class="content-sidebar-wrap">', "</div></form>"), ('<div class="page search">', "</div>"),
+    ('<div class="widget"><article>', "</article></div>"), ("<aside><main>", "</main></aside>")])
+def test_html_hinted_container_round_the_page(start, end):
+    prose = "The cat is on the mat and it was a very nice day for all of the people who were there, and that is what we have to say about it. " * 4
+    side = "The shop is open on all of the days of the week, and it is in the centre of the town. " * 6
+    page = (f'<html><head><title>No</title><meta name=x><body><div class="sidebar">{side}</div>{start}<p>{prose}</p><p>{prose}</p><div class="ad">Buy</div>'
+            f'<p>{prose}</p>{end}<div id="comments"><article class="comment">{side}</article></div><footer>&copy; us</footer></body></html>')
+    assert html_extract.main_text(page) == "\n".join([prose.strip()] * 3)
+
+
 def test_buckets_are_optimal():
     rng = np.random.default_rng(1)
     for _ in range(20):

@@ -6,7 +6,9 @@ forms and comments is bad, long blocks with many stop words are good, blocks
 with many links are bad. Pass 2 gives blocks left open (short, or of middling
 stop-word density) the label of their nearest decided neighbours. An article
 or main element is a prior: inside it more blocks are left open and its edge
-counts as good, outside it nothing but the text speaks for a block.
+counts as good, outside it nothing but the text speaks for a block. The name
+of a container, or a form, is a hint: one that holds the page's main text is
+judged by its text, and main and article end a hint.
 
 Pages are independent: no shuffle; memory is bounded by one Arrow batch.
 """
@@ -39,19 +41,25 @@ MAX_LINK_DENSITY = 0.2
 MAX_ARTICLE_LINK_DENSITY = 0.8
 
 #: Elements whose content is never text of the page.
-_SKIPPED = r"script|style|noscript|template|iframe|object|svg|math|canvas|audio|video|head|title|select|textarea|button"
+_SKIPPED = r"script|style|noscript|template|iframe|object|svg|math|canvas|audio|video|title|select|textarea|button"
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<skip>{_SKIPPED})\b[^>]*(?:/>|>.*?(?:</(?P=skip)\s*>|\Z))"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)>|<[!?/][^>]*>", re.S | re.I)
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small "
                     "span strike strong sub sup time tt u var wbr".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_BAD_TAGS = frozenset("nav footer aside form menu dialog fieldset".split())
+_BAD_TAGS = frozenset("nav footer aside menu dialog".split())
+_FORM_TAGS = frozenset("form fieldset".split())
 _ATTRIBUTE = re.compile(r"""(?:class|id|role|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _BAD_NAME = re.compile(
     r"(?:^|[\s_-])(?:ads?|adv|advert\w*|banner|sponsor\w*|promo\w*|sidebars?|widgets?|menus?|nav|navbar|navigation|breadcrumbs?|footer|"
     r"cookies?|consent|notices?|gdpr|popup|modal|newsletter|subscri\w*|share|sharing|social|related|comments?|disqus|respond|replies|reply|"
     r"login|signup|search|pagination|pager|toolbar|skip|masthead|contentinfo|complementary|site-header|page-header|form)(?:$|[\s_-])", re.I)
+#: Names that tell of a state rather than a container; names of wrappers.
+_STATE_NAME = re.compile(r"(?:has|no|not|non|with|without)[_-]", re.I)
+_WRAP_NAME = re.compile(r"(?:^|[_-])(?:wrap\w*|container|content|main|layout|page|body|site|outer|inner|columns?|grid|row)(?:$|[_-])", re.I)
+#: Least characters of prose in a wrapper, and in a container whose whole name is that of boilerplate.
+WRAPPER, NAMED = LONG, 5 * LONG
 _BLANKS = re.compile(r"\s+")
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -59,20 +67,55 @@ _WORD = re.compile(r"[^\W\d_]+")
 @dataclass
 class Block:
     """Text between block boundaries. ``place``: bad (inside a boilerplate
-    container), article (inside an article) or open."""
+    container), article (inside an article) or open. ``named``: the containers
+    around it whose name, or form, hints at boilerplate."""
 
     text: str
     link_chars: int
     place: str
     heading: bool
+    named: tuple[int, ...] = ()
     label: str = ""
 
 
+def _hint(name: str, rest: str) -> str | None:
+    """What an element's name and attributes say: named (a name of
+    boilerplate), wrapper (a form, or such a name as part of a wrapper's) or
+    nothing."""
+    words = [w for v in _ATTRIBUTE.findall(rest) for w in v.strip("\"'").split()] if rest else []
+    words = [w for w in words if _BAD_NAME.search(w) and not _STATE_NAME.match(w)]
+    if any(not _WRAP_NAME.search(w) for w in words):
+        return "named"
+    return "wrapper" if words or name in _FORM_TAGS else None
+
+
+def _settle(found: list[Block], kinds: list[str], parents: list[tuple[int, ...]]) -> None:
+    """Blocks of a hinted container are bad, unless the container holds the
+    page's main text: a wrapper with more prose than there is beside it, or a
+    named container when there is none beside it and no article."""
+    prose = [(set(b.named), len(b.text)) for b in found if b.place != "bad" and len(b.text) >= SHORT and b.link_chars <= MAX_LINK_DENSITY * len(b.text)]
+    has_article = any(b.place == "article" and not b.named for b in found)
+    kept = set()
+    for c, kind in enumerate(kinds):
+        own = sum(n for at, n in prose if c in at)
+        if own < (WRAPPER if kind == "wrapper" else NAMED):
+            continue
+        around = set(parents[c])
+        beside = sum(n for at, n in prose if c not in at and all(k in around or kinds[k] == "wrapper" for k in at))
+        if own > beside if kind == "wrapper" else not beside and not has_article:
+            kept.add(c)
+    for b in found:
+        if not kept.issuperset(b.named):
+            b.place = "bad"
+
+
 def blocks(page: str) -> list[Block]:
     """Blocks with text, in page order; character references are decoded,
     white space is one space."""
     out: list[Block] = []
-    stack: list[tuple[str, str]] = []  # open elements and the place they give
+    stack: list[tuple[str, str, tuple[int, ...]]] = []  # open elements, the place they give, the hinted containers around
+    kinds: list[str] = []
+    parents: list[tuple[int, ...]] = []
     text: list[str] = []
     links, breaks = 0, 0
 
@@ -81,8 +124,8 @@ def blocks(page: str) -> list[Block]:
         if text:
             joined = _BLANKS.sub(" ", htmllib.unescape("".join(text))).strip()
             if joined:
-                place = stack[-1][1] if stack else "open"
-                out.append(Block(joined, links, place, any(x[0] in ("h1", "h2", "h3", "h4", "h5", "h6") for x in stack)))
+                _, place, named = stack[-1] if stack else ("", "open", ())
+                out.append(Block(joined, links, place, any(x[0] in ("h1", "h2", "h3", "h4", "h5", "h6") for x in stack), named))
         text, links, breaks = [], 0, 0
 
     at = 0
@@ -116,7 +159,7 @@ def blocks(page: str) -> list[Block]:
                 if inline and stack[k][0] not in _INLINE:
                     break  # an inline end tag closes nothing beyond its block
             continue
-        if name in _VOID:
+        if name in _VOID or name == "head":  # a head without end tag ends where text begins
             continue
         if not inline:  # open inline elements, paragraphs and items end here
             closes = ("li",) if name == "li" else ("p",)
@@ -125,20 +168,28 @@ def blocks(page: str) -> list[Block]:
                 k -= 1
             if any(x[0] in closes for x in stack[k:]):
                 del stack[next(i for i in range(k, len(stack)) if stack[i][0] in closes):]
-        place = stack[-1][1] if stack else "open"
-        if place != "bad":
-            rest = m.group("rest")
+        _, place, named = stack[-1] if stack else ("", "open", ())
+        rest = m.group("rest")
+        if name == "main":
+            place, named = "article", ()
+        elif place != "bad":
+            hint = _hint(name, rest) if name not in ("html", "body") else None
             if name in _BAD_TAGS or (name == "header" and place != "article"):
                 place = "bad"
-            elif rest and any(_BAD_NAME.search(v.strip("\"'")) for v in _ATTRIBUTE.findall(rest)) and name not in ("html", "body", "article", "main"):
-                place = "bad"
-            elif name in ("article", "main"):
-                place = "article"
-        if not m.group("rest").endswith("/"):
-            stack.append((name, place))
+            elif name == "article":
+                if not named or hint is None:  # a comment is often an article too
+                    place, named = "article", () if hint is None else named
+            elif hint:
+                parents.append(named)
+                named += (len(kinds),)
+                kinds.append(hint)
+        if not rest.endswith("/"):
+            stack.append((name, place, named))
     if at < len(page):
         text.append(page[at:])
     flush()
+    if kinds:
+        _settle(out, kinds, parents)
     return out
 
 
