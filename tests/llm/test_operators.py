@@ -286,6 +286,23 @@ def test_license_scan_finds_planted_notices(spark, docs, local, odd):
     assert license_scan.license_matches(odd).count() == 0
 
 
+def test_license_scan_finds_every_occurrence():
+    index = license_scan.TemplateIndex(license_scan.TEMPLATES)
+    short = license_scan.TEMPLATES["MIT"]
+    spans = lambda text: [(f[1], text[f[4]:f[5]]) for f in license_scan.scan_texts([text], index)]
+    assert spans(f"{short} {short}") == [("MIT", short[:-1])] * 2
+    names = ["left-pad", "numpy", "a", "some package", "tool", "x y z", "last"]
+    listed = "\n".join(f"{n} {short}" for n in names)
+    assert spans(listed) == [("MIT", short[:-1])] * len(names)
+    whole = license_scan.TEMPLATES["GPL-3.0"]
+    edited = whole.replace("licensed", "released")[:-1]
+    assert spans(f"{edited}. {whole} {edited}") == [("GPL-3.0", x) for x in (edited, whole[:-1], edited)]
+    words = license_scan.TEMPLATES["MIT-text"].split()
+    third = len(words) // 3  # seven words put in twice: the middle diagonal alone reaches both
+    text = " ".join(words[:third] + ["added"] * 7 + words[third:2 * third] + ["added"] * 7 + words[2 * third:])
+    assert [(f[1], f[2]) for f in license_scan.scan_texts([text], index)] == [("MIT-text", 1.0)]
+
+
 def test_piece_counts_match_greedy_search(docs, local, odd, nothing):
     path = queries.vocabulary("byte_bpe_50k.json")
     rng = random.Random(4)

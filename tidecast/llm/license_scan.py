@@ -4,8 +4,8 @@ Templates (licence notices) are fingerprinted by winnowing hashes of word
 k-grams; an inverted index maps each fingerprint to the places in templates.
 A text's own winnowed fingerprints look up candidates (template, diagonal);
 each candidate's stretch of the text is aligned with the template inside a
-band around the diagonal, and reported with the matched share of the
-template and the span in the text.
+band around the diagonal, unless its words lie in a place already found, and
+reported with the matched share of the template and the span in the text.
 
 The index holds the templates only, so its size has a bound that does not
 grow with the data. Texts are independent: no shuffle.
@@ -103,6 +103,8 @@ class TemplateIndex:
             for p in range(len(grams)):  # all places: a text may winnow others near its own edges
                 self.places[int(grams[p])].append((t, p))
         self.keys = np.array(sorted(self.places), dtype=np.uint64)
+        used = {int(h) for words in self.words for h in words}
+        self.blank = next(v for v in range(len(used) + 1) if v not in used)  # a hash that no template word has
 
 
 def align(template: np.ndarray, text: np.ndarray, shift: int, band: int) -> tuple[int, int, int]:
@@ -136,6 +138,44 @@ def align(template: np.ndarray, text: np.ndarray, shift: int, band: int) -> tupl
     return best[0], best[2], best[3]
 
 
+def occurrences(index: TemplateIndex, t: int, words: np.ndarray, seeds: list[tuple[int, int]], band: int, min_coverage: float) -> list[tuple[int, int, int]]:
+    """First and end word and matched words of the places, apart from each
+    other, where template ``t`` is matched. ``seeds`` are (word, diagonal) of
+    the k-grams shared. Words of a place found are blanked, so a seed outside
+    is aligned with what is left, also where its band holds that place."""
+    template = index.words[t]
+    least = min_coverage * len(template)
+    free, taken = words.copy(), np.zeros(len(words), dtype=bool)
+    failed: set[int] = set()
+    out = []
+
+    def attempt(shift: int) -> tuple[int, int, int]:
+        if shift in failed:
+            return 0, 0, 0
+        near = free[max(0, shift - band):max(0, shift + len(template) + band)]
+        got = align(template, free, shift, band) if np.isin(template, near).sum() >= least else (0, 0, 0)
+        if got[0] < least:  # nor will it match with more words blanked
+            failed.add(shift)
+            return 0, 0, 0
+        return got
+
+    for p, shift in seeds:
+        while not taken[p:p + index.kgram].all():
+            best = attempt(shift)
+            if not best[0]:
+                break
+            if best[0] < len(template):  # another seed's band may hold more of this place
+                for other in sorted({s for w, s in seeds if best[1] <= w < best[2] and s != shift}):
+                    got = attempt(other)
+                    if got[0] > best[0] and got[1] < best[2] and best[1] < got[2]:
+                        best = got
+            matched, first, end = best
+            out.append((first, end, matched))
+            free[first:end] = index.blank
+            taken[first:end] = True
+    return out
+
+
 def scan_texts(texts: list[str | None], index: TemplateIndex, band: int = BAND, min_coverage: float = MIN_COVERAGE) -> Iterator[tuple[int, str, float, int, int, int]]:
     """(text, template, coverage, matched words, first and end character) of
     every place where a template is matched, by text and place."""
@@ -155,17 +195,13 @@ def scan_texts(texts: list[str | None], index: TemplateIndex, band: int = BAND,
             at = winnow(own, index.window)
             begin = w.offsets[d]
             words = w.hashes[begin:w.offsets[d + 1]]
-            hits = sorted({(t, int(p) - q) for p in at for t, q in index.places.get(int(own[p]), ())})
-            found, last = [], {}
-            for t, shift in hits:
-                if t in last and shift - last[t] <= band:
-                    continue  # the band of the diagonal before covers this one
-                last[t] = shift
-                matched, first, end = align(index.words[t], words, shift, band)
-                if matched >= min_coverage * len(index.words[t]):
-                    found.append((first, end, t, matched))
+            seeds = defaultdict(set)
+            for p in at:
+                for t, q in index.places.get(int(own[p]), ()):
+                    seeds[t].add((int(p), int(p) - q))
+            found = [(first, end, t, matched) for t in seeds for first, end, matched in occurrences(index, t, words, sorted(seeds[t]), band, min_coverage)]
             raw = data[a + d]
-            for first, end, t, matched in sorted(set(found)):
+            for first, end, t, matched in sorted(found):
                 lo, hi = int(w.starts[begin + first] - w.base[d]), int(w.ends[begin + end - 1] - w.base[d])
                 lo, hi = len(raw[:lo].decode("utf-8", "surrogatepass")), len(raw[:hi].decode("utf-8", "surrogatepass"))
                 yield a + int(d), index.names[t], matched / len(index.words[t]), matched, lo, hi
