@@ -303,6 +303,15 @@ def test_license_scan_finds_every_occurrence():
     assert [(f[1], f[2]) for f in license_scan.scan_texts([text], index)] == [("MIT-text", 1.0)]
 
 
+def test_license_templates_are_told_apart():
+    index = license_scan.TemplateIndex(license_scan.TEMPLATES)
+    inside = {"Apache-2.0-header": {"Apache-2.0"}, "MIT-full-text": {"MIT-text"}}
+    for name, text in license_scan.TEMPLATES.items():
+        found = {f[1]: f[2] for f in license_scan.scan_texts([f"Some words before. {text} Words after."], index)}
+        assert found.pop(name) == 1 and set(found) == inside.get(name, set()), (name, found)
+    assert {"LGPL-3.0-header", "AGPL-3.0-header", "ISC-text", "CC0-1.0", "EPL-2.0", "Unlicense-text", "BSD-3-Clause-text"} <= set(index.names)
+
+
 def test_piece_counts_match_greedy_search(docs, local, odd, nothing):
     path = queries.vocabulary("byte_bpe_50k.json")
     rng = random.Random(4)

@@ -31,8 +31,33 @@ KGRAM, WINDOW = 3, 3
 BAND = 8
 MIN_COVERAGE = 0.8
 
-#: Notices by licence identifier.
+_BSD_2 = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are "
+    "met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+    "documentation and/or other materials provided with the distribution. ")
+_BSD_3 = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this "
+    "software without specific prior written permission. ")
+_BSD_WARRANTY = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT "
+    "LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT "
+    "HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT "
+    "LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY "
+    "THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF "
+    "THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+_MIT_WARRANTY = (
+    "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
+    "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY "
+    "CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE "
+    "SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.")
+
+#: Notices by licence identifier. Bodies of the long licences
+#: (Apache, GPL family, MPL, EPL, Creative Commons) are not among them.
 TEMPLATES = {
+    "AGPL-3.0-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as "
+        "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-header": (
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. "
@@ -42,13 +67,37 @@ TEMPLATES = {
     "BSD-clauses": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions "
         "are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
+    "BSD-2-Clause-text": _BSD_2 + _BSD_WARRANTY,
+    "BSD-3-Clause-text": _BSD_2 + _BSD_3 + _BSD_WARRANTY,
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC0-1.0": (
+        "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to "
+        "the public domain worldwide. This software is distributed without any warranty."),
+    "EPL-2.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at "
+        "https://www.eclipse.org/legal/epl-2.0/"),
+    "GPL-2.0-header": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
+        "by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
     "GPL-3.0-header": (
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
         "by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    "ISC-text": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that "
+        "the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS "
+        "ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR "
+        "BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR "
+        "PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR "
+        "PERFORMANCE OF THIS SOFTWARE."),
+    "LGPL-2.1-header": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+        "published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    "LGPL-3.0-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+        "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     "MIT": "Released under the MIT License.",
     "MIT-text": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
@@ -59,7 +108,15 @@ TEMPLATES = {
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this "
         "file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    "Unlicense-text": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or "
+        "distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any "
+        "means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in "
+        "the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and "
+        "successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this "
+        "software under copyright law."),
 }
+TEMPLATES["MIT-full-text"] = TEMPLATES["MIT-text"] + " " + _MIT_WARRANTY
 
 #: Bytes of words: letters and digits in lower case, other ASCII is blank,
 #: bytes beyond ASCII stay.
@@ -176,10 +233,35 @@ def occurrences(index: TemplateIndex, t: int, words: np.ndarray, seeds: list[tup
     return out
 
 
+def without_look_alikes(found: list[tuple[int, int, int, int]], sizes: list[int]) -> list[tuple[int, int, int, int]]:
+    """``found`` (first, end, template, matched) without inexact matches
+    whose place another template matches better: more words of it or a larger
+    share of the template, and not less of the other."""
+    found = sorted(found)
+    longest = max((f[1] - f[0] for f in found), default=0)
+    out, low = [], 0
+    for first, end, t, matched in found:
+        while found[low][0] <= first - longest:
+            low += 1
+        better = False
+        if matched < max(end - first, sizes[t]):
+            for a, b, u, m in found[low:]:
+                if a >= end:
+                    break
+                shared = min(b, end) - max(a, first)
+                more, share = m - matched, m * sizes[t] - matched * sizes[u]
+                better |= more >= 0 and share >= 0 and more + share > 0 and 2 * shared > end - first
+        if not better:
+            out.append((first, end, t, matched))
+    return out
+
+
 def scan_texts(texts: list[str | None], index: TemplateIndex, band: int = BAND, min_coverage: float = MIN_COVERAGE) -> Iterator[tuple[int, str, float, int, int, int]]:
     """(text, template, coverage, matched words, first and end character) of
-    every place where a template is matched, by text and place."""
+    every place where a template is matched, by text and place; of licences
+    with much the same notice, the one that matches best."""
     data = [plain(t) for t in texts]
+    sizes = [len(words) for words in index.words]
     for a, b in chunks([len(t) for t in data], 1 << 20):
         w = textvec.words(data[a:b])
         grams = textvec.windows(w.hashes, index.kgram)
@@ -201,7 +283,7 @@ def scan_texts(texts: list[str | None], index: TemplateIndex, band: int = BAND,
                     seeds[t].add((int(p), int(p) - q))
             found = [(first, end, t, matched) for t in seeds for first, end, matched in occurrences(index, t, words, sorted(seeds[t]), band, min_coverage)]
             raw = data[a + d]
-            for first, end, t, matched in sorted(found):
+            for first, end, t, matched in without_look_alikes(found, sizes):
                 lo, hi = int(w.starts[begin + first] - w.base[d]), int(w.ends[begin + end - 1] - w.base[d])
                 lo, hi = len(raw[:lo].decode("utf-8", "surrogatepass")), len(raw[:hi].decode("utf-8", "surrogatepass"))
                 yield a + int(d), index.names[t], matched / len(index.words[t]), matched, lo, hi
