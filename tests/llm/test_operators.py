@@ -247,6 +247,19 @@ def test_html_hinted_container_round_the_page(start, end):
     assert html_extract.main_text(page) == "\n".join([prose.strip()] * 3)
 
 
+@pytest.mark.parametrize("lang, prose", [
+    ("", "यह एक बहुत लंबा वाक्य है जिसमें कोई अंग्रेज़ी शब्द नहीं है और जो केवल पाठ की लंबाई से पहचाना जाना चाहिए। "),
+    ("pl", "Kot siedzi na dywanie, a wszyscy ludzie przyszli zobaczyć, jak wygląda jego nowy dom nad rzeką. "),
+    ("", "Kissa istuu matolla ja kaikki ihmiset tulivat katsomaan, miltä sen uusi koti joen rannalla näyttää. ")])
+def test_html_language_without_stop_list(lang, prose):
+    long = (prose * 4).strip()
+    links = "".join(f"<li><a href={i}>{prose}</a></li>" for i in range(3))
+    page = f"<html lang='{lang}'><body><ul>{links}</ul><p>{long}</p><p>{prose}</p><p>{long}</p><p><a href=1>x</a></p></body></html>"
+    assert html_extract.main_text(page) == "\n".join([long, prose.strip(), long])
+    keywords = "shoes hats coats shirts socks scarves gloves belts wallets watches rings " * 4
+    assert html_extract.main_text(f"<html lang=en-GB><body><p>{keywords}</p></body></html>") == ""
+
+
 def test_buckets_are_optimal():
     rng = np.random.default_rng(1)
     for _ in range(20):

@@ -8,7 +8,8 @@ stop-word density) the label of their nearest decided neighbours. An article
 or main element is a prior: inside it more blocks are left open and its edge
 counts as good, outside it nothing but the text speaks for a block. The name
 of a container, or a form, is a hint: one that holds the page's main text is
-judged by its text, and main and article end a hint.
+judged by its text, and main and article end a hint. Text in a language
+without a stop list is judged by length and links alone.
 
 Pages are independent: no shuffle; memory is bounded by one Arrow batch.
 """
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from tidecast.llm.common import map_arrow
 
 #: Frequent function words of the languages served.
+STOP_LANGUAGES = frozenset("en de fr es".split())
 STOP_WORDS = frozenset(
     "the of and to in a is that it for on with as are was be by this or from at an not but have had he she they his her "
     "which you we were been has their its will would can if there all who what when so no "
@@ -62,6 +64,8 @@ _WRAP_NAME = re.compile(r"(?:^|[_-])(?:wrap\w*|container|content|main|layout|pag
 WRAPPER, NAMED = LONG, 5 * LONG
 _BLANKS = re.compile(r"\s+")
 _WORD = re.compile(r"[^\W\d_]+")
+_LATIN = re.compile(r"[A-Za-zÀ-ɏḀ-ỿ]+")
+_LANGUAGE = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]+)", re.I)
 
 
 @dataclass
@@ -193,7 +197,28 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
-def _first_pass(b: Block) -> str:
+def _stop_shares(found: list[Block], language: str | None) -> list[float | None]:
+    """Share of stop words in each block of SHORT characters at least; None
+    for a block without that test, since its language has no stop list: a block
+    in another script, and all blocks of a page whose text holds too few stop
+    words and that is not declared to be in a language with a list."""
+    shares: list[float | None] = [None] * len(found)
+    stops = total = 0
+    for i, b in enumerate(found):
+        if b.place == "bad" or len(b.text) < SHORT:
+            continue
+        words = _WORD.findall(b.text.lower())
+        if 2 * sum(map(len, _LATIN.findall(b.text))) < sum(map(len, words)):
+            continue
+        stop = sum(w in STOP_WORDS for w in words)
+        shares[i] = stop / max(1, len(words))
+        if b.link_chars <= MAX_LINK_DENSITY * len(b.text):
+            stops, total = stops + stop, total + len(words)
+    listed = stops >= STOP_LOW * total or (language or "").lower() in STOP_LANGUAGES
+    return shares if listed else [None] * len(found)
+
+
+def _first_pass(b: Block, stop: float | None) -> str:
     """good, bad, near (reads like prose, but has links or is not long) or
     short (says little by itself)."""
     if b.place == "bad":
@@ -206,8 +231,8 @@ def _first_pass(b: Block) -> str:
         return "bad"
     if len(b.text) < SHORT:
         return "bad" if density and not article else "short"
-    words = _WORD.findall(b.text.lower())
-    stop = sum(w in STOP_WORDS for w in words) / max(1, len(words))
+    if stop is None:
+        stop = STOP_HIGH  # length and links alone decide
     if density > MAX_LINK_DENSITY:  # in an article: prose with many links, or a list of them
         return "near" if stop >= STOP_LOW or b.heading else "bad"
     if stop >= STOP_HIGH:
@@ -242,17 +267,17 @@ def _inherited(found: list[Block], first: list[str], order: range) -> list[tuple
     return out
 
 
-def classify(found: list[Block]) -> list[Block]:
+def classify(found: list[Block], language: str | None = None) -> list[Block]:
     """Label every block good or bad by its text; being inside an article
     speaks for a block that its text leaves open, being outside against it.
     An open block whose nearest decided neighbours differ takes the label of
     the closer one; at equal distance a block of middling density is good, a
     short one only inside an article. A page's edge and an article next to it
     count as bad, an article's edge seen from inside as good; a heading looks
-    only at what follows."""
+    only at what follows. ``language`` is the one that the page declares."""
     if not found:
         return found
-    first = [_first_pass(b) for b in found]
+    first = [_first_pass(b, stop) for b, stop in zip(found, _stop_shares(found, language))]
     before = _inherited(found, first, range(len(found)))
     after = _inherited(found, first, range(len(found) - 1, -1, -1))
     decided = any(k in ("good", "bad") for k in first)
@@ -271,7 +296,10 @@ def classify(found: list[Block]) -> list[Block]:
 
 
 def main_text(page: str | None) -> str:
-    return "\n".join(b.text for b in classify(blocks(page)) if b.label == "good") if page else ""
+    if not page:
+        return ""
+    declared = _LANGUAGE.search(page)
+    return "\n".join(b.text for b in classify(blocks(page), declared and declared.group(1)) if b.label == "good")
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
