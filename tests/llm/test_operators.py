@@ -202,6 +202,12 @@ def test_language_and_toxicity_odd_rows(odd, nothing, spark):
         assert len(scored) == odd.count() and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in scored)
 
 
+def test_texts_stay_without_a_language_model(odd, docs):
+    kept = langid.keep_identified(odd, langid.train(odd.where("lang is null")), min_score=0.0).collect()
+    assert sorted(str(r.doc_id) for r in kept) == sorted(["4", "4", "5", "None", "7", "8", "9", "10"])
+    assert len(langid.train(docs, max_languages=2)["labels"]) == 2
+
+
 def test_toxicity_on_held_out(spark):
     labels = spark.read.parquet(f"{SMALL}/labels.parquet")
     rows = [r for r in queries.op7_toxicity(spark, SMALL).join(labels, "doc_id").collect() if r.held_out]

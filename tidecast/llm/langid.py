@@ -28,6 +28,8 @@ from tidecast.llm.common import paused_gc
 
 #: Labelled texts that training reads at most, spread over the languages.
 MAX_TRAIN_DOCS = 480
+#: Most languages learned.
+MAX_LANGUAGES = 200
 #: Hashed weights of affix and n-gram features, and most words in the lexicon.
 HASH_BITS = 16
 MAX_LEXICON = 20_000
@@ -286,12 +288,15 @@ class Tagger:
         return out
 
 
-def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", max_docs: int = MAX_TRAIN_DOCS) -> dict:
+def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", max_docs: int = MAX_TRAIN_DOCS,
+          max_languages: int = MAX_LANGUAGES) -> dict:
     """Fit on at most ``max_docs`` rows with a language and a text: as many of
-    each language where there are enough, chosen by a hash of the id. With no
-    such row the model has no labels and predicts nothing."""
+    each language where there are enough, chosen by a hash of the id. Only the
+    ``max_languages`` most frequent languages are learned; texts in others get
+    one of these. With no such row the model has no labels and predicts
+    nothing."""
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    langs = [r[0] for r in rows.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(200).select(lang_col).collect()]
+    langs = [r[0] for r in rows.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(max_languages).select(lang_col).collect()]
     if not langs:
         return {"labels": []}
     # A hash limit for each language brings the candidates near the bound; the
@@ -348,7 +353,8 @@ def tag_languages(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col
 
 def keep_identified(docs: DataFrame, model: dict, text_col: str = "text", min_score: float = 0.5) -> DataFrame:
     """``docs`` with all its columns, without texts whose language is unknown
-    or scores below ``min_score``."""
+    or scores below ``min_score``. A model without labels tells nothing of a
+    text, so then only texts without a letter go."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 
@@ -356,7 +362,7 @@ def keep_identified(docs: DataFrame, model: dict, text_col: str = "text", min_sc
         tagger = Tagger(shared.value) if shared.value["labels"] else None
         for batch in batches:
             if tagger is None:
-                yield batch.slice(0, 0)
+                yield batch.filter(pa.array([any(map(str.isalpha, t or "")) for t in batch.column(at).to_pylist()], pa.bool_()))
                 continue
             with paused_gc():
                 lang, score, _ = tagger.predict(batch.column(at).to_pylist())
