@@ -93,6 +93,16 @@ def test_ngram_links_odd_rows(odd, nothing):
     assert ngram_join.ngram_links(nothing).count() == 0
 
 
+def test_near_copies_go_by_row(spark):
+    words = {k: [f"{k}{i}" for i in range(60)] for k in "abcd"}
+    text = lambda k, *changes: " ".join(f"new{i}" if i in changes else w for i, w in enumerate(words[k]))
+    rows = [(1, text("a")), (1, text("a")), (2, text("a", 59)), (2, text("b")), (None, text("a", 0)), (None, text("a", 1)),
+            (7, text("c")), (7, text("c", 59)), (None, text("d")), (None, text("d", 59)), (None, text("d", 0)), (None, None), (5, ""), (5, ""), (5, " \n")]
+    left = ngram_join.drop_near_copies(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    kinds = sorted((str(r.doc_id), (r.text or "").split(" ")[-1][:1].strip() and (r.text.split()[1][0])) for r in left)
+    assert kinds == sorted([("1", "a"), ("2", "b"), ("7", "c"), ("None", "d"), ("None", ""), ("5", ""), ("5", ""), ("5", "")])
+
+
 def test_band_choice_reaches_the_recall():
     bands, rows = ngram_join.choose_bands(0.8, 0.9999)
     assert 1 - (1 - 0.8 ** rows) ** bands >= 0.9999

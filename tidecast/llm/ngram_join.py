@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidecast.llm import textvec
-from tidecast.llm.common import chunks, map_arrow, paused_gc, store
+from tidecast.llm.common import chunks, map_arrow, normalised, paused_gc, store
 
 #: Words of an n-gram and the least similarity of a link.
 NGRAM = 5
@@ -80,7 +80,9 @@ def _keys(grams: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, bands: int, rows: int, n: int = NGRAM) -> DataFrame:
-    """doc_id, key (null without words) and band hashes of every row."""
+    """doc_id, key (null without words) and band hashes of every row, and a
+    column sha if there is one."""
+    sha = "sha" in docs.columns
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column(1).to_pylist()
@@ -103,10 +105,10 @@ def signatures(docs: DataFrame, bands: int, rows: int, n: int = NGRAM) -> DataFr
             for i, d in enumerate(have):
                 keys[a + d] = key[i].tobytes()
                 found[a + d] = out[i].view(np.int64)
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0).cast(pa.int64()), pa.array(keys, pa.binary()), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "key", "bands"])
+        arrays = [batch.column(0).cast(pa.int64()), pa.array(keys, pa.binary()), pa.array(found, pa.list_(pa.int64()))]
+        return pa.RecordBatch.from_arrays(arrays + list(batch.columns[2:]), ["doc_id", "key", "bands"] + ["sha"] * sha)
 
-    return map_arrow(docs, run, "doc_id bigint, key binary, bands array<bigint>")
+    return map_arrow(docs, run, "doc_id bigint, key binary, bands array<bigint>" + ", sha binary" * sha)
 
 
 def _groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[tuple[tuple, list[dict]]]:
@@ -226,11 +228,25 @@ def ngram_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     words. Texts without words and rows without an id are linked to nothing:
     their class_id is their own id and n_links 0. Repeated rows are copies.
     Other columns are ignored; no rows give no rows."""
-    bands, rows = choose_bands(threshold, recall)
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    sigs = store(signatures(base, bands, rows, n), "signatures")
+    sigs, info = _linked(base, threshold, recall, n, chunk)
     able = sigs.where(F.col("key").isNotNull() & F.col("doc_id").isNotNull())
-    classes = store(able.groupBy("key").agg(F.min("doc_id").alias("rep_id"), F.count("*").alias("size"), F.first("bands").alias("bands")), "classes")
+    alone = sigs.where(F.col("key").isNull() | F.col("doc_id").isNull())
+    return able.select("doc_id", "key").join(info, "key").select("doc_id", "class_id", "rep_id", "n_links").union(
+        alone.select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("rep_id"), F.lit(0).cast("bigint").alias("n_links")))
+
+
+def _linked(base: DataFrame, threshold: float, recall: float, n: int, chunk: int) -> tuple[DataFrame, DataFrame]:
+    """The signatures of all rows of ``base`` (doc_id, text), and for each key
+    its rep_id, class_id and n_links. With a third column sha, rows without an
+    id are linked too, and ``keep`` is the row (no_id, doc_id, sha) of the
+    class that comes first."""
+    by_row = "sha" in base.columns
+    bands, rows = choose_bands(threshold, recall)
+    sigs = store(signatures(base, bands, rows, n), "signatures")
+    able = sigs.where(F.col("key").isNotNull()) if by_row else sigs.where(F.col("key").isNotNull() & F.col("doc_id").isNotNull())
+    keep = [F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "sha")).alias("keep")] if by_row else []
+    classes = store(able.groupBy("key").agg(F.min("doc_id").alias("rep_id"), F.count("*").alias("size"), F.first("bands").alias("bands"), *keep), "classes")
 
     cells = classes.select("key", F.explode("bands").alias("bucket"))
     counts = cells.groupBy("bucket").agg(F.count("*").alias("many")).where("many > 1")
@@ -273,7 +289,11 @@ def ngram_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     # The ids wanted grow with the data, so their texts come by a shuffle at
     # every size rather than by a broadcast that small inputs would allow.
-    sets = map_arrow(base.join(wanted.distinct().hint("merge"), "doc_id", "left_semi"), full_sets, "key binary, grams binary").dropDuplicates(["key"])
+    texts = base.select("doc_id", "text")
+    sets = map_arrow(texts.join(wanted.distinct().hint("merge"), "doc_id", "left_semi"), full_sets, "key binary, grams binary")
+    if by_row:  # sets that only rows without an id have
+        sets = sets.union(map_arrow(texts.where(F.col("doc_id").isNull()), full_sets, "key binary, grams binary"))
+    sets = sets.dropDuplicates(["key"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("key", pa.binary()), ("root", pa.binary()), ("links", pa.int64())])
@@ -304,20 +324,32 @@ def ngram_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   .mapInArrow(verify, "key binary, root binary, links bigint"), "links")
     groups = components(links.where(F.col("key") != F.col("root")).select(F.col("key").alias("a"), F.col("root").alias("b")))
     groups = store(groups.select(F.col("node").alias("key"), "root"), "components")
-    named = groups.join(classes.select("key", "rep_id"), "key").groupBy("root").agg(F.min("rep_id").alias("class_id"))
+    first = [F.min("keep").alias("class_keep")] if by_row else []
+    named = groups.join(classes.select("key", "rep_id", *["keep"] * by_row), "key").groupBy("root").agg(F.min("rep_id").alias("class_id"), *first)
     degree = links.groupBy("key").agg(F.sum("links").alias("links"))
-    found = (groups.join(named, "root").select("key", "class_id").join(degree, "key"))
-    info = store(classes.select("key", "rep_id", "size").join(found, "key", "left")
+    found = (groups.join(named, "root").select("key", "class_id", *["class_keep"] * by_row).join(degree, "key"))
+    info = store(classes.select("key", "rep_id", "size", *["keep"] * by_row).join(found, "key", "left")
                  .select("key", "rep_id", F.coalesce("class_id", "rep_id").alias("class_id"),
-                         (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links")), "info")
-    alone = sigs.where(F.col("key").isNull() | F.col("doc_id").isNull())
-    return able.select("doc_id", "key").join(info, "key").select("doc_id", "class_id", "rep_id", "n_links").union(
-        alone.select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("rep_id"), F.lit(0).cast("bigint").alias("n_links")))
-
-
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with all its columns; of each class of linked documents only
-    the one with the smallest id stays (rows without an id stay)."""
-    found = ngram_links(docs, id_col, text_col, **options)
-    gone = store(found.where(F.col("doc_id") != F.col("class_id")).select(F.col("doc_id").alias("gone__id")).distinct(), "gone")
-    return docs.join(gone.hint("merge"), docs[id_col] == F.col("gone__id"), "left_anti")
+                         (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"),
+                         *[F.coalesce("class_keep", "keep").alias("keep")] * by_row), "info")
+    return sigs, info
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
+                     recall: float = TARGET_RECALL, n: int = NGRAM, chunk: int = CHUNK) -> DataFrame:
+    """``docs`` with all its columns; of each class of linked rows one with the
+    smallest id stays. Rows are told apart by id and text, so rows of one id
+    stay or go by their own texts. Null ids lose against any id; where all ids
+    of a class are null, one row stays. Rows without words stay."""
+    sha = lambda text: F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
+    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), sha(F.col(text_col)).alias("sha"))
+    sigs, info = _linked(base, threshold, recall, n, chunk)
+    rows = store(sigs.where(F.col("key").isNotNull()).groupBy("doc_id", "sha", "key").agg(F.count("*").alias("times")), "rows")
+    stays = F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("sha") == F.col("keep.sha"))
+    gone = store(rows.join(info.select("key", "keep"), "key").where(~stays).select(F.col("doc_id").alias("gone__id"), F.col("sha").alias("gone__sha")), "gone")
+    left = docs.join(gone.hint("merge"), docs[id_col].eqNullSafe(F.col("gone__id")) & (sha(docs[text_col]) == F.col("gone__sha")), "left_anti")
+    if rows.where("times > 1").limit(1).count():  # repeated rows, perhaps of one that stays
+        blank = F.trim(normalised(F.col(text_col))) == ""
+        once = left.where(~blank).withColumn("text__sha", sha(F.col(text_col))).dropDuplicates([id_col, "text__sha"]).drop("text__sha")
+        left = left.where(blank).union(once)
+    return left
