@@ -48,6 +48,29 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[ \t-\r]{2,}|[\t-\r]", " ")
 
 
+#: A key with this share of all rows or more is hot; there are at most so many.
+HOT_KEYS = 1000
+
+
+def keyed_lookup(rows: DataFrame, table: DataFrame, keys: list[str], weight: str) -> DataFrame:
+    """``rows`` left-joined with ``table`` (unique on ``keys``, nulls equal);
+    ``weight`` is how many rows have the key. Keys that hold a thousandth of the
+    table's weight are at most a thousand rows and are broadcast; their rows are
+    spread, by the hash of all columns, over the shuffle that joins the others."""
+    table = store(table, "lookup")
+    rest = [c for c in table.columns if c not in keys]
+    total = table.agg(F.sum(weight).alias("total__"))
+    hot = (table.join(F.broadcast(total), F.col(weight) * HOT_KEYS >= F.col("total__"))
+           .select(*[F.col(c).alias(f"{c}__hot") for c in table.columns]))
+    cold = table.select(*[F.col(c).alias(f"{c}__cold") for c in table.columns], F.lit(-1).cast("bigint").alias("salt__cold"))
+    same = lambda side: [rows[k].eqNullSafe(F.col(f"{k}__{side}")) for k in keys]
+    is_hot = F.col(f"{weight}__hot").isNotNull()
+    spread = F.when(is_hot, F.pmod(F.xxhash64(*rows.columns), F.lit(HOT_KEYS))).otherwise(-1).cast("bigint")
+    marked = rows.join(F.broadcast(hot), same("hot"), "left").withColumn("salt__", spread)
+    both = marked.join(cold, [*same("cold"), F.col("salt__") == F.col("salt__cold")], "left")
+    return both.select(*[rows[c] for c in rows.columns], *[F.when(is_hot, F.col(f"{c}__hot")).otherwise(F.col(f"{c}__cold")).alias(c) for c in rest])
+
+
 def id_bucket(doc_id: Column, parts: int) -> Column:
     """crc32 of the decimal id modulo ``parts``; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(parts)

@@ -7,8 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecast.llm import (bpe_automaton, exact_dedup, html_extract, langid, license_scan, ngram_join, packing, quality_lines,
-                          toxicity, wordpiece_count)
+from tidecast.llm import (bpe_automaton, conversation_repair, exact_dedup, html_extract, langid, license_scan, line_dedup, ngram_join,
+                          packing, quality_lines, spelling, toxicity, wordpiece_count)
 from tidecast.llm.common import id_bucket, read_table
 
 
@@ -71,13 +71,27 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.bpe_codes(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = line_dedup.without_common_lines(read_table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_forms(read_table(spark, sf_dir, "documents"))
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(conversation_repair.damaged(read_table(spark, sf_dir, "conversations")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = {f.__name__: f for f in (op1_language, op2_packing, op3_licenses, op4_html, op5_exact, op6_pieces, op7_toxicity,
-                                   op8_quality, op9_ngram_join, op10_bpe, pipeline)}
+                                   op8_quality, op9_ngram_join, op10_bpe, op11_line_dedup, op12_spelling, op13_conversations,
+                                   pipeline)}
 
 SQL = {
     "op5_exact": r"""
@@ -116,5 +130,15 @@ f AS (
   FROM d LEFT JOIN lines USING (rid) LEFT JOIN r USING (rid)),
 b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM f)
 SELECT *, NOT base_failed AND 100 * n_lost_words <= 50 * n_words AS kept FROM b
+""",
+    "op11_line_dedup": r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT rid, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM d),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+common AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT rid) >= 10),
+m AS (SELECT k.*, common.key IS NOT NULL AS gone FROM k LEFT JOIN common USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY rid, doc_id
 """,
 }
