@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidecast.functions.scalars import hours_between, lead_hours_mod24, weekday0
+from tidecast.operators.history import expanding
 from tidecast.operators.origins import OriginSet
 
 
@@ -55,23 +56,40 @@ def booking_dow(b: DataFrame, keys=("store_id",)) -> DataFrame:
                                            F.avg("_c").alias("cnt_mean_dow"))
 
 
-def booking_stats_by_origin(b: DataFrame, oset: OriginSet) -> DataFrame:
-    """A9 for all origins: a booking belongs to the origin whose target
-    window holds its visit date, if made before that origin's cutoff."""
-    t = b.withColumn("origin_id", oset.tile_of(F.col("visit_date"))).where(F.col("origin_id").isNotNull())
-    t = t.where(F.col("reserve_date") < oset.cutoff_of(F.col("origin_id")))
-    return booking_stats(t, keys=("origin_id", "store_id", "visit_date"))
-
-
-def booking_dow_by_origin(b: DataFrame, oset: OriginSet) -> DataFrame:
-    """A10 + A11 for all origins: bookings are first summed per (store,
-    visit date, reserve date), then copied to each origin that knows them."""
-    daily = (b.groupBy("store_id", "visit_date", "dow", "reserve_date")
-             .agg(F.sum("reserve_visitors").alias("_s"), F.count("reserve_visitors").alias("_n")))
-    q = F.datediff(F.lit(oset.ini), F.col("reserve_date")) - F.lit(oset.gap)
-    hi = F.least(F.lit(oset.count), (F.ceil(q / F.lit(float(oset.skip))) - 1).cast("int"))
-    ex = daily.where(hi >= 1).withColumn("origin_id", F.explode(F.sequence(F.lit(1).cast("long"), hi.cast("long"))))
-    per_day = ex.groupBy("origin_id", "store_id", "visit_date", "dow").agg(
-        (F.sum("_s") / F.sum("_n")).alias("_m"), F.sum("_n").alias("_c"))
-    return per_day.groupBy("origin_id", "store_id", "dow").agg(
-        F.avg("_m").alias("party_mean_dow"), F.avg("_c").alias("cnt_mean_dow"))
+def booking_cube(b: DataFrame, oset: OriginSet) -> DataFrame:
+    """(store_id, visit_date, dow, k, s, n, h, hh): bookings summed per visit
+    date and last origin ``k`` that knows them (made before its cutoff): party
+    sum, count, sum and square sum of the visit hour. All booking features of
+    all origins follow from these sums; an origin knows the sums of its own
+    number and above. Partial aggregation combines a busy store day."""
+    hour = F.col("visit_hour").cast("long")
+    k = oset.last_seen_by(F.col("reserve_date"))
+    return (b.where(F.col("reserve_date") <= F.lit(oset.history_range(None)[1])).withColumn("k", k).where(F.col("k") >= 1)
+            .groupBy("store_id", "visit_date", "dow", "k")
+            .agg(F.sum("reserve_visitors").alias("s"), F.count("reserve_visitors").alias("n"),
+                 F.sum(hour).alias("h"), F.sum(hour * hour).alias("hh"), F.count(hour).alias("nh")))
+
+
+def stats_of_sums(s: Column, n: Column, h: Column, hh: Column, nh: Column) -> dict[str, Column]:
+    """A9 from sums: party sum, count and mean, sample std of the visit hour
+    (hours are integers, so the sums are exact)."""
+    var = (hh - h * h / nh) / (nh - 1)
+    return {"res_ttl": s, "res_cnt": n, "res_mean": F.when(n > 0, s / n),
+            "res_hr_std": F.when(nh > 1, F.sqrt(F.greatest(var, F.lit(0.0))))}
+
+
+def booking_dow_cells(cube: DataFrame, oset: OriginSet) -> DataFrame:
+    """A10 + A11 for all origins: (origin_id, store_id, dow, party_mean_dow,
+    cnt_mean_dow). As older bookings become newer ones' company, a day's mean
+    party moves; the moves are summed per weekday and bucket and cumulated
+    over origins, so no day is copied to each origin that knows it."""
+    w = Window.partitionBy("store_id", "visit_date", "dow").orderBy(F.col("k").desc())
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    days = cube.select("store_id", "visit_date", "dow", "k", F.col("n"), (F.sum("s").over(so_far) / F.sum("n").over(so_far)).alias("m"))
+    before = F.lag("m").over(w)
+    moves = days.select("store_id", "dow", "k", "n", (F.col("m") - F.coalesce(before, F.lit(0.0))).alias("dm"),
+                        before.isNull().cast("long").alias("day"))
+    e = expanding(moves, oset, ["store_id", "dow"], {"_m": ("sum", F.col("dm")), "_c": ("sum", F.col("n")), "_d": ("sum", F.col("day"))},
+                  bucket=F.col("k"))
+    return e.select("origin_id", "store_id", "dow", (F.col("_m") / F.col("_d")).alias("party_mean_dow"),
+                    (F.col("_c") / F.col("_d")).alias("cnt_mean_dow"))

@@ -1,15 +1,11 @@
 """History statistics per key with fallback levels.
 
-Two strategies, both exact and in one plan for all origins:
-
-* ``level_stats``: per key, one array of that key's history sorted by y
-  (bounded by the number of days: visits have one row per store and day),
-  then per origin a filter on the cutoff. Gives weighted mean, mean, max,
-  min, exact median and count; median is not decomposable, so this is the
-  general path.
-* ``expanding_stats`` (W4): decomposable statistics only; partial
-  aggregates per (key, last origin that sees the row), cumulated over
-  origins by a window. Linear in origins, no arrays.
+History is cut into buckets by the last origin that sees a row, so origin i
+sees the buckets i and above. Rows are first counted per (key, bucket,
+value); decomposable statistics (``expanding``) are cumulated over the
+buckets, and the exact median (``level_stats``) is the middle rank of the
+cumulated value counts. Neither holds a key's rows in an array, and both
+spill.
 """
 
 from __future__ import annotations
@@ -22,103 +18,134 @@ from pyspark.sql import functions as F
 from tidecast.operators.origins import OriginSet
 
 STATS = ("wmean", "ymax", "ymin", "ymed", "ycnt")
+#: Statistics of one level, in the order that cells hold them.
+CELL = ("wmean", "mean", "ymax", "ymin", "ymed", "ycnt")
+
+
+def _bucketed(history: DataFrame, oset: OriginSet, keys: Sequence[str], y: str, weight: str) -> DataFrame:
+    """(keys, b, y, n, sw, w): history that some origin sees, counted per value."""
+    seen = history.where(F.col("visit_date") <= F.lit(oset.history_range(None)[1]))
+    w = F.col(weight).cast("double")
+    return (seen.select(*keys, oset.last_seen_by(F.col("visit_date")).alias("b"), F.col(y).alias("y"), w.alias("w"))
+            .where((F.col("b") >= 1) & F.col("y").isNotNull()).groupBy(*keys, "b", "y")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("w") * F.col("y")).alias("sw"), F.sum("w").alias("w")))
+
+
+def _cumulated(counts: DataFrame, keys: Sequence[str], median: bool) -> DataFrame:
+    """(origin_id, keys, wmean, mean, ymax, ymin, ymed, ycnt) from value counts.
+    What a key's origins see changes only at its own buckets: the statistics
+    are taken once for each of those, over the counts of that bucket and above,
+    and hold for the origins down to the next one. The median is the middle
+    rank of the cumulated counts in value order. Null keys are left out."""
+    state = [*keys, "s"]
+    seen = counts.join(counts.select(*keys, F.col("b").alias("s")).distinct(), list(keys)).where(F.col("b") >= F.col("s"))
+    n = F.sum("n")
+    aggs = [F.sum("sw").alias("_sw"), F.sum("w").alias("_w"), (F.sum(F.col("y") * F.col("n")) / n).alias("mean"),
+            F.max("y").alias("ymax"), F.min("y").alias("ymin"), n.alias("ycnt")]
+    if median:
+        by_value = Window.partitionBy(*state).orderBy("y").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        seen = seen.withColumns({"_end": n.over(by_value), "_all": n.over(Window.partitionBy(*state))})
+        low, high = F.floor((F.col("_all") - 1) / 2), F.floor(F.col("_all") / 2)
+        at = lambda k: F.max(F.when((F.col("_end") - F.col("n") <= k) & (k < F.col("_end")), F.col("y")))
+        aggs.append(((at(low) + at(high)) / 2.0).alias("ymed"))
+    else:
+        aggs.append(F.lit(None).cast("double").alias("ymed"))
+    stats = seen.groupBy(*state).agg(*aggs)
+    below = F.coalesce(F.lead("s").over(Window.partitionBy(*keys).orderBy(F.col("s").desc())), F.lit(0).cast("long"))
+    return stats.withColumn("_below", below).select(
+        F.explode(F.sequence(F.col("_below") + 1, "s")).alias("origin_id"), *keys,
+        F.when(F.col("_w") != 0, F.col("_sw") / F.col("_w")).alias("wmean"), "mean", "ymax", "ymin", "ymed", "ycnt")
 
 
 def level_stats(history: DataFrame, oset: OriginSet, keys: Sequence[str],
                 y: str = "y", weight: str = "weight") -> DataFrame:
     """(origin_id, *keys, wmean, mean, ymax, ymin, ymed, ycnt) over history
-    strictly before each origin's cutoff; rows with no history are absent."""
+    strictly before each origin's cutoff; keys with no history are absent."""
     keys = list(keys)
-    arr = history.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct(
-            F.col(y).alias("y"), F.col("visit_date").alias("d"),
-            F.col(weight).cast("double").alias("w")))).alias("h"))
-    per = arr.select(*keys, "h", F.explode(F.sequence(F.lit(1), F.lit(oset.count))).alias("origin_id"))
-    per = per.withColumn("origin_id", F.col("origin_id").cast("long"))
-    cutoff = oset.cutoff_of(F.col("origin_id"))
-    per = per.withColumn("h", F.filter("h", lambda x: x["d"] < cutoff))
-    n = F.size("h")
-    sums = F.aggregate(
-        "h", F.struct(F.lit(0.0).alias("sw"), F.lit(0.0).alias("w"), F.lit(0.0).alias("s")),
-        lambda acc, x: F.struct(
-            (acc["sw"] + F.coalesce(x["w"] * x["y"], F.lit(0.0))).alias("sw"),
-            (acc["w"] + F.coalesce(x["w"], F.lit(0.0))).alias("w"),
-            (acc["s"] + x["y"]).alias("s")))
-    mid_lo = F.get("h", ((n - 1) / 2).cast("int"))["y"]
-    mid_hi = F.get("h", (n / 2).cast("int"))["y"]
-    # One pass of the fold per row: materialise the sums struct as a column.
-    per = per.where(n > 0).withColumn("_sums", sums)
-    return per.select(
-        "origin_id", *keys,
-        (F.col("_sums.sw") / F.col("_sums.w")).alias("wmean"),
-        (F.col("_sums.s") / n).alias("mean"),
-        F.get("h", n - 1)["y"].alias("ymax"),
-        F.get("h", 0)["y"].alias("ymin"),
-        ((mid_lo + mid_hi) / 2.0).alias("ymed"),
-        n.cast("long").alias("ycnt"),
-    )
+    return _cumulated(_bucketed(history, oset, keys, y, weight), keys, True)
+
+
+def slot_of(level: Sequence[str], among: Sequence[Sequence[str]]) -> Column:
+    """Name of a level's cell inside one store: its number and key values;
+    null where a key value is null."""
+    return F.concat(F.lit(f"h{list(map(tuple, among)).index(tuple(level))}"),
+                    *[F.concat(F.lit(":"), F.col(c).cast("string")) for c in level if c != "store_id"])
+
+
+def level_cells(history: DataFrame, oset: OriginSet, levels: Sequence[Sequence[str]],
+                y: str = "y", weight: str = "weight", median: bool = True) -> DataFrame:
+    """All levels in one pass: (origin_id, store_id, slot, vals), ``vals`` in
+    the order of CELL. History moves once, by store (a store has a row a day);
+    the levels are made from its finest value counts."""
+    cols = list(dict.fromkeys(c for lv in levels for c in lv if c != "store_id"))
+    finest = _bucketed(history.repartition("store_id"), oset, ["store_id", *cols], y, weight)
+    slots = F.explode(F.array(*[slot_of(lv, levels) for lv in levels])).alias("slot")
+    counts = (finest.select("store_id", slots, "b", "y", "n", "sw", "w").where(F.col("slot").isNotNull())
+              .groupBy("store_id", "slot", "b", "y").agg(*[F.sum(c).alias(c) for c in ("n", "sw", "w")]))
+    stats = _cumulated(counts, ["store_id", "slot"], median)
+    return stats.select("origin_id", "store_id", "slot", F.array(*[F.col(c).cast("double") for c in CELL]).alias("vals"))
+
+
+def gathered(cells: DataFrame) -> DataFrame:
+    """(origin_id, store_id, cells): all cells of a store as one map. Slots are
+    bounded by the levels' key values, whatever the data."""
+    return cells.groupBy("origin_id", "store_id").agg(F.map_from_entries(F.collect_list(F.struct("slot", "vals"))).alias("cells"))
+
+
+def pick_levels(df: DataFrame, families: Mapping[str, Sequence[Sequence[str]]], among: Sequence[Sequence[str]],
+                stats: Sequence[str] = STATS) -> DataFrame:
+    """J7 on rows with a ``cells`` map: ``<prefix><stat>`` of the first level
+    whose key has history; the weighted mean falls back to the plain mean."""
+    df = df.withColumns({f"_cell{i}": F.try_element_at("cells", slot_of(lv, among)) for i, lv in enumerate(among)})
+    place = {lv: i for i, lv in enumerate(map(tuple, among))}
+    new = {}
+    for prefix, levels in families.items():
+        for stat in stats:
+            of = [(CELL.index("mean") if stat == "wmean" and k else CELL.index(stat), place[tuple(lv)]) for k, lv in enumerate(levels)]
+            value = F.coalesce(*[F.get(F.col(f"_cell{i}"), F.lit(c)) for c, i in of])
+            new[f"{prefix}{stat}"] = value.cast("long") if stat == "ycnt" else value
+    return df.withColumns(new).drop(*[f"_cell{i}" for i in place.values()])
 
 
 def with_fallback(targets: DataFrame, history: DataFrame, oset: OriginSet,
                   levels: Sequence[Sequence[str]], prefix: str | None = None,
-                  y: str = "y", weight: str = "weight", cache: dict | None = None) -> DataFrame:
+                  y: str = "y", weight: str = "weight", median: bool = True) -> DataFrame:
     """J6 + J7: statistics of the first level whose key group has history;
     the weighted mean falls back to the plain mean (as the reference does).
-    ``targets`` needs origin_id and every level's key columns; ``cache``
-    shares level tables between calls (same level, same plan)."""
-    distinct_levels: list[tuple[str, ...]] = []
-    for lv in levels:
-        if tuple(lv) not in distinct_levels:
-            distinct_levels.append(tuple(lv))
-    out = targets
-    cache = {} if cache is None else cache
-    for i, lv in enumerate(distinct_levels):
-        if lv not in cache:
-            cache[lv] = level_stats(history, oset, lv, y, weight)
-        st = cache[lv]
-        st = st.select("origin_id", *lv, *[F.col(c).alias(f"_{c}_{i}") for c in
-                                           ("wmean", "mean", "ymax", "ymin", "ymed", "ycnt")])
-        out = out.join(st, on=["origin_id", *lv], how="left")
-    n = len(distinct_levels)
-    pick = {
-        "wmean": F.coalesce(F.col("_wmean_0"), *[F.col(f"_mean_{i}") for i in range(1, n)]),
-        "ymax": F.coalesce(*[F.col(f"_ymax_{i}") for i in range(n)]),
-        "ymin": F.coalesce(*[F.col(f"_ymin_{i}") for i in range(n)]),
-        "ymed": F.coalesce(*[F.col(f"_ymed_{i}") for i in range(n)]),
-        "ycnt": F.coalesce(*[F.col(f"_ycnt_{i}") for i in range(n)]),
-    }
-    name = (lambda s: f"{prefix}_{s}") if prefix else (lambda s: s)
-    out = out.withColumns({name(k): v for k, v in pick.items()})
-    tmp = [f"_{c}_{i}" for i in range(n) for c in ("wmean", "mean", "ymax", "ymin", "ymed", "ycnt")]
-    return out.drop(*tmp)
+    ``targets`` needs origin_id and every level's key columns; every level has
+    store_id. One join on (origin, store), whatever the number of levels."""
+    among = list(dict.fromkeys(map(tuple, levels)))
+    table = gathered(level_cells(history, oset, among, y, weight, median))
+    stats = STATS if median else tuple(s for s in STATS if s != "ymed")
+    out = targets.join(table, ["origin_id", "store_id"], "left")
+    out = pick_levels(out, {f"{prefix}_" if prefix else "": among}, among, stats).drop("cells")
+    rest = [c for c in out.columns if c not in targets.columns]
+    return out.select(*targets.columns, *rest)
 
 
 def expanding(history: DataFrame, oset: OriginSet, keys: Sequence[str],
-              specs: Mapping[str, tuple[str, Column]]) -> DataFrame:
+              specs: Mapping[str, tuple[str, Column]], bucket: Column | None = None) -> DataFrame:
     """(origin_id, *keys, <name>...) for every origin of the set over all
     history strictly before its cutoff. ``specs`` maps output name to
     (kind, column) with kind in sum / count / min / max: decomposable
     aggregates only. Rows are partially aggregated per (key, last origin
     that sees them) and cumulated over origins by one window, so the cost
-    is linear in the number of origins."""
+    is linear in the number of origins. ``bucket``: that last origin, where
+    it doesn't follow from the visit date."""
     keys = list(keys)
-    q = F.datediff(F.lit(oset.ini), F.col("visit_date")) - F.lit(oset.gap)
-    last = F.least(F.lit(oset.count), (F.ceil(q / F.lit(float(oset.skip))) - 1).cast("int"))
+    if bucket is None:
+        history = history.where(F.col("visit_date") <= F.lit(oset.history_range(None)[1]))
+        bucket = oset.last_seen_by(F.col("visit_date"))
     partial = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
     combine = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
-    part = (history.withColumn("b", last.cast("long")).where(F.col("b") >= 1)
+    part = (history.withColumn("b", bucket.cast("long")).where(F.col("b") >= 1)
             .groupBy(*keys, "b")
-            .agg(*[partial[k](c).alias(n) for n, (k, c) in specs.items()])
-            .withColumn("_grid", F.lit(0)))
-    grid = (part.groupBy(*keys).agg(F.max("b").alias("mb"))
-            .select(*keys, F.explode(F.sequence(F.lit(1).cast("long"), "mb")).alias("b"))
-            .withColumn("_grid", F.lit(1)))
-    both = part.unionByName(grid, allowMissingColumns=True)
-    w = (Window.partitionBy(*keys).orderBy(F.col("b").desc(), F.col("_grid").asc())
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    cum = both.select(*keys, "b", "_grid",
+            .agg(*[partial[k](c).alias(n) for n, (k, c) in specs.items()]))
+    w = (Window.partitionBy(*keys).orderBy(F.col("b").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    cum = part.select(*keys, "b", F.lead("b").over(Window.partitionBy(*keys).orderBy(F.col("b").desc())).alias("_next"),
                       *[combine[k](n).over(w).alias(n) for n, (k, _) in specs.items()])
-    return cum.where(F.col("_grid") == 1).select(F.col("b").alias("origin_id"), *keys, *specs)
+    # What bucket b has cumulated holds for the origins down to the next bucket.
+    return cum.select(F.explode(F.sequence(F.coalesce(F.col("_next"), F.lit(0)) + 1, "b")).alias("origin_id"), *keys, *specs)
 
 
 def expanding_stats(history: DataFrame, oset: OriginSet, keys: Sequence[str],

@@ -58,12 +58,18 @@ class OriginSet:
         ok = (i >= 1) & (i <= self.count) & (F.datediff(date, self.begin_of(i)) < self.split)
         return F.when(ok, i)
 
+    def last_seen_by(self, date: Column) -> Column:
+        """Largest (earliest) origin whose history ``(.., cutoff)`` holds
+        ``date``: origins 1 to that one see it; below 1 none does."""
+        q = F.datediff(F.lit(self.ini), date) - F.lit(self.gap)
+        return F.least(F.lit(self.count), (F.ceil(q / F.lit(float(self.skip))) - 1).cast("int")).cast("long")
+
     def covering(self, date: Column, lookback: int | None) -> Column:
         """Array of origins whose history window ``[cutoff - lookback,
         cutoff)`` holds ``date`` (``lookback=None``: all history before the
         cutoff)."""
         q = F.datediff(F.lit(self.ini), date) - F.lit(self.gap)
-        hi = F.least(F.lit(self.count), (F.ceil(q / F.lit(float(self.skip))) - 1).cast("int"))
+        hi = self.last_seen_by(date)
         if lookback is None:
             lo = F.lit(1)
         else:

@@ -204,7 +204,7 @@ def hist_stats_multi(spark, d):
 def _o9_lags(spark, d, offsets):
     fr = _fr(spark, d)
     t = fr.train_targets(TRAIN_ALL, decorate=False)
-    return finalize(lag_features(t, fr.hist, offsets).select(*KEYS3, *offsets))
+    return finalize(lag_features(t, fr.hist, offsets, oset=TRAIN_ALL).select(*KEYS3, *offsets))
 
 
 def lag_daily(spark, d):
@@ -219,7 +219,7 @@ def lag_booking_q(spark, d):
     fr = _fr(spark, d)
     t = fr.train_targets(TRAIN_ALL, decorate=False)
     names = lag_names(weeks=WEEK_LAGS, prefix="lag_res")
-    return finalize(lag_booking(t, fr.bookings, names).select(*KEYS3, *names))
+    return finalize(lag_booking(t, fr.bookings, names, oset=TRAIN_ALL).select(*KEYS3, *names))
 
 
 def trailing_stats_q(spark, d):
@@ -290,7 +290,7 @@ def target_encode_oof_q(spark, d):
 # ---- step 7: imputation, selection, interactions --------------------------
 def _lags_filled(fr, targets, oset):
     names = lag_names(days=DAY_LAGS)
-    lags = lag_features(targets, fr.hist, names)
+    lags = lag_features(targets, fr.hist, names, oset=oset)
     return imp.fill_and_count(lags, list(names)), list(names)
 
 
@@ -352,7 +352,7 @@ def interactions(spark, d):
 def feature_select(spark, d):
     fr = _fr(spark, d)
     t = fr.train_targets(TRAIN_ALL, decorate=False)
-    lags = lag_features(t, fr.hist, lag_names(days=DAY_LAGS))
+    lags = lag_features(t, fr.hist, lag_names(days=DAY_LAGS), oset=TRAIN_ALL)
     cal = enc.one_hot(calops.pad_calendar(fr.fx.calendar).select("visit_date", "dow"), ["dow"])
     wide = lags.join(F.broadcast(cal), "visit_date", "left")
     long_horizon = [*KEYS3, *cols_like(wide, "dow_"), "lag_10d", "lag_20d", "lag_30d"]

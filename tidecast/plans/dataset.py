@@ -1,29 +1,35 @@
-"""The whole feature dataset for every origin of a set in one plan.
-
-Blocks are computed keyed by (origin, store[, date | weekday]) and joined
-onto the target rows once each; none of them is evaluated per origin.
+"""The whole feature dataset for every origin of a set.
+
+Three inputs, reduced to (store, day) grain, are written once: targets,
+history and the booking cube. Features of a target's own date (lags of visits
+and of bookings, bookings of the day) are window frames over one day axis per
+store. Features of an origin (history levels, trailing windows, weekday means)
+are emitted as long rows (origin, store, slot, values), united and gathered by
+one aggregate, so the wide frame is joined once with them, however many blocks
+there are: memory doesn't grow with the number of features' families.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidecast.functions.scalars import fold_of
-from tidecast.operators.bookings import booking_dow_by_origin, booking_stats_by_origin
+from tidecast.operators.bookings import booking_cube, booking_dow_cells, stats_of_sums
 from tidecast.operators.covariates import weather_join
 from tidecast.operators.encoders import one_hot
-from tidecast.operators.history import with_fallback
+from tidecast.operators.history import gathered, level_cells, pick_levels
 from tidecast.operators.impute import fill_and_count
-from tidecast.operators.lags import DAY_LAGS, WEEK_LAGS, lag_booking, lag_features, lag_names
+from tidecast.operators.lags import DAY_LAGS, WEEK_LAGS, at_offsets, known_lag, lag_names, needed_days, sum_known
 from tidecast.operators.origins import TEST, OriginSet
 from tidecast.operators.target_encoding import BASE_KEYSETS, target_encode_hist, target_encode_oof
 from tidecast.operators.trailing import DOW_WEEKS, TRAIL_DAYS, trailing_dow, trailing_stats
-from tidecast.operators.lags import booking_daily
 from tidecast.session import cut_lineage
 from tidecast.sources.tables import AREA_L3_LEVELS, INI, WEATHER_LEVELS
 from tidecast.plans.frames import CAL_COLS, STORE_COLS, STORE_LABELS, Frames
-from tidecast.plans.partitioning import by_store, distinct_count, enable_copartitioned_joins
+from tidecast.plans.partitioning import BROADCAST_MAX_ROWS, distinct_count
 
 KEYS = ["origin_id", "store_id", "visit_date"]
 STATS = ("wmean", "ymax", "ymin", "ymed", "ycnt")
@@ -65,46 +71,85 @@ def imputed_columns() -> list[str]:
                    for a in ("mean", "max", "min", "std", "scale_maxmin", "scale_std")]
 
 
+def trail_columns() -> list[str]:
+    return [f"{a}_{d}d" for d in TRAIL_DAYS for a in ("mean", "max", "min", "std", "scale_maxmin", "scale_std")]
+
+
+def _cells(block: DataFrame, slot: Column, cols: list[str]) -> DataFrame:
+    return block.select("origin_id", "store_id", slot.alias("slot"), F.array(*[F.col(c).cast("double") for c in cols]).alias("vals"))
+
+
+def origin_cells(hist: DataFrame, cube: DataFrame, oset: OriginSet, levels: list[tuple]) -> DataFrame:
+    """(origin_id, store_id, cells): every feature that belongs to an origin's
+    view of a store, or of a store's weekday, from one union and one aggregate."""
+    dow = F.col("dow").cast("string")
+    blocks = [
+        level_cells(hist, oset, levels),
+        _cells(trailing_stats(hist, oset, TRAIL_DAYS), F.lit("trail"), trail_columns()),
+        _cells(trailing_dow(hist, oset, DOW_WEEKS), F.concat(F.lit("week:"), dow), [f"mean_dow_{w}w" for w in DOW_WEEKS]),
+        _cells(booking_dow_cells(cube, oset), F.concat(F.lit("book:"), dow), list(BOOK_DOW_COLS)),
+    ]
+    return gathered(reduce(DataFrame.unionByName, blocks))
+
+
+def _unpack(df: DataFrame, levels: list[tuple]) -> DataFrame:
+    """Columns from the ``cells`` map."""
+    dow = F.col("dow").cast("string")
+    df = pick_levels(df, {f"{p}_": lv for p, lv in HIST_FAMILIES.items()}, levels)
+    df = df.withColumns({"_trail": F.try_element_at("cells", F.lit("trail")), "_week": F.try_element_at("cells", F.concat(F.lit("week:"), dow)),
+                         "_book": F.try_element_at("cells", F.concat(F.lit("book:"), dow))})
+    new = {c: F.get("_trail", F.lit(i)) for i, c in enumerate(trail_columns())}
+    new |= {f"mean_dow_{w}w": F.get("_week", F.lit(i)) for i, w in enumerate(DOW_WEEKS)}
+    new |= {c: F.get("_book", F.lit(i)) for i, c in enumerate(BOOK_DOW_COLS)}
+    return df.withColumns(new).drop("_trail", "_week", "_book", "cells")
+
+
+def day_features(base: DataFrame, hist: DataFrame, cube: DataFrame, oset: OriginSet) -> DataFrame:
+    """``base`` with lags of visits and of known bookings, and the known
+    bookings of the target date: one window over each store's days."""
+    lags = lag_names(days=DAY_LAGS, weeks=WEEK_LAGS)
+    booked = lag_names(weeks=WEEK_LAGS, prefix="lag_res")
+    longest = max([*lags.values(), *booked.values()])
+    # A day's bookings as one entry per origin that first knows them.
+    entry = lambda *cols: F.collect_list(F.struct("k", *cols))
+    known = (needed_days(cube, oset, longest).groupBy("store_id", "visit_date")
+             .agg(entry("s").alias("known"), entry("s", "n", "h", "hh", "nh").alias("full")))
+    visits = needed_days(hist, oset, longest).select("store_id", "visit_date", "y")
+    facts = visits.unionByName(known, allowMissingColumns=True)
+    wanted = {n: ("y", d) for n, d in lags.items()} | {n: ("known", d) for n, d in booked.items()} | {"_full": ("full", 0)}
+    # The target's own y is no lag.
+    out = at_offsets(base.withColumnRenamed("y", "_y") if "y" in base.columns else base, facts, wanted)
+    sees = lambda x: x["k"] >= F.col("origin_id")
+    new = {n: known_lag(n, d) for n, d in lags.items()} | {n: sum_known(F.col(n), sees) for n in booked}
+    new |= {f"_{c}": sum_known(F.col("_full"), sees, c) for c in ("s", "n", "h", "hh", "nh")}
+    out = out.withColumns(new).withColumns(stats_of_sums(*[F.col(f"_{c}") for c in ("s", "n", "h", "hh", "nh")]))
+    out = out.drop("_full", *[f"_{c}" for c in ("s", "n", "h", "hh", "nh")])
+    return out.withColumnRenamed("_y", "y") if "y" in base.columns else out
+
+
 def build_dataset(fr: Frames, oset: OriginSet, test: bool = False, fill: bool = True) -> DataFrame:
     """Rows: targets of the set (visits in the windows, or the test grid).
     Columns: keys, set, flag, horizon_day, [visitors], categorical store
-    attributes, every feature of ``feature_columns()``, na_cnt.
-
-    Partitioning (see ``tidecast.plans.partitioning``): targets, history and
-    booking aggregates are hash-partitioned by store once; every block is
-    keyed by (origin, store, ...) and joins the wide frame co-partitioned.
-    """
-    spark = fr.spark
-    enable_copartitioned_joins(spark)
+    attributes, every feature of ``feature_columns()``, na_cnt."""
     oset = TEST if test else oset
     t = fr.test_targets() if test else fr.train_targets(oset)
     t = t.join(fr.store_labels, "store_id", "left")
     codes = [f"{c}_lbl" for c in STORE_LABELS]
     label = [] if test else ["visitors", "y"]
-    # Shared inputs, already reduced to (store, day) grain, are materialised
-    # once in the shared checkpoint folder: every block reads them, and the
-    # checkpoint keeps their hash partitioning by store.
-    keep = dict(keep_partitioning=True)
-    base = cut_lineage(by_store(t.select(*KEYS, "cutoff", "horizon_day", "flag", *label, *CAL_COLS, *STORE_COLS, *codes)),
-                       **keep)
-    hist = cut_lineage(by_store(fr.hist.select("store_id", "visit_date", "y", "dow", "holiday_flg", "holiday_next1d",
-                                               "holiday_prev1d", "holiday_rev", "weight", "genre", "area_l3")), **keep)
-    daily = cut_lineage(by_store(booking_daily(fr.bookings)), **keep)
-
-    # Bounds from the dimensions for the category-keyed lookups.
-    n_cat = max(distinct_count(fr.stores, keys) for keys in BASE_KEYSETS.values() if "dow" not in keys)
-    enc_bound = n_cat * 7 * oset.count * 5
+    # Several blocks read these; each is written once to the shared checkpoint folder.
+    base = cut_lineage(t.select(*KEYS, "cutoff", "horizon_day", "flag", *label, *CAL_COLS, *STORE_COLS, *codes))
+    seen = fr.hist.where(F.col("visit_date") <= F.lit(oset.history_range(None)[1]))
+    hist = cut_lineage(seen.select("store_id", "visit_date", "y", "dow", "holiday_flg", "holiday_next1d",
+                                   "holiday_prev1d", "holiday_rev", "weight", "genre", "area_l3"))
+    cube = cut_lineage(booking_cube(fr.bookings, oset))
 
-    # History statistics with fallbacks (level tables shared by all families).
-    cache: dict = {}
-    out = base
-    for prefix, levels in HIST_FAMILIES.items():
-        out = with_fallback(out, hist, oset, levels, prefix=prefix, cache=cache)
+    out = day_features(base, hist, cube, oset)
 
     # Target encodings: history means for the test origin, out-of-fold
     # means of the window's own labels for training origins. Keyed by
-    # category: broadcast behind the level bound.
-    small = enc_bound <= 2_000_000
+    # category: broadcast behind a bound from the store dimension.
+    n_cat = max(distinct_count(fr.stores, keys) for keys in BASE_KEYSETS.values() if "dow" not in keys)
+    small = n_cat * 7 * oset.count * 5 <= BROADCAST_MAX_ROWS
     if test:
         out = target_encode_hist(out, hist.where(F.col("visit_date") < F.lit(INI)), BASE_KEYSETS, broadcast=small)
     else:
@@ -112,23 +157,13 @@ def build_dataset(fr: Frames, oset: OriginSet, test: bool = False, fill: bool =
         out = target_encode_oof(out.withColumn("fold", fold), BASE_KEYSETS, broadcast=small,
                                 rows=base.withColumn("fold", fold)).drop("fold")
 
-    # Bookings known before the cutoff (aggregates re-keyed by store).
-    out = out.join(by_store(booking_stats_by_origin(fr.bookings, oset)), KEYS, "left")
-    out = out.join(by_store(booking_dow_by_origin(fr.bookings, oset)), ["origin_id", "store_id", "dow"], "left")
-
-    # Calendar-date lags of visits and of booking sums (one join each).
-    tk = base.select(*KEYS, "cutoff")
-    out = out.join(lag_features(tk, hist, lag_names(days=DAY_LAGS, weeks=WEEK_LAGS)), KEYS, "left")
-    out = out.join(lag_booking(tk, None, lag_names(weeks=WEEK_LAGS, prefix="lag_res"), daily=daily), KEYS, "left")
-
-    # Trailing windows at the cutoff.
-    out = out.join(trailing_stats(hist, oset, TRAIL_DAYS), ["origin_id", "store_id"], "left")
-    out = out.join(trailing_dow(hist, oset, DOW_WEEKS), ["origin_id", "store_id", "dow"], "left")
+    levels = list(dict.fromkeys(lv for of in HIST_FAMILIES.values() for lv in of))
+    out = _unpack(out.join(origin_cells(hist, cube, oset, levels), ["origin_id", "store_id"], "left"), levels)
 
     # Weather of the target day: (region, day) table, bounded by regions x days.
     w_bound = distinct_count(fr.stores, ["area_l1"]) * fr.cal.count()
     out = weather_join(out, fr.fx.weather, cols=("rainfall", "wind_max", "weather_daytime"),
-                       broadcast=w_bound <= 2_000_000)
+                       broadcast=w_bound <= BROADCAST_MAX_ROWS)
     place = F.array_position(F.array(*map(F.lit, WEATHER_LEVELS)), F.col("weather_daytime"))
     out = out.withColumn("weather_lbl", F.when(place > 0, place - 1))
     out = one_hot(out, list(DUMMIES), levels={c: list(v) for c, v in DUMMIES.items()}).fillna(0, dummy_columns())
@@ -140,4 +175,3 @@ def build_dataset(fr: Frames, oset: OriginSet, test: bool = False, fill: bool =
     if fill:
         out = fill_and_count(out, feats)
     return out
-

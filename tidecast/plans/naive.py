@@ -24,8 +24,8 @@ KEYS = ["origin_id", "store_id", "visit_date"]
 def naive_wide(fr: Frames, oset: OriginSet, targets: DataFrame) -> DataFrame:
     """(origin_id, store_id, visit_date, flag, y?, pred_1, pred_2, pred_3)."""
     base = targets.select(*KEYS, "cutoff", "dow", "flag", *(["y"] if "y" in targets.columns else []))
-    m1 = with_fallback(base.select(*KEYS, "dow"), fr.hist, oset, [("store_id", "dow"), ("store_id",)])
-    lag = lag_features(base, fr.hist, {"lag_7w": 49})
+    m1 = with_fallback(base.select(*KEYS, "dow"), fr.hist, oset, [("store_id", "dow"), ("store_id",)], median=False)
+    lag = lag_features(base, fr.hist, {"lag_7w": 49}, oset=oset)
     tr = trailing_stats(fr.hist, oset, [50], scales=False, aggs=("mean",))
     w = (base.join(m1.select(*KEYS, "wmean"), KEYS, "left").join(lag, KEYS, "left")
          .join(tr, ["origin_id", "store_id"], "left"))

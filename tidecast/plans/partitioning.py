@@ -1,48 +1,22 @@
 """Partitioning policy of the composed plans.
 
 Facts are first reduced to one row per (store, day) (or per store, visit
-day and booking day). After that, the rows of any store are bounded by the
+day and booking bucket). After that, the rows of any store are bounded by the
 number of days in the calendar, whatever the data volume, so ``store_id``
-is a skew-safe partitioning key. The plans hash-partition every input of a
-feature block by ``store_id`` once; aggregations keyed by (..., store_id,
-...) then need no shuffle, and joins between blocks and the wide target
-frame are co-partitioned, so the wide frame is never moved again.
-
-Blocks keyed by a category (genre, area) or by (region, day) are joined by
-broadcast, but only behind a bound computed from the dimension tables.
+is a skew-safe partitioning key. Blocks keyed by a category (genre, area) or
+by (region, day) are joined by broadcast, but only behind a bound computed from
+the dimension tables; beyond it they shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-PART_KEY = "store_id"
 # Largest lookup table (rows) the plans broadcast; beyond it they shuffle.
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-def enable_copartitioned_joins(spark: SparkSession) -> None:
-    """Let a join reuse a hash partitioning on a subset of its keys
-    (here: store_id) instead of re-shuffling both sides on all keys."""
-    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
-
-
-def num_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def by_store(df: DataFrame, n: int | None = None) -> DataFrame:
-    """Hash-partition by the store key."""
-    return df.repartition(n or num_partitions(df.sparkSession), PART_KEY)
-
-
 def distinct_count(df: DataFrame, cols) -> int:
     """Number of distinct level combinations in a dimension table (a small
     action on the dimension, never on facts)."""
     return df.select(*cols).distinct().count()
-
-
-def maybe_broadcast(df: DataFrame, bound_rows: int, limit: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only when the proven row bound is under the limit."""
-    return F.broadcast(df) if bound_rows <= limit else df

@@ -24,8 +24,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.driver.memory": os.environ.get("TIDECAST_DRIVER_MEMORY", "16g"),
     }
+    if "TIDECAST_DRIVER_MEMORY" in os.environ:
+        conf["spark.driver.memory"] = os.environ["TIDECAST_DRIVER_MEMORY"]
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     for k, v in conf.items():
@@ -56,21 +57,8 @@ def shared_path(spark: SparkSession, tag: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame, keep_partitioning: bool = False) -> DataFrame:
+def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder: survives
-    executor loss, unlike a local checkpoint.
-
-    ``keep_partitioning``: plan the checkpointed query without adaptive
-    execution, so its hash partitioning is recorded with the checkpoint and
-    later aggregations / joins on that key need no shuffle (an adaptive plan
-    reports unknown partitioning)."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    if not keep_partitioning:
-        return df.checkpoint(eager=True)
-    prev = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", prev)
+    executor loss, unlike a local checkpoint."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
