@@ -21,5 +21,6 @@ def test_query_matches_oracle(spark, sf_small, con, key):
 
 
 def test_every_key_has_oracle_or_is_model():
-    model_keys = {"geo_clusters", "crossfit_gbt", "bagged_fit", "ens_stack", "score_stack", "feature_importance"}
+    model_keys = {"geo_clusters", "crossfit_gbt", "bagged_fit", "ens_stack", "score_stack", "feature_importance",
+                  "target_encode_cluster", "backtest_gbt", "first_stage"}
     assert set(QUERIES) - set(ORACLE) == model_keys

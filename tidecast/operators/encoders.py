@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidecast.functions.scalars import area_token, fold_of
+from tidecast.session import cut_lineage
 
 
 def store_dim(stores: DataFrame) -> DataFrame:
@@ -28,11 +29,17 @@ def store_dim(stores: DataFrame) -> DataFrame:
 
 
 def level_codes(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
-    """(level, code) with codes 0..n-1 in sorted level order. Only the
-    distinct levels are ranked (one small window over the category domain)."""
+    """(level, code) with codes 0..n-1 in sorted level order. The distinct
+    levels are range-partitioned and numbered inside their partition after the
+    levels of those before, so no task holds them all."""
     out = out or f"{col}_lbl"
     levels = df.select(col).where(F.col(col).isNotNull()).distinct()
-    return levels.select(col, (F.dense_rank().over(Window.orderBy(col)) - 1).cast("long").alias(out))
+    # Sampled bounds: frozen before two branches read the partition numbers.
+    ranged = cut_lineage(levels.repartitionByRange(col).withColumn("_pid", F.spark_partition_id()))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # a row a partition
+    start = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy("_pid").orderBy(col)) - 1
+    return ranged.join(F.broadcast(start), "_pid").select(col, (F.col("_start") + place).cast("long").alias(out))
 
 
 def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
@@ -64,6 +71,26 @@ def one_hot(df: DataFrame, cols: Sequence[str], drop_first: bool = True,
     return df.withColumns(new)
 
 
+def one_hot_vectors(df: DataFrame, cols: Sequence[str], drop_first: bool = True, suffix: str = "_vec") -> DataFrame:
+    """M2 / M2x on open categories: a sparse vector ``<col>_vec`` for each
+    column, with a place for each sorted level (but the first, unless
+    ``drop_first=False``), however many there are. Nothing but the number of
+    levels reaches the driver. Nulls, and the dropped level, are all zeros."""
+    from pyspark.ml.feature import OneHotEncoder
+    out, n = df, {}
+    for c in cols:
+        codes = cut_lineage(level_codes(df, c, f"_{c}_code"))
+        n[c] = max(codes.count(), 1)
+        out = out.join(codes, c, "left")
+    # The encoder drops the last place: move the first level, or nulls, there.
+    places = {c: n[c] if drop_first else n[c] + 1 for c in cols}
+    code = {c: F.coalesce(F.col(f"_{c}_code"), F.lit(0 if drop_first else n[c])) for c in cols}
+    out = out.withColumns({f"_{c}_place": (F.pmod(code[c] - 1, F.lit(places[c])) if drop_first else code[c]).cast("double") for c in cols})
+    sizes = df.sparkSession.createDataFrame([tuple(float(places[c] - 1) for c in cols)], ", ".join(f"`_{c}_place` double" for c in cols))
+    model = OneHotEncoder(inputCols=[f"_{c}_place" for c in cols], outputCols=[f"{c}{suffix}" for c in cols], dropLast=True).fit(sizes)
+    return model.transform(out).drop(*[f"_{c}_{x}" for c in cols for x in ("code", "place")])
+
+
 def geo_clusters(df: DataFrame, cols: Sequence[str] = ("latitude", "longitude"), k: int = 12,
                  seed: int = 0, out: str = "cluster") -> DataFrame:
     """M3: k-means label on coordinates (MLlib, distributed Lloyd steps)."""

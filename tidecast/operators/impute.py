@@ -25,14 +25,17 @@ def fill_and_count(df: DataFrame, cols: Sequence[str], fill=-1, out: str = "na_c
     return df.withColumn(out, cnt).fillna(fill, subset=list(cols))
 
 
-def column_medians(df: DataFrame, cols: Sequence[str], partitions: int | None = None) -> DataFrame:
-    """Exact medians of many columns in one distributed pass: (name, median)."""
-    cols = list(cols)
+def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(c, v, n): how often each column holds each value, nulls left out."""
     kv = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v"))
                              for c in cols])).alias("kv")
     long = df.select(kv).select("kv.c", "kv.v").where(F.col("v").isNotNull())
-    counts = long.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
-    p = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return long.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+
+
+def medians_of_counts(counts: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Exact medians (name, median) of a (c, v, n) table, whose (c, v) may repeat."""
+    p = partitions or int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Range bounds are sampled, so the partition numbers are frozen before two
     # branches read them (a checkpoint of one row per distinct value).
     ranged = cut_lineage(counts.repartitionByRange(p, "c", "v").withColumn("pid", F.spark_partition_id()))
@@ -53,16 +56,25 @@ def column_medians(df: DataFrame, cols: Sequence[str], partitions: int | None =
         .alias("median")).select(F.col("c").alias("name"), "median")
 
 
+def column_medians(df: DataFrame, cols: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """Exact medians of many columns in one distributed pass: (name, median)."""
+    return medians_of_counts(value_counts(df, cols), partitions)
+
+
+def _attach(df: DataFrame, medians: DataFrame, cols: Sequence[str], prefix: str) -> DataFrame:
+    """Medians as columns: one row, joined on a constant key with a broadcast
+    hint, a proven one-row side."""
+    row = medians.agg(*[F.max(F.when(F.col("name") == c, F.col("median"))).alias(f"{prefix}{c}") for c in cols])
+    row = row.withColumn("_one", F.lit(1))
+    return df.withColumn("_one", F.lit(1)).join(F.broadcast(row), "_one").drop("_one")
+
+
 def with_medians(df: DataFrame, cols: Sequence[str], src: DataFrame | None = None,
                  prefix: str = "_med_") -> DataFrame:
     """Attach the exact medians of ``cols`` (over ``src``, default ``df``) as
     columns ``<prefix><col>``. The medians are one row, joined on a constant
     key with a broadcast hint: a proven one-row side, computed once."""
-    src = df if src is None else src
-    med = column_medians(src, cols)
-    row = med.agg(*[F.max(F.when(F.col("name") == c, F.col("median"))).alias(f"{prefix}{c}") for c in cols])
-    row = row.withColumn("_one", F.lit(1))
-    return df.withColumn("_one", F.lit(1)).join(F.broadcast(row), "_one").drop("_one")
+    return _attach(df, column_medians(df if src is None else src, cols), cols, prefix)
 
 
 def impute_sentinel(df: DataFrame, cols: Sequence[str], sentinel=-1,
@@ -86,14 +98,17 @@ def replace_inf_zero(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def replace_inf_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """-inf -> median, then +inf -> median recomputed after that step."""
-    s1 = with_medians(df, cols)
-    s1 = s1.withColumns({c: F.when(F.col(c) == F.lit(-INF), F.col(f"_med_{c}")).otherwise(F.col(c))
-                         for c in cols}).drop(*[f"_med_{c}" for c in cols])
-    s2 = with_medians(s1, cols)
-    s2 = s2.withColumns({c: F.when(F.col(c) == F.lit(INF), F.col(f"_med_{c}")).otherwise(F.col(c))
-                         for c in cols})
-    return s2.drop(*[f"_med_{c}" for c in cols])
+    """-inf -> median, then +inf -> median recomputed after that step. The
+    rows are counted once: in the table of value counts the step moves the
+    count of -inf to the first median, and the second is read off there."""
+    counts = cut_lineage(value_counts(df, cols))
+    first = cut_lineage(medians_of_counts(counts))
+    moved = counts.join(F.broadcast(first), F.col("c") == F.col("name"))  # one row a column
+    moved = moved.select("c", F.when(F.col("v") == F.lit(-INF), F.col("median")).otherwise(F.col("v")).alias("v"), "n")
+    out = _attach(_attach(df, first, cols, "_low_"), medians_of_counts(moved), cols, "_high_")
+    out = out.withColumns({c: F.when(F.col(c) == F.lit(-INF), F.col(f"_low_{c}")).when(F.col(c) == F.lit(INF), F.col(f"_high_{c}"))
+                           .otherwise(F.col(c)) for c in cols})
+    return out.drop(*[f"{p}{c}" for p in ("_low_", "_high_") for c in cols])
 
 
 def union_train_test(train: DataFrame, test: DataFrame, label: str = "visitors") -> DataFrame:

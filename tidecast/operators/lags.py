@@ -18,8 +18,8 @@ from tidecast.operators.origins import OriginSet
 
 DAY_LAGS = (1, 3, 5, 10, 20, 30)
 WEEK_LAGS = tuple(range(1, 21))
-#: Every day lag that the reference reads: 2 to 50 days.
-ALL_DAY_LAGS = tuple(range(2, 51))
+# Every day lag that the models read, of visits and of bookings.
+ALL_DAY_LAGS = (1, 2, 3, 4, 5, 6, 10, 15, 20, 25, 30, 35, 40, 45, 50)
 
 
 def lag_names(days: Sequence[int] = (), weeks: Sequence[int] = (), prefix: str = "lag") -> dict[str, int]:

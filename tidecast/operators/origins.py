@@ -12,7 +12,7 @@ its date: no range join is needed, and fan-out is bounded by
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +31,10 @@ class OriginSet:
     flag: int | None = None  # constant segment flag; None = by horizon day
     flag_cut: int = 6
 
+    def part(self, first: int, last: int) -> "OriginSet":
+        """Origins ``first`` to ``last`` as a set of their own, numbered from 1."""
+        return replace(self, ini=self.ini - dt.timedelta(days=self.skip * (first - 1)), count=last - first + 1)
+
     def origins(self, spark: SparkSession) -> DataFrame:
         """(set, origin_id, begin, end, gap, cutoff): ``count`` rows."""
         ini = F.lit(self.ini)

@@ -24,6 +24,7 @@ DOW_FULL_WEEKS = (3, 6, 9)
 # pairs of lengths whose means they subtract.
 ALL_TRAIL_DAYS = (3, *range(7, 85, 7))
 ALL_DOW_WEEKS = tuple(range(2, 11))
+ALL_DOW_DIFFS = ((2, 4), (2, 6), (2, 8), (2, 10), (4, 6), (4, 8), (4, 10), (6, 8), (6, 10), (8, 10))
 ALL_DIFFS = ((7, 14), (7, 28), (7, 56), (7, 84), (14, 28), (14, 56), (14, 84), (28, 56), (28, 84), (56, 84))
 
 
@@ -88,3 +89,8 @@ def trailing_dow(history: DataFrame, oset: OriginSet, weeks: Sequence[int] = DOW
 def trailing_diffs(trail: DataFrame, pairs: Sequence[tuple[int, int]] = ((28, 56), (28, 84), (56, 84))) -> DataFrame:
     """Differences between trailing means."""
     return trail.withColumns({f"diff_{a}_{b}": F.col(f"mean_{a}d") - F.col(f"mean_{b}d") for a, b in pairs})
+
+
+def trailing_dow_diffs(trail: DataFrame, pairs: Sequence[tuple[int, int]] = ALL_DOW_DIFFS) -> DataFrame:
+    """P22 on weekday means."""
+    return trail.withColumns({f"diff_dow_{a}_{b}": F.col(f"mean_dow_{a}w") - F.col(f"mean_dow_{b}w") for a, b in pairs})

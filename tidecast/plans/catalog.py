@@ -22,14 +22,14 @@ from tidecast.operators import metrics as met
 from tidecast.operators import models as mdl
 from tidecast.operators import submission as sub
 from tidecast.operators.covariates import bridge_join, enrich_facts, weather_join
-from tidecast.operators.features import add_interactions, cols_like, select_features
+from tidecast.operators.features import add_interactions, cols_like, segment_filter as rows_of_segment, select_features, set_manifest
 from tidecast.operators.history import expanding, expanding_stats, with_fallback
-from tidecast.operators.lags import DAY_LAGS, WEEK_LAGS, lag_booking, lag_features, lag_names
+from tidecast.operators.lags import ALL_DAY_LAGS, DAY_LAGS, WEEK_LAGS, lag_booking, lag_features, lag_names
 from tidecast.operators.origins import TEST, TRAIN1, TRAIN2, TRAIN_ALL, assign_origin
 from tidecast.operators.target_encoding import (BASE_KEYSETS, MORE_KEYSETS, target_encode_hist,
                                                 target_encode_oof)
-from tidecast.operators.trailing import (DOW_FULL_WEEKS, DOW_WEEKS, TRAIL_DAYS, TRAIL_WEEKS_DAYS,
-                                         trailing_diffs, trailing_dow, trailing_stats)
+from tidecast.operators.trailing import (ALL_DIFFS, ALL_DOW_WEEKS, ALL_TRAIL_DAYS, DOW_FULL_WEEKS, DOW_WEEKS, TRAIL_DAYS,
+                                         TRAIL_WEEKS_DAYS, trailing_diffs, trailing_dow, trailing_dow_diffs, trailing_stats)
 from tidecast.plans.frames import Frames, finalize
 from tidecast.plans.naive import MODELS, naive_long, naive_wide
 from tidecast.session import cut_lineage
@@ -54,6 +54,8 @@ ENSEMBLE_FACTORS = {2: 1.10, 3: 1.00, 4: 1.10, 5: 1.00, 6: 1.00, 7: 1.30, 8: 1.4
                     12: 1.05, 13: 1.00, 14: 1.10, 15: 0.95, 16: 0.95, 17: 1.00}
 
 BACKTEST_SPLIT = 33
+# Fixed value: fits with seeds of their own in each fold of the stack.
+STACK_BAGS = 5
 
 
 def _fr(spark: SparkSession, sf_dir: str) -> Frames:
@@ -133,7 +135,7 @@ def segment_filter(spark, d):
 def _hist_stats(spark, d, levels, extra=()):
     fr = _fr(spark, d)
     t = fr.test_targets()
-    out = with_fallback(t.select(*KEYS3, "dow", "holiday_flg", "holiday_next1d"), fr.hist, TEST, levels)
+    out = with_fallback(t.select(*KEYS3, "dow", "holiday_flg", "holiday_next1d", "holiday_prev1d", "holiday_rev"), fr.hist, TEST, levels)
     return finalize(out.select("store_id", "visit_date", *extra, *STAT_COLS))
 
 
@@ -150,6 +152,16 @@ def hist_stats_dowhol_nb(spark, d):
                        extra=("holiday_next1d",))
 
 
+def hist_stats_dowhol_prev(spark, d):
+    return _hist_stats(spark, d, [("store_id", "dow", "holiday_prev1d"), ("store_id", "dow"), ("store_id",)],
+                       extra=("holiday_prev1d",))
+
+
+def hist_stats_dowhol_rev(spark, d):
+    return _hist_stats(spark, d, [("store_id", "dow", "holiday_rev"), ("store_id", "dow"), ("store_id",)],
+                       extra=("holiday_rev",))
+
+
 # ---- step 3: encoders, store dimension, bridge, weather ---------------------
 def store_dim(spark, d):
     s = _fr(spark, d).stores
@@ -173,6 +185,15 @@ def one_hot_full(spark, d):
     return finalize(enc.one_hot(cal, ["dow"], drop_first=False).drop("dow"))
 
 
+def one_hot_open(spark, d):
+    """Places of an open category (every order's customer) in its sparse
+    vectors: the first level is dropped, its rows have no place."""
+    orders = _fr(spark, d).fx.table("orders").select("o_orderkey", F.col("o_custkey").alias("customer"))
+    vectors = enc.one_hot_vectors(orders, ["customer"])
+    parts = F.from_json(F.to_json(F.struct("customer_vec")), "customer_vec struct<size:bigint, indices:array<bigint>>")["customer_vec"]
+    return finalize(vectors.select("o_orderkey", parts["size"].alias("size"), F.get(parts["indices"], F.lit(0)).alias("place")))
+
+
 def geo_clusters(spark, d):
     s = _fr(spark, d).fx.stores
     return finalize(enc.geo_clusters(s, k=12, seed=0).select("store_id", "cluster"))
@@ -222,6 +243,33 @@ def lag_booking_q(spark, d):
     return finalize(lag_booking(t, fr.bookings, names, oset=TRAIN_ALL).select(*KEYS3, *names))
 
 
+def lag_days_all(spark, d):
+    return _o9_lags(spark, d, lag_names(days=ALL_DAY_LAGS))
+
+
+def lag_booking_days(spark, d):
+    fr = _fr(spark, d)
+    names = lag_names(days=ALL_DAY_LAGS, prefix="lag_res")
+    t = fr.train_targets(TRAIN_ALL, decorate=False)
+    return finalize(lag_booking(t, fr.bookings, names, oset=TRAIN_ALL).select(*KEYS3, *names))
+
+
+def trailing_all(spark, d):
+    """All thirteen lengths with the ten differences of their means."""
+    return finalize(trailing_diffs(trailing_stats(_fr(spark, d).hist, TRAIN_ALL, ALL_TRAIL_DAYS), ALL_DIFFS))
+
+
+def trailing_dow_all(spark, d):
+    """All nine week lengths with the ten differences of their means."""
+    t = trailing_dow(_fr(spark, d).hist, TRAIN_ALL, ALL_DOW_WEEKS, aggs=("mean", "max", "min", "std"))
+    return finalize(trailing_dow_diffs(t))
+
+
+def booking_dow_origins(spark, d):
+    """Weekday means of bookings for every training origin, from the cube."""
+    return finalize(bk.booking_dow_cells(bk.booking_cube(_fr(spark, d).bookings, TRAIN_ALL), TRAIN_ALL))
+
+
 def trailing_stats_q(spark, d):
     return finalize(trailing_stats(_fr(spark, d).hist, TRAIN_ALL, TRAIL_DAYS))
 
@@ -280,6 +328,16 @@ def target_encode_more(spark, d):
     return _te_hist(spark, d, MORE_KEYSETS)
 
 
+def target_encode_cluster(spark, d):
+    """A13x with k-means clusters of the stores as categories."""
+    fr = _fr(spark, d)
+    of = cut_lineage(enc.geo_clusters(fr.fx.stores, k=12, seed=0).select("store_id", F.col("cluster")))
+    t = fr.test_targets(decorate=False).select("store_id", "visit_date", "dow").join(of, "store_id")
+    h = fr.hist.where(F.col("visit_date") < F.lit(INI)).join(of, "store_id")
+    keysets = {"cluster_mean": ("cluster",), "cluster_dow_mean": ("cluster", "dow")}
+    return finalize(target_encode_hist(t, h, keysets).select("store_id", "visit_date", "cluster", *keysets))
+
+
 def target_encode_oof_q(spark, d):
     fr = _fr(spark, d)
     t = fr.train_targets(TRAIN_ALL).withColumn("fold", fold_of(5, "store_id", "visit_date"))
@@ -484,6 +542,17 @@ def dataset_train2(spark, d):
     return finalize(build_dataset(_fr(spark, d), TRAIN2))
 
 
+def features_incremental(spark, d):
+    """The feature sink filled in two runs: the older origin, then what is missing."""
+    from tidecast.plans.dataset import build_dataset, refresh_features
+    from tidecast.session import shared_path
+    from tidecast.sources.sinks import read_features, write_features
+    fr, path, two = _fr(spark, d), shared_path(spark, "features"), TRAIN_ALL.part(1, 2)
+    write_features(build_dataset(fr, two.part(2, 2)).withColumn("origin_id", F.lit(2).cast("long")), path)
+    refresh_features(fr, two, path)
+    return finalize(read_features(spark, path, two.name).select(*KEYS3, "visitors", "lag_7w", "mean_50d", "dow_all_wmean"))
+
+
 def model_inputs_q(spark, d):
     _, train, test, feats = _ml_frames(spark, d)
     cols = ["is_test", "store_id", "visit_date", "y", *feats]
@@ -522,6 +591,39 @@ def crossfit_gbt(spark, d):
     return finalize(a.unionByName(b))
 
 
+def _first_stage(spark, d):
+    """Short and long set apart: each fits its own models on its own manifest
+    and predicts the test rows of its flag."""
+    from tidecast.plans.dataset import build_dataset, feature_columns, imputed_columns
+    fr = _fr(spark, d)
+    test = build_dataset(fr, TEST, test=True)
+    out = []
+    for flag, oset in ((1, TRAIN1), (2, TRAIN2)):
+        feats = set_manifest(feature_columns(), flag == 1, DAY_LAGS)
+        train, rows = model_inputs(build_dataset(fr, oset), rows_of_segment(test, flag), feats, [c for c in imputed_columns() if c in feats],
+                                   [c for c in feats if c.startswith("scale_")])
+        train = train.withColumn("fold", fold_of(5, "store_id", "visit_date"))
+        _, preds, _ = mdl.crossfit(train, rows, feats, label="y", k=5)
+        out.append(preds.select(F.lit(flag).cast("long").alias("flag"), "store_id", "visit_date", "pred"))
+    return out[0].unionByName(out[1])
+
+
+def first_stage(spark, d):
+    return finalize(_first_stage(spark, d))
+
+
+def backtest_gbt(spark, d):
+    """M7: time backtest of the boosted model, five splits side by side."""
+    _, train, _, feats = _ml_frames(spark, d)
+    return finalize(mdl.backtest_model_scores(train, feats, INI, BACKTEST_SPLIT).select("n", "n_train", "n_valid", "rmsle"))
+
+
+def backtest_gbt_rows(spark, d):
+    """Rows of each split of ``backtest_gbt``: the targets of the training origins."""
+    p = mdl.backtest_parts(_fr(spark, d).train_targets(TRAIN_ALL, decorate=False), INI, BACKTEST_SPLIT)
+    return finalize(p.groupBy("n").agg(F.count_if(F.col("part") == "train").alias("n_train"), F.count_if(F.col("part") == "valid").alias("n_valid")))
+
+
 def bagged_fit(spark, d):
     _, train, test, feats = _ml_frames(spark, d)
     return finalize(mdl.bagged_fit(train, test, feats, label="y"))
@@ -545,8 +647,9 @@ def _stacked(spark, d):
     # Each fold's fit and its predictions read these rows.
     tr = cut_lineage(tr.withColumn("fold", fold_of(4, "store_id", "visit_date")))
     te = cut_lineage(te)
-    oof, tst, _ = mdl.crossfit(tr, te, cols, label="y", k=4)
-    keys = ["store_id", "visit_date"]
+    # Predictions go back by store, date and flag.
+    keys = ["store_id", "visit_date", "flag"]
+    oof, tst, _ = mdl.crossfit(tr, te, cols, label="y", k=4, keys=keys, bags=STACK_BAGS)
     third = F.col("pred_stack") * THIRD_LAYER_ALPHA + F.col("pred_blend") * (1.0 - THIRD_LAYER_ALPHA)
     return [rows.join(p.select(*keys, F.col("pred").alias("pred_stack")), keys).withColumn("pred_3rd", third)
             for rows, p in ((tr, oof), (te, tst))]
@@ -559,6 +662,16 @@ def ens_stack(spark, d):
     return finalize(a.unionByName(te.select(F.lit("test").alias("set"), *cols)))
 
 
+def stack_rows(spark, d):
+    """Rows of the stack by set, flag and fold, and how many have a finite prediction."""
+    tr, te = _stacked(spark, d)
+    ok = lambda c: F.count_if(F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(F.col(c)) < float("inf")))
+    by = lambda rows, name, fold: (rows.withColumn("fold", fold).groupBy("flag", "fold")
+                                   .agg(F.count(F.lit(1)).alias("n_rows"), ok("pred_stack").alias("n_finite")).withColumn("set", F.lit(name)))
+    both = by(tr, "train_all", F.col("fold")).unionByName(by(te, "test", F.lit(-1).cast("long")))
+    return finalize(both.select("set", "flag", "fold", "n_rows", "n_finite"))
+
+
 def score_stack(spark, d):
     tr, _ = _stacked(spark, d)
     layers = F.explode(F.array(*[F.struct(F.lit(c).alias("layer"), F.col(c).alias("pred"))

@@ -12,6 +12,7 @@ there are: memory doesn't grow with the number of features' families.
 from __future__ import annotations
 
 from functools import reduce
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ from tidecast.operators.origins import TEST, OriginSet
 from tidecast.operators.target_encoding import BASE_KEYSETS, target_encode_hist, target_encode_oof
 from tidecast.operators.trailing import DOW_WEEKS, TRAIL_DAYS, trailing_dow, trailing_stats
 from tidecast.session import cut_lineage
+from tidecast.sources.sinks import write_features, written_origins
 from tidecast.sources.tables import AREA_L3_LEVELS, INI, WEATHER_LEVELS
 from tidecast.plans.frames import CAL_COLS, STORE_COLS, STORE_LABELS, Frames
 from tidecast.plans.partitioning import BROADCAST_MAX_ROWS, distinct_count
@@ -175,3 +177,16 @@ def build_dataset(fr: Frames, oset: OriginSet, test: bool = False, fill: bool =
     if fill:
         out = fill_and_count(out, feats)
     return out
+
+
+def refresh_features(fr: Frames, oset: OriginSet, path: str) -> list[int]:
+    """S5 + J9: compute and write the origins of the set that ``path`` does not
+    hold yet, one build per run of missing origins; the others are neither
+    computed nor touched. Returns the origins written."""
+    have = written_origins(fr.spark, path, oset.name)
+    missing = [i for i in range(1, oset.count + 1) if i not in have]
+    runs = [[i for _, i in g] for _, g in groupby(enumerate(missing), lambda x: x[1] - x[0])]
+    for run in runs:
+        df = build_dataset(fr, oset.part(run[0], run[-1]))
+        write_features(df.withColumn("origin_id", F.col("origin_id") + (run[0] - 1)), path)
+    return missing

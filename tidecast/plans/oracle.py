@@ -98,7 +98,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         h.store_id, h.visit_date, {D0} AS cutoff,
         CAST((h.visit_date - {D0}) + 1 AS BIGINT) AS horizon_day,
         CAST(CASE WHEN (h.visit_date - {D0}) + 1 <= 6 THEN 1 ELSE 2 END AS BIGINT) AS flag,
-        CAST(isodow(h.visit_date) - 1 AS BIGINT) AS dow, c.holiday_flg, c.holiday_next1d,
+        CAST(isodow(h.visit_date) - 1 AS BIGINT) AS dow, c.holiday_flg, c.holiday_next1d, c.holiday_prev1d, c.holiday_rev,
         s.genre, s.area_l1, s.area_l2, s.area_l3
         FROM horizon_ids h LEFT JOIN cal_full c ON h.visit_date = c.visit_date
         LEFT JOIN store_dim s ON h.store_id = s.store_id"""),
@@ -311,6 +311,34 @@ def _q() -> dict[str, str]:
         "(SELECT store_id, visit_date, dow, AVG(reserve_visitors) AS m, COUNT(reserve_visitors) AS c "
         "FROM kb GROUP BY 1, 2, 3) GROUP BY 1, 2", "bk", extra={"kb": known})
 
+    for flag in ("prev1d", "rev"):
+        q[f"hist_stats_dowhol_{flag[:4].rstrip('1')}"] = _hist_stats(
+            [("store_id", "dow", f"holiday_{flag}"), ("store_id", "dow"), ("store_id",)], extra_cols=(f"holiday_{flag}",))
+    days = [1, 2, 3, 4, 5, 6, 10, 15, 20, 25, 30, 35, 40, 45, 50]
+    cols, joins = _lag_sql(_lag_names(days=days))
+    q["lag_days_all"] = with_views(f"SELECT t.origin_id, t.store_id, t.visit_date, {', '.join(cols)} FROM o9 t {joins}", "o9", "hist")
+    sub = ", ".join(
+        f"(SELECT CAST(SUM(b.reserve_visitors) AS BIGINT) FROM bk b WHERE b.store_id = t.store_id "
+        f"AND b.visit_date = t.visit_date - {d} AND b.reserve_date < t.cutoff) AS lag_res_{d}d" for d in days)
+    q["lag_booking_days"] = with_views(f"SELECT t.origin_id, t.store_id, t.visit_date, {sub} FROM o9 t", "o9", "bk")
+    src, outer = _trailing_sql((3, 7, 14, 21, 28, 35, 42, 49, 56, 63, 70, 77, 84))
+    pairs = ((7, 14), (7, 28), (7, 56), (7, 84), (14, 28), (14, 56), (14, 84), (28, 56), (28, 84), (56, 84))
+    outer += [f"{r(f'mean_{a}d - mean_{b}d')} AS diff_{a}_{b}" for a, b in pairs]
+    q["trailing_all"] = with_views(f"SELECT {', '.join(outer)} FROM ({src})", "origins9", "hist")
+    src, outer = _trailing_sql([7 * w for w in (2, 3, 4, 5, 6, 7, 8, 9, 10)], keys=("store_id", "dow"),
+                               suffix=lambda d: f"{d // 7}w", scales=False, name=lambda a, s: f"{a}_dow_{s}")
+    pairs = ((2, 4), (2, 6), (2, 8), (2, 10), (4, 6), (4, 8), (4, 10), (6, 8), (6, 10), (8, 10))
+    outer += [f"{r(f'mean_dow_{a}w - mean_dow_{b}w')} AS diff_dow_{a}_{b}" for a, b in pairs]
+    q["trailing_dow_all"] = with_views(f"SELECT {', '.join(outer)} FROM ({src})", "origins9", "hist")
+    q["booking_dow_origins"] = with_views(
+        f"SELECT origin_id, store_id, dow, {r('AVG(m)')} AS party_mean_dow, {r('AVG(c)')} AS cnt_mean_dow FROM "
+        "(SELECT o.origin_id, b.store_id, b.visit_date, b.dow, AVG(b.reserve_visitors) AS m, COUNT(b.reserve_visitors) AS c "
+        "FROM bk b JOIN origins9 o ON b.reserve_date < o.cutoff GROUP BY 1, 2, 3, 4) GROUP BY 1, 2, 3", "bk", "origins9")
+    q["one_hot_open"] = (
+        "SELECT o_orderkey, (SELECT COUNT(DISTINCT o_custkey) - 1 FROM orders)::BIGINT AS size, "
+        "CASE WHEN code > 1 THEN code - 2 END::BIGINT AS place FROM "
+        "(SELECT o_orderkey, DENSE_RANK() OVER (ORDER BY o_custkey) AS code FROM orders)")
+
     # step 5
     def te_hist(keysets):
         joins, cols = [], []
@@ -402,6 +430,17 @@ def _q() -> dict[str, str]:
     q["dataset_train1"] = _dataset_sql("train1")
     q["dataset_train2"] = _dataset_sql("train2")
     q["model_inputs"] = _model_inputs_sql()
+    q["features_incremental"] = (f"SELECT origin_id, store_id, visit_date, visitors, lag_7w, mean_50d, dow_all_wmean "
+                                 f"FROM ({q['dataset_rolling']}) WHERE origin_id <= 2")
+    part = (f"CASE WHEN t.visit_date >= {D0} - CAST(33 * k.n AS INTEGER) AND t.visit_date < {D0} - CAST(33 * (k.n - 1) AS INTEGER) THEN 'valid' "
+            f"WHEN t.visit_date < {D0} - CAST(33 * k.n AS INTEGER) AND t.visit_date >= {D0} - 365 THEN 'train' END")
+    q["backtest_gbt_rows"] = with_views(
+        "SELECT CAST(n AS BIGINT) AS n, COUNT(*) FILTER (part = 'train') AS n_train, COUNT(*) FILTER (part = 'valid') AS n_valid "
+        f"FROM (SELECT k.n, {part} AS part FROM o9 t, range(1, 6) AS k(n)) WHERE part IS NOT NULL GROUP BY 1", "o9")
+    fold4 = ("CAST(('0x' || substr(md5(CAST(store_id AS VARCHAR) || '_' || CAST(visit_date AS VARCHAR)), 1, 8)) AS BIGINT) % 4")
+    q["stack_rows"] = with_views(
+        f"SELECT 'train_all' AS set, flag, {fold4} AS fold, COUNT(*) AS n_rows, COUNT(*) AS n_finite FROM o9 GROUP BY ALL "
+        "UNION ALL SELECT 'test', flag, CAST(-1 AS BIGINT), COUNT(*), COUNT(*) FROM t39 GROUP BY ALL", "o9", "t39")
     return q
 
 

@@ -20,10 +20,13 @@ QUERIES = {
     "hist_stats_dow": c.hist_stats_dow,
     "hist_stats_dowhol": c.hist_stats_dowhol,
     "hist_stats_dowhol_nb": c.hist_stats_dowhol_nb,
+    "hist_stats_dowhol_prev": c.hist_stats_dowhol_prev,
+    "hist_stats_dowhol_rev": c.hist_stats_dowhol_rev,
     "store_dim": c.store_dim,
     "label_encode": c.label_encode,
     "one_hot": c.one_hot,
     "one_hot_full": c.one_hot_full,
+    "one_hot_open": c.one_hot_open,
     "geo_clusters": c.geo_clusters,
     "fold_assign": c.fold_assign,
     "bridge_join": c.bridge_join_q,
@@ -32,6 +35,11 @@ QUERIES = {
     "lag_daily": c.lag_daily,
     "lag_weekly": c.lag_weekly,
     "lag_booking": c.lag_booking_q,
+    "lag_days_all": c.lag_days_all,
+    "lag_booking_days": c.lag_booking_days,
+    "trailing_all": c.trailing_all,
+    "trailing_dow_all": c.trailing_dow_all,
+    "booking_dow_origins": c.booking_dow_origins,
     "trailing_stats": c.trailing_stats_q,
     "trailing_stats_weeks": c.trailing_stats_weeks,
     "trailing_diffs": c.trailing_diffs_q,
@@ -42,6 +50,7 @@ QUERIES = {
     "booking_dow": c.booking_dow_q,
     "target_encode_hist": c.target_encode_hist_q,
     "target_encode_more": c.target_encode_more,
+    "target_encode_cluster": c.target_encode_cluster,
     "target_encode_oof": c.target_encode_oof_q,
     "fill_and_count": c.fill_and_count_q,
     "union_train_test": c.union_train_test_q,
@@ -66,10 +75,15 @@ QUERIES = {
     "dataset_rolling": c.dataset_rolling,
     "dataset_train1": c.dataset_train1,
     "dataset_train2": c.dataset_train2,
+    "features_incremental": c.features_incremental,
     "model_inputs": c.model_inputs_q,
+    "backtest_gbt_rows": c.backtest_gbt_rows,
+    "backtest_gbt": c.backtest_gbt,
+    "first_stage": c.first_stage,
     "crossfit_gbt": c.crossfit_gbt,
     "bagged_fit": c.bagged_fit,
     "ens_stack": c.ens_stack,
+    "stack_rows": c.stack_rows,
     "score_stack": c.score_stack,
     "feature_importance": c.feature_importance,
 }

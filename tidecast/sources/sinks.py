@@ -10,10 +10,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_features(df: DataFrame, path: str, partition_by: Sequence[str] = ("set",),
-                   mode: str = "overwrite") -> None:
-    """One directory per set (and origin): later reads prune partitions."""
-    df.write.mode(mode).partitionBy(*partition_by).parquet(path)
+def write_features(df: DataFrame, path: str, partition_by: Sequence[str] = ("set", "origin_id")) -> None:
+    """A folder per set and origin. Only folders that ``df`` has rows for
+    are replaced, the others stay; later reads prune by them."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
+
+
+def written_origins(spark: SparkSession, path: str, set_name: str) -> set[int]:
+    """Origins of a set that the folder holds (partition folders only)."""
+    from pyspark.errors import AnalysisException
+    try:
+        have = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return set()
+        raise
+    return {r[0] for r in have.where(F.col("set") == set_name).select("origin_id").distinct().collect()}
+
+
+def read_features(spark: SparkSession, path: str, set_name: str, origins: Sequence[int] | None = None) -> DataFrame:
+    """Features of a set, of some origins only if given (pruned folders)."""
+    df = spark.read.parquet(path).where(F.col("set") == set_name)
+    return df if origins is None else df.where(F.col("origin_id").isin(*origins))
 
 
 def write_predictions(df: DataFrame, path: str, mode: str = "overwrite") -> None:
