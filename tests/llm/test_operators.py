@@ -371,3 +371,29 @@ def test_word_hashes_tell_words_apart(local):
         w = textvec.words([text.encode()])
         for h, word in zip(w.hashes.tolist(), text.encode().split()):
             assert seen.setdefault(h, word) == word
+
+
+# -- hostile pages -----------------------------------------------------------
+
+HOSTILE = {
+    "quotes": "<a " + '"' * 1_000_000, "open tags": "<a " * 330_000, "open quotes": "<a '\"" * 200_000, "scripts": "<script " * 120_000,
+    "roots": "<html " * 170_000, "deep": "<div>x" * 170_000, "stray ends": "<div>" * 100_000 + "</p>" * 120_000,
+    "links and paragraphs": "<a>" * 150_000 + "<p>" * 150_000, "long name": '<div class="' + "advert_" * 140_000 + '">x',
+    "marks": "<!" * 500_000, "values": '<a x="' * 160_000, "names": ('<div class="ad wrap">' + "word " * 15) * 10_000,
+}
+
+
+@pytest.mark.parametrize("name", HOSTILE)
+def test_hostile_pages_take_linear_time(name):
+    import time
+    before = time.process_time()
+    html_extract.main_text(HOSTILE[name])
+    assert time.process_time() - before < 15  # seconds for a megabyte; a quadratic scan takes hours
+
+
+def test_tags_without_end_leave_the_text_after_them():
+    prose = "This is the text of the page that we want to have and it is long enough to be taken for prose by all of the rules. " * 3
+    for tag in ("<a ", "<a href='x", '<p class="a" "', "<b x=1"):
+        assert prose.strip() in html_extract.main_text(f"<article><p>{prose}</p>{tag}<p>{prose}</p></article>")
+    assert html_extract.main_text(f'<article><p title="a > b">{prose}</p></article>') == prose.strip()
+    assert html_extract.main_text(f"<article><script>if (a < b) {{}}</SCRIPT ><p>{prose}</p><style>p{{}}") == prose.strip()

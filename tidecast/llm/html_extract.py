@@ -18,6 +18,8 @@ from __future__ import annotations
 
 import html as htmllib
 import re
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -43,10 +45,11 @@ MAX_LINK_DENSITY = 0.2
 MAX_ARTICLE_LINK_DENSITY = 0.8
 
 #: Elements whose content is never text of the page.
-_SKIPPED = r"script|style|noscript|template|iframe|object|svg|math|canvas|audio|video|title|select|textarea|button"
-_TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<skip>{_SKIPPED})\b[^>]*(?:/>|>.*?(?:</(?P=skip)\s*>|\Z))"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)>|<[!?/][^>]*>", re.S | re.I)
+_SKIPPED = frozenset("script style noscript template iframe object svg math canvas audio video title select textarea button".split())
+#: Elements nested deeper stay siblings of the deepest, as in browsers.
+MAX_DEPTH = 512
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_PLAIN = re.compile(r"[^>\"'<]*")
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small "
                     "span strike strong sub sup time tt u var wbr".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -54,18 +57,19 @@ _BAD_TAGS = frozenset("nav footer aside menu dialog".split())
 _FORM_TAGS = frozenset("form fieldset".split())
 _ATTRIBUTE = re.compile(r"""(?:class|id|role|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _BAD_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adv|advert\w*|banner|sponsor\w*|promo\w*|sidebars?|widgets?|menus?|nav|navbar|navigation|breadcrumbs?|footer|"
-    r"cookies?|consent|notices?|gdpr|popup|modal|newsletter|subscri\w*|share|sharing|social|related|comments?|disqus|respond|replies|reply|"
+    r"(?:^|[\s_-])(?:ads?|adv|advert[^\W_]*+|banner|sponsor[^\W_]*+|promo[^\W_]*+|sidebars?|widgets?|menus?|nav|navbar|navigation|breadcrumbs?|footer|"
+    r"cookies?|consent|notices?|gdpr|popup|modal|newsletter|subscri[^\W_]*+|share|sharing|social|related|comments?|disqus|respond|replies|reply|"
     r"login|signup|search|pagination|pager|toolbar|skip|masthead|contentinfo|complementary|site-header|page-header|form)(?:$|[\s_-])", re.I)
 #: Names that tell of a state rather than a container; names of wrappers.
 _STATE_NAME = re.compile(r"(?:has|no|not|non|with|without)[_-]", re.I)
-_WRAP_NAME = re.compile(r"(?:^|[_-])(?:wrap\w*|container|content|main|layout|page|body|site|outer|inner|columns?|grid|row)(?:$|[_-])", re.I)
+_WRAP_NAME = re.compile(r"(?:^|[_-])(?:wrap[^\W_]*+|container|content|main|layout|page|body|site|outer|inner|columns?|grid|row)(?:$|[_-])", re.I)
 #: Least characters of prose in a wrapper, and in a container whose whole name is that of boilerplate.
 WRAPPER, NAMED = LONG, 5 * LONG
 _BLANKS = re.compile(r"\s+")
 _WORD = re.compile(r"[^\W\d_]+")
 _LATIN = re.compile(r"[A-Za-zÀ-ɏḀ-ỿ]+")
-_LANGUAGE = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]+)", re.I)
+_HTML = re.compile(r"<html\b", re.I)
+_LANGUAGE = re.compile(r"\blang\s*=\s*[\"']?([a-z]+)", re.I)
 
 
 @dataclass
@@ -96,23 +100,75 @@ def _hint(name: str, rest: str) -> str | None:
 def _settle(found: list[Block], kinds: list[str], parents: list[tuple[int, ...]]) -> None:
     """Blocks of a hinted container are bad, unless the container holds the
     page's main text: a wrapper with more prose than there is beside it, or a
-    named container when there is none beside it and no article."""
-    prose = [(set(b.named), len(b.text)) for b in found if b.place != "bad" and len(b.text) >= SHORT and b.link_chars <= MAX_LINK_DENSITY * len(b.text)]
+    named container when there is none beside it and no article. Prose beside a
+    container has no name but those around the container; sums by the innermost
+    name make that linear in the blocks."""
+    own, inside, by_name = [0] * len(kinds), [0] * len(kinds), {None: 0}
+    for b in found:
+        if b.place == "bad" or len(b.text) < SHORT or b.link_chars > MAX_LINK_DENSITY * len(b.text):
+            continue
+        inmost = next((c for c in reversed(b.named) if kinds[c] == "named"), None)
+        by_name[inmost] = by_name.get(inmost, 0) + len(b.text)
+        for c in b.named:
+            own[c] += len(b.text)
+            if inmost is None or inmost < c:
+                inside[c] += len(b.text)
     has_article = any(b.place == "article" and not b.named for b in found)
     kept = set()
     for c, kind in enumerate(kinds):
-        own = sum(n for at, n in prose if c in at)
-        if own < (WRAPPER if kind == "wrapper" else NAMED):
+        if own[c] < (WRAPPER if kind == "wrapper" else NAMED):
             continue
-        around = set(parents[c])
-        beside = sum(n for at, n in prose if c not in at and all(k in around or kinds[k] == "wrapper" for k in at))
-        if own > beside if kind == "wrapper" else not beside and not has_article:
+        beside = by_name[None] + sum(by_name.get(k, 0) for k in parents[c]) - inside[c]
+        if own[c] > beside if kind == "wrapper" else not beside and not has_article:
             kept.add(c)
     for b in found:
         if not kept.issuperset(b.named):
             b.place = "bad"
 
 
+def _tag_end(page: str, at: int, last: dict[str, int]) -> tuple[int, int]:
+    """Where the attributes that start at ``at`` end, and the tag. A quote opens
+    a value after an equals sign, if it is closed somewhere; a tag without a >
+    ends before the next < or with the page."""
+    i = at
+    while True:
+        i = _PLAIN.match(page, i).end()
+        c = page[i:i + 1]
+        if c == ">":
+            return i, i + 1
+        if c in ("", "<"):
+            return i, i
+        i += 1
+        if i <= last[c] and page[max(at, i - 9):i - 1].rstrip().endswith("="):
+            i = page.index(c, i) + 1
+
+
+def _tokens(page: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """(start, end, name, is an end tag, attributes) of all markup, in one pass
+    that never looks at a character twice; the name is empty for what is no
+    element of the page (comments, scripts with their content)."""
+    last = {c: page.rfind(c) for c in "\"'>"}
+    at = page.find("<")
+    while at >= 0:
+        end, token = at + 1, None
+        if m := _NAME.match(page, at):
+            name = m.group(2).lower()
+            stop, end = _tag_end(page, m.end(), last)
+            token = ("" if name in _SKIPPED else name, bool(m.group(1)), page[m.end():stop])
+            if name in _SKIPPED and not m.group(1) and not token[2].endswith("/"):
+                close = re.compile(rf"</{name}\s*+>", re.I).search(page, end)
+                end = close.end() if close else len(page)
+        elif page.startswith("<!--", at) or page.startswith("<![CDATA[", at):
+            mark, skip = ("-->", 4) if page[at + 2] == "-" else ("]]>", 9)
+            close = page.find(mark, at + skip)
+            end, token = close + 3 if close >= 0 else len(page), ("", False, "")
+        elif page[at + 1:at + 2] in ("!", "?", "/") and at < last[">"]:
+            end, token = page.index(">", at) + 1, ("", False, "")
+        if token:
+            yield at, end, *token
+        at = page.find("<", end)
+
+
 def blocks(page: str) -> list[Block]:
     """Blocks with text, in page order; character references are decoded,
     white space is one space."""
@@ -129,23 +185,26 @@ def blocks(page: str) -> list[Block]:
             joined = _BLANKS.sub(" ", htmllib.unescape("".join(text))).strip()
             if joined:
                 _, place, named = stack[-1] if stack else ("", "open", ())
-                out.append(Block(joined, links, place, any(x[0] in ("h1", "h2", "h3", "h4", "h5", "h6") for x in stack), named))
+                out.append(Block(joined, links, place, any(opened[f"h{i}"] for i in range(1, 7)), named))
         text, links, breaks = [], 0, 0
 
-    at = 0
-    for m in _TOKEN.finditer(page):
-        if m.start() > at:
-            piece = page[at:m.start()]
+    def pop(k: int) -> None:
+        for x in stack[k:]:
+            opened[x[0]] -= 1
+        del stack[k:]
+
+    at, opened = 0, Counter()
+    for start, end, name, closing, rest in _tokens(page):
+        if start > at:
+            piece = page[at:start]
             text.append(piece)
             if any(x[0] == "a" for x in stack[-3:]):
                 links += len(piece.strip())
             if breaks and not piece.isspace():
                 breaks = 0
-        at = m.end()
-        name = m.group("name")
-        if name is None:
+        at = end
+        if not name:
             continue
-        name = name.lower()
         if name == "br":
             text.append(" ")
             breaks += 1
@@ -155,10 +214,10 @@ def blocks(page: str) -> list[Block]:
         inline = name in _INLINE
         if not inline:
             flush()
-        if m.group("end"):
-            for k in range(len(stack) - 1, -1, -1):
+        if closing:
+            for k in range(len(stack) - 1, -1, -1) if opened[name] else ():
                 if stack[k][0] == name:
-                    del stack[k:]
+                    pop(k)
                     break
                 if inline and stack[k][0] not in _INLINE:
                     break  # an inline end tag closes nothing beyond its block
@@ -167,13 +226,13 @@ def blocks(page: str) -> list[Block]:
             continue
         if not inline:  # open inline elements, paragraphs and items end here
             closes = ("li",) if name == "li" else ("p",)
-            k = len(stack)
-            while k and (stack[k - 1][0] in _INLINE or stack[k - 1][0] in closes):
+            k, first = len(stack), None
+            while opened[closes[0]] and k and (stack[k - 1][0] in _INLINE or stack[k - 1][0] in closes):
                 k -= 1
-            if any(x[0] in closes for x in stack[k:]):
-                del stack[next(i for i in range(k, len(stack)) if stack[i][0] in closes):]
+                first = k if stack[k][0] in closes else first
+            if first is not None:
+                pop(first)
         _, place, named = stack[-1] if stack else ("", "open", ())
-        rest = m.group("rest")
         if name == "main":
             place, named = "article", ()
         elif place != "bad":
@@ -187,8 +246,9 @@ def blocks(page: str) -> list[Block]:
                 parents.append(named)
                 named += (len(kinds),)
                 kinds.append(hint)
-        if not rest.endswith("/"):
+        if not rest.endswith("/") and len(stack) < MAX_DEPTH:
             stack.append((name, place, named))
+            opened[name] += 1
     if at < len(page):
         text.append(page[at:])
     flush()
@@ -298,7 +358,8 @@ def classify(found: list[Block], language: str | None = None) -> list[Block]:
 def main_text(page: str | None) -> str:
     if not page:
         return ""
-    declared = _LANGUAGE.search(page)
+    root = _HTML.search(page)
+    declared = root and _LANGUAGE.search(page[root.end():_tag_end(page, root.end(), {c: page.rfind(c) for c in "\"'"})[0]])
     return "\n".join(b.text for b in classify(blocks(page), declared and declared.group(1)) if b.label == "good")
 
 
