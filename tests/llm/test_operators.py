@@ -397,3 +397,19 @@ def test_tags_without_end_leave_the_text_after_them():
         assert prose.strip() in html_extract.main_text(f"<article><p>{prose}</p>{tag}<p>{prose}</p></article>")
     assert html_extract.main_text(f'<article><p title="a > b">{prose}</p></article>') == prose.strip()
     assert html_extract.main_text(f"<article><script>if (a < b) {{}}</SCRIPT ><p>{prose}</p><style>p{{}}") == prose.strip()
+
+
+def test_every_code_point_is_coded_as_the_library_does():
+    """Each code point inside a word, decomposed, and marks in both orders."""
+    import unicodedata
+    from tokenizers import Tokenizer
+    path = queries.vocabulary("word_bpe_49k.json")
+    library, coder = Tokenizer.from_file(path), bpe_automaton.automaton(path)
+    points = [chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    texts = ["".join(f"a{c}b " for c in points[i:i + 500]) for i in range(0, len(points), 500)]
+    loose = [unicodedata.normalize("NFD", c) for c in points if unicodedata.normalize("NFD", c) != c]
+    marks = [c for c in points if unicodedata.combining(c)]
+    texts += [" ".join(loose[i:i + 500]) for i in range(0, len(loose), 500)]
+    texts += [" ".join(f"q{c}̣ q́{c} a{c}́" for c in marks[i:i + 100]) for i in range(0, len(marks), 100)]
+    for text in texts:
+        assert coder.encode(text)[1] == " ".join(map(str, library.encode(text, add_special_tokens=False).ids)), text[:60]

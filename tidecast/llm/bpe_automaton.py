@@ -41,6 +41,50 @@ _START = -1
 _AT = -1
 #: Blanks to Python's split() but not to the pattern's \s.
 _OTHER_BLANKS = regex.compile("[\x1c-\x1f]")
+# Where the tokenizers library's Unicode tables differ from ours.
+# Marks that came after Unicode 9 (and U+11930, half of a later composition),
+# which its normaliser neither reorders nor composes.
+_LATER_MARKS = (
+    "7FD 898-89F 8CA-8D3 9FE C3C D3B-D3C EBA 1715 1ABF-1ACE 1DF6-1DFA A82C 10D24-10D27 10EAB-10EAC 10EFD-10EFF "
+    "10F46-10F50 10F82-10F85 11070 1133B 1145E 11839-1183A 11930 1193D-1193E 11943 119E0 11A34 11A47 11A99 11D42 "
+    "11D44-11D45 11D97 11F41-11F42 16FF0-16FF1 1E08F 1E130-1E136 1E2AE 1E2EC-1E2EF 1E4EC-1E4EF "
+)
+# Letters and numbers later than Unicode 16, which its pattern takes for signs.
+_LATER_LETTERS = (
+    "558 58B-58C 88F C5C CDC 208F 209D-209F A7CE-A7CF A7D2 A7D4 A7DD A7E2 A7F1 AB6C-AB6D 107BB-107BF 10940-10959 "
+    "10EC5-10EC7 10ED9-10EEE 11B0A 11DB0-11DDB 11DE0-11DE9 11DF1 1246F 12475-1247F 12550-12686 16EA0-16EB8 "
+    "16EBB-16ED3 16FF2-16FF6 187F8-187FF 18CD6-18CDA 18D09-18D20 18D80-18DF2 18E00-19191 191A0-191D2 1B123-1B128 "
+    "1B168 1D6A6 1DF1F-1DF24 1DF2B-1DF81 1DF90-1DF96 1DFCD-1DFFF 1E6C0-1E6DE 1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED "
+    "1E6F0-1E6F4 1E6FE-1E6FF 2B73A-2B73F 2B81E 2CEA2-2CEAD 323B0-33479 3D000-3FC3F"
+)
+# Capitals that it lowers and Unicode 15.1 does not have: first, last, step, distance to the small letter.
+_LATER_CAPITALS = ((0x1C89, 0x1C89, 1, 1), (0xA7CB, 0xA7CB, 1, -0xA567), (0xA7CC, 0xA7CE, 2, 1), (0xA7D2, 0xA7D4, 2, 1), (0xA7DA, 0xA7DA, 1, 1),
+                   (0xA7DC, 0xA7DC, 1, -0xA641), (0x10D50, 0x10D65, 1, 0x20), (0x16EA0, 0x16EB8, 1, 0x1B))
+
+
+def _class(ranges: str) -> str:
+    """A character class of hexadecimal ranges."""
+    ends = [r.split("-") for r in ranges.split()]
+    return "[" + "".join(f"{chr(int(e[0], 16))}-{chr(int(e[-1], 16))}" for e in ends) + "]"
+
+
+_OPAQUE = regex.compile(f"({_class(_LATER_MARKS)})")
+_SIGNS = regex.compile(_class(_LATER_LETTERS))
+_LOWERED = {c: c + by for first, last, step, by in _LATER_CAPITALS for c in range(first, last + 1, step)}
+_CAPITAL = regex.compile("[" + "".join(map(chr, _LOWERED)) + "]")
+
+
+def normalised(text: str) -> str:
+    """NFC and lower case as the library has them."""
+    if text.isascii():
+        return text.lower()
+    if _OPAQUE.search(text):
+        text = "".join(p if i % 2 else unicodedata.normalize("NFC", p) for i, p in enumerate(_OPAQUE.split(text)))
+    else:
+        text = unicodedata.normalize("NFC", text)
+    if _CAPITAL.search(text):
+        text = text.translate(_LOWERED)
+    return text.replace("Σ", "σ").lower()
 
 
 def byte_labels() -> list[str]:
@@ -64,7 +108,7 @@ class _Words(dict):
         out = self.older.get(piece)
         if out is None:
             coder = self.coder
-            parts = [piece] if piece.isalpha() else coder.pattern.findall(piece)
+            parts = [piece] if piece.isalpha() else coder.split(piece)
             if len(parts) == 1:
                 out = coder._emit(coder.tokens(parts[0].encode("utf-8")))
             else:
@@ -239,8 +283,15 @@ class BpeAutomaton:
     def _emit(self, ids: list[int]) -> tuple[str, str]:
         return " ".join([self.digits[i] for i in ids]), " ".join([self.label[i] for i in ids])
 
+    def split(self, piece: str) -> list[str]:
+        """Parts of a piece between blanks."""
+        if not _SIGNS.search(piece):
+            return self.pattern.findall(piece)
+        shown = _SIGNS.sub("\u2603", piece)  # any sign that is neither letter nor digit
+        return [piece[m.start():m.end()] for m in self.pattern.finditer(shown)]
+
     def _plain(self, text: str) -> list[tuple[str, str]]:
-        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        text = normalised(text)
         pieces = [p for p in regex.split(r"\s+", text) if p] if _OTHER_BLANKS.search(text) else text.split()
         return list(map(self.words.of, pieces))
 
