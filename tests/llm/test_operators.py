@@ -215,7 +215,7 @@ def test_language_and_toxicity_odd_rows(odd, nothing, spark):
 def test_texts_stay_without_a_language_model(odd, docs):
     kept = langid.keep_identified(odd, langid.train(odd.where("lang is null")), min_score=0.0).collect()
     assert sorted(str(r.doc_id) for r in kept) == sorted(["4", "4", "5", "None", "7", "8", "9", "10"])
-    assert len(langid.train(docs, max_languages=2)["labels"]) == 2
+    assert len(langid.train(docs, max_docs=2)["labels"]) == 2  # the bound on rows
 
 
 def test_toxicity_on_held_out(spark):
@@ -413,3 +413,20 @@ def test_every_code_point_is_coded_as_the_library_does():
     texts += [" ".join(f"q{c}̣ q́{c} a{c}́" for c in marks[i:i + 100]) for i in range(0, len(marks), 100)]
     for text in texts:
         assert coder.encode(text)[1] == " ".join(map(str, library.encode(text, add_special_tokens=False).ids)), text[:60]
+
+
+def test_texts_without_a_letter_are_undetermined(spark):
+    rows = [(i, t, None) for i, t in enumerate(["½ ² ①", "², 3²", "Ⅷ", "12 _ !", "٣", "", "²le²", "ª"])]
+    rows += [(None, f"the house of the king and the {w}", "en") for w in ("sea", "land", "sky", "sun")] * 3
+    rows += [(None, f"la maison du roi et la {w}", "fr") for w in ("mer", "terre", "lune", "nuit")] * 3
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = langid.train(docs)
+    assert sorted(model["labels"]) == ["en", "fr"]  # null ids are learned from
+    got = {r.doc_id: r.lang_pred for r in langid.tag_languages(docs.where("doc_id is not null"), model).collect()}
+    assert [got[i] == "und" for i in range(8)] == [True] * 6 + [False] * 2
+
+
+def test_many_languages_are_all_learned(spark):
+    rows = [(i, f"w{i % 260}x w{i % 260}y common w{i % 260}z", f"l{i % 260:03}") for i in range(520)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert len(langid.train(docs)["labels"]) == 260

@@ -16,23 +16,20 @@ from __future__ import annotations
 
 import itertools
 import pickle
-import re
 from collections.abc import Iterator
 
 import numpy as np
+import regex
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidecast.llm.common import paused_gc
 
 #: Labelled texts that training reads at most, spread over the languages.
 MAX_TRAIN_DOCS = 480
-#: Most languages learned.
-MAX_LANGUAGES = 200
-#: Hashed weights of affix and n-gram features, and most words in the lexicon.
+#: Hashed weights of affix and n-gram features; words met three times in the sample have one of their own.
 HASH_BITS = 16
-MAX_LEXICON = 20_000
 #: Bytes of prefixes and suffixes, with the edge mark.
 AFFIXES = (4, 5, 6)
 SEQUENCE = 96
@@ -40,7 +37,7 @@ ITERATIONS = 25
 #: Word types a worker keeps before it starts anew.
 MAX_WORDS = 300_000
 UNKNOWN = "und"
-_NO_LETTER = re.compile(r"^[\W\d_]+|[\W\d_]+$")
+_NO_LETTER = regex.compile(r"^\P{L}+|\P{L}+$")
 
 
 def word_core(word: str) -> str:
@@ -143,7 +140,7 @@ def fit(texts: list[str], langs: list[str]) -> dict:
     first = np.cumsum(lengths) - lengths
 
     counts = np.bincount(token, minlength=len(types))
-    frequent = [t for t in np.argsort(-counts, kind="stable")[:MAX_LEXICON] if counts[t] >= 3]
+    frequent = [t for t in np.argsort(-counts, kind="stable") if counts[t] >= 3]
     names = list(types)
     lexicon = {names[t]: (1 << HASH_BITS) + k for k, t in enumerate(frequent)}
     parts = features(names)
@@ -288,28 +285,24 @@ class Tagger:
         return out
 
 
-def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", max_docs: int = MAX_TRAIN_DOCS,
-          max_languages: int = MAX_LANGUAGES) -> dict:
-    """Fit on at most ``max_docs`` rows with a language and a text: as many of
-    each language where there are enough, chosen by a hash of the id. Only the
-    ``max_languages`` most frequent languages are learned; texts in others get
-    one of these. With no such row the model has no labels and predicts
-    nothing."""
+def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", max_docs: int = MAX_TRAIN_DOCS) -> dict:
+    """Fit on at most ``max_docs`` rows with a language and a text, null ids
+    included: as many of each language where there are enough, chosen by a hash
+    of the id. The bound on rows is the only one on languages: where there are
+    more languages than rows allowed, the most frequent ones have a row. With
+    no such row the model has no labels and predicts nothing."""
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    langs = [r[0] for r in rows.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(max_languages).select(lang_col).collect()]
+    rows = rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    langs = [r[0] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_docs).select("lang").collect()]
     if not langs:
         return {"labels": []}
-    # A hash limit for each language brings the candidates near the bound; the
-    # smallest hashes among them are the sample.
+    # The first rows of each language: Spark keeps that many a partition before it shuffles.
     each = max(1, max_docs // len(langs))
-    ranked = rows.select(F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("h"), F.col(id_col).alias("id"))
-    chosen = None
-    for lang in langs:
-        part = ranked.where(F.col("lang") == lang).orderBy("h", "id").limit(each)
-        chosen = part if chosen is None else chosen.union(part)
-    ids = [r[0] for r in chosen.select("id").collect()]  # at most max_docs ids
-    sample = rows.where(F.col(id_col).isin(ids)) if ids else rows
-    sample = sample.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).repartition(1).sortWithinPartitions("id", "text")
+    print_ = F.xxhash64("id", "text")
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id", "print"))
+    ranked = rows.where(F.col("lang").isin(langs)).select("lang", "id", F.xxhash64("id").alias("h"), print_.alias("print")).distinct()
+    prints = [r[0] for r in ranked.withColumn("n", first).where(F.col("n") <= each).select("print").collect()]  # at most max_docs
+    sample = rows.where(print_.isin(prints)).dropDuplicates(["id", "lang", "text"]).repartition(1).sortWithinPartitions("id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, tags = [], []
