@@ -8,7 +8,6 @@ from tidecast.functions.scalars import (  # noqa: F401
     id_date,
     id_store_key,
     lead_hours_mod24,
-    log1p_target,
     rounded,
     weekday0,
 )

@@ -20,11 +20,6 @@ def rounded(x: Column | str, digits: int = ROUND_DIGITS) -> Column:
     return F.round(_c(x).cast("double"), digits)
 
 
-def log1p_target(x: Column | str) -> Column:
-    """Log-scale target ``log(1 + x)``."""
-    return F.log1p(_c(x).cast("double"))
-
-
 def weekday0(d: Column | str) -> Column:
     """Day of week with Monday = 0 ... Sunday = 6."""
     return F.weekday(_c(d)).cast("long")

@@ -39,6 +39,16 @@ def blend(preds: DataFrame, weights: DataFrame, keys: Sequence[str] = KEYS,
         F.when(F.count(pred) == n, F.sum(F.col("weight") * F.col(pred))).alias(out))
 
 
+def blends(preds: DataFrame, weights: Mapping[str, Mapping], keys: Sequence[str] = KEYS,
+           model_col: str = "model_id", pred: str = "pred") -> DataFrame:
+    """M8a for several weightings (output name -> model -> weight) in one
+    aggregate; each is null unless all of its models have a prediction."""
+    def one(of):
+        part = lambda m: F.max(F.when(F.col(model_col) == m, F.col(pred)))
+        return sum((part(m) * float(w) for m, w in of.items()), F.lit(0.0))
+    return preds.groupBy(*keys).agg(*[one(of).alias(n) for n, of in weights.items()])
+
+
 def blend2(a: DataFrame, b: DataFrame, col_a: str, col_b: str, alpha: float = 0.7,
            keys: Sequence[str] = KEYS, out: str = "pred_3rd") -> DataFrame:
     """M8b + J12: alpha * a + (1 - alpha) * b after a left join on the keys."""

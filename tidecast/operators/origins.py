@@ -126,17 +126,3 @@ def assign_origin(facts: DataFrame, oset: OriginSet, date_col: str = "visit_date
         "horizon_day": hday,
         "flag": oset.segment_flag(hday, by_day_flag),
     })
-
-
-def explode_covering(df: DataFrame, oset: OriginSet, lookback: int | None,
-                     date_col: str = "visit_date") -> DataFrame:
-    """P4 for many origins at once: one copy of each history row per origin
-    that may see it, with ``cutoff`` and ``age = cutoff - date`` (>= 1)."""
-    first, last = oset.history_range(lookback)
-    df = df.where(F.col(date_col) <= F.lit(last))
-    if first is not None:
-        df = df.where(F.col(date_col) >= F.lit(first))
-    out = df.withColumn("origin_id", F.explode(oset.covering(F.col(date_col), lookback)))
-    cutoff = oset.cutoff_of(F.col("origin_id"))
-    return out.withColumns({"cutoff": cutoff, "age": F.datediff(cutoff, F.col(date_col))})
-

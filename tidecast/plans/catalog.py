@@ -452,10 +452,10 @@ def ens_blend(spark, d):
 
 
 def _blend3(spark, fr):
-    p = _test_preds(fr)
-    a = ens.blend(p, ens.weights_table(spark, EQUAL_WEIGHTS), out="pred_eq")
-    b = ens.blend(p, ens.weights_table(spark, BLEND_WEIGHTS))
-    return ens.blend2(a, b, "pred_eq", "pred_blend", THIRD_LAYER_ALPHA)
+    """Third layer: both blends from one aggregate over the predictions."""
+    p = ens.blends(_test_preds(fr), {"pred_eq": EQUAL_WEIGHTS, "pred_blend": BLEND_WEIGHTS})
+    return p.select("store_id", "visit_date", (F.col("pred_eq") * THIRD_LAYER_ALPHA
+                                               + F.col("pred_blend") * (1.0 - THIRD_LAYER_ALPHA)).alias("pred_3rd"))
 
 
 def ens_blend3(spark, d):
@@ -484,11 +484,9 @@ def backtest_scores(spark, d):
 
 def _submission(spark, fr):
     p = _test_preds(fr)
-    blended = ens.blend(p, ens.weights_table(spark, BLEND_WEIGHTS))
-    flags = fr.test_targets(decorate=False).select("store_id", "visit_date", "flag")
-    bf = blended.join(flags, ["store_id", "visit_date"])
-    # Short- and long-horizon predictions appended.
-    both = bf.where(F.col("flag") == 1).unionByName(bf.where(F.col("flag") == 2))
+    # Short- and long-horizon predictions appended; the flag stays a key,
+    # so both parts come from one aggregate.
+    both = ens.blends(p, {"pred_blend": BLEND_WEIGHTS}, keys=("store_id", "visit_date", "flag"))
     return sub.build_submission(fr.fx.horizon_ids, both, pred="pred_blend")
 
 

@@ -7,7 +7,6 @@ earlier falling back to 1, 3 = trailing 50-day mean. All on the log scale.
 
 from __future__ import annotations
 
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +15,7 @@ from tidecast.operators.lags import lag_features
 from tidecast.operators.origins import OriginSet
 from tidecast.operators.trailing import trailing_stats
 from tidecast.plans.frames import Frames
+from tidecast.session import cut_lineage
 
 MODELS = (1, 2, 3)
 KEYS = ["origin_id", "store_id", "visit_date"]
@@ -24,9 +24,12 @@ KEYS = ["origin_id", "store_id", "visit_date"]
 def naive_wide(fr: Frames, oset: OriginSet, targets: DataFrame) -> DataFrame:
     """(origin_id, store_id, visit_date, flag, y?, pred_1, pred_2, pred_3)."""
     base = targets.select(*KEYS, "cutoff", "dow", "flag", *(["y"] if "y" in targets.columns else []))
-    m1 = with_fallback(base.select(*KEYS, "dow"), fr.hist, oset, [("store_id", "dow"), ("store_id",)], median=False)
-    lag = lag_features(base, fr.hist, {"lag_7w": 49}, oset=oset)
-    tr = trailing_stats(fr.hist, oset, [50], scales=False, aggs=("mean",))
+    # Three forecasters read the history of each store and day: written once.
+    seen = fr.hist.where(F.col("visit_date") <= F.lit(oset.history_range(None)[1]))
+    hist = cut_lineage(seen.select("store_id", "visit_date", "y", "dow", "weight"))
+    m1 = with_fallback(base.select(*KEYS, "dow"), hist, oset, [("store_id", "dow"), ("store_id",)], median=False)
+    lag = lag_features(base, hist, {"lag_7w": 49}, oset=oset)
+    tr = trailing_stats(hist, oset, [50], scales=False, aggs=("mean",))
     w = (base.join(m1.select(*KEYS, "wmean"), KEYS, "left").join(lag, KEYS, "left")
          .join(tr, ["origin_id", "store_id"], "left"))
     return w.select(*KEYS, "flag", *(["y"] if "y" in base.columns else []),

@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_features(df: DataFrame, path: str, partition_by: Sequence[str] = ("set", "origin_id")) -> None:
-    """A folder per set and origin. Only folders that ``df`` has rows for
+def write_features(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> None:
+    """A folder per set and origin (as far as ``df`` has them). Only folders that ``df`` has rows for
     are replaced, the others stay; later reads prune by them."""
+    partition_by = partition_by or [c for c in ("set", "origin_id") if c in df.columns]
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(path))
 

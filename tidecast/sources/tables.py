@@ -179,8 +179,3 @@ class Fixtures:
         if cutoff is not None:
             v = v.where(F.col("visit_date") < F.lit(cutoff))
         return v.select("store_id", "visit_date", F.log1p(F.col("visitors").cast("double")).alias("y"))
-
-    def bookings_parsed(self) -> DataFrame:
-        from tidecast.operators.bookings import parse_bookings
-        return parse_bookings(self.bookings)
-
