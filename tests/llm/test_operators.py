@@ -430,3 +430,41 @@ def test_many_languages_are_all_learned(spark):
     rows = [(i, f"w{i % 260}x w{i % 260}y common w{i % 260}z", f"l{i % 260:03}") for i in range(520)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
     assert len(langid.train(docs)["labels"]) == 260
+
+
+# -- quality rules of other scripts, wrapped lines, phrases ------------------
+
+def quality_cases():
+    hindi = "यह एक अच्छा और साफ़ पाठ है जिसमें कई शब्द हैं।\n" * 1 + "दूसरा वाक्य भी साफ़ है और उसमें भी कई शब्द हैं जो पढ़े जा सकते हैं।\nतीसरी पंक्ति भी यहाँ है।"
+    chinese = "\n".join(f"这是 第{i}个 很好 的 句子 它有 一些 词。" for i in range(8))
+    urdu = "\n".join(f"یہ ایک صاف جملہ {i} ہے جو{i} پڑھا جا{i} سکتا ہے۔" for i in range(6))
+    wrapped = ("The first sentence of this text was wrapped by hand\nin the middle of its words, as old mail programs did\n"
+               "with everything that was longer than the screen. The\nsecond one goes on like that and then comes to an end.")
+    phrase = "This page is about rivers and lakes in the far north of the country, and about the people there. Click here to read. " \
+             "The water is cold in spring and the ice goes late in most years, as everybody knows well."
+    menu = "\n".join(["home about contact imprint help", "shop cart order login profile", "news sport weather travel food"] * 3)
+    return {"hindi": (hindi, True), "chinese": (chinese, True), "urdu": (urdu, True), "wrapped": (wrapped, True), "phrase": (phrase, True),
+            "menu": (menu, False), "code": ("\n".join(f"function f{i}() {{ return x{i} ; }} end of code line" for i in range(9)), False),
+            "null": (None, False), "empty": ("", False), "blanks": (" \n\t\n", False)}
+
+
+def test_quality_keeps_clean_prose_of_any_script(spark):
+    import duckdb
+    import pyarrow as pa
+    cases = quality_cases()
+    rng = random.Random(8)
+    lines = [line for text, _ in cases.values() if text for line in text.split("\n")] + ["", "  ", "Ends here.", "goes on", "{x}", "lorem ipsum.", "A. javascript b. C!"]
+    texts = [t for t, _ in cases.values()] + ["\n".join(rng.choice(lines) for _ in range(rng.randrange(1, 12))) for _ in range(150)]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted(map(tuple, quality_lines.quality_verdicts(docs).collect()))
+    assert {name: got[i][-1] for i, name in enumerate(cases)} == {name: kept for name, (_, kept) in cases.items()}
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": [r[0] for r in rows], "text": pa.array(texts, pa.string())}))
+    cols = [f.split()[0] for f in quality_lines.SCHEMA.split(", ")]
+    assert got == sorted(con.execute(f"SELECT {', '.join(cols)} FROM ({queries.SQL['op8_quality']})").fetchall())
+
+
+def test_a_phrase_costs_its_sentence_only():
+    text, words, lost, _ = quality_lines.clean("Good words here. Click here now. More good words.\nread more.")
+    assert (words, lost) == (11, 5) and text == "Good words here. More good words."

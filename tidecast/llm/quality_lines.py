@@ -1,9 +1,12 @@
 """Line-first quality rules.
 
 Each line is judged by itself: terminal punctuation, navigation separators,
-boilerplate (symbols, shouting, known phrases). Failing lines are removed,
-then documents that lost too much of their text are rejected, as are those
-that fail the base rules on length and repetition.
+boilerplate (symbols, shouting, known phrases). Wrapped lines count as one for
+punctuation: a line of five words or more that has no end mark and is followed
+by a line that starts with a small letter goes on there. A known phrase costs
+its sentence. Failing lines and sentences are removed, then documents that
+lost too much of their text are rejected, as are those that fail the base
+rules on length and repetition.
 
 Rows are independent: no shuffle; memory is bounded by one Arrow batch.
 """
@@ -29,8 +32,13 @@ MAX_LOST_PCT = 50
 MAX_SEPARATOR_PCT = 10
 MAX_SYMBOL_PCT = 30
 MAX_SHOUT_PCT = 50
-ENDS = re.compile(r"""[.!?…:;"')\]»”][\x20\x09-\x0D]*$""")
-SENTENCE = re.compile(r"[.!?][\x20\x09-\x0D]")
+WRAPPED_WORDS = 5
+#: Sentence marks of scripts that put no blank after them (CJK, Devanagari, Arabic).
+OWN_MARKS = "।॥。！？؟۔"
+ENDS = re.compile(rf"""[.!?…:;"')\]»”{OWN_MARKS}．；：」』】）》’][\x20\x09-\x0D]*$""")
+SENTENCE = re.compile(rf"[.!?][\x20\x09-\x0D]|[{OWN_MARKS}]")
+PIECE = re.compile(rf"[^.!?{OWN_MARKS}]+[.!?{OWN_MARKS}]*|[.!?{OWN_MARKS}]+")
+GOES_ON = re.compile(r"[\x20\x09-\x0D]*[a-zß-öø-ÿ]")
 SEPARATOR = re.compile(r"(?:^|[\x20\x09-\x0D])[|>»•·]")
 SYMBOL_WORD = re.compile(r"[#*$%&|<>][^\x20\x09-\x0D]*")
 SHOUT_WORD = re.compile(r"[A-ZÀ-ÖØ-Þ]{2}[^\x20\x09-\x0D]*")
@@ -41,33 +49,68 @@ SCHEMA = ("doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n
           "n_repeat_words bigint, n_lost_words bigint, base_failed boolean, kept boolean")
 
 
-def line_fails(line: str, n_words: int) -> str | None:
-    """The rule that a line with ``n_words`` words fails, or None."""
-    if not ENDS.search(line) and not SENTENCE.search(line):
+def line_fails(line: str, n_words: int, marked: bool | None = None) -> str | None:
+    """The rule that a line with ``n_words`` words fails as a whole, or None;
+    ``marked``: whether it, or a line that it is wrapped with, has a sentence mark."""
+    if not (has_mark(line) if marked is None else marked):
         return "punctuation"
     if 100 * len(SEPARATOR.findall(line)) > MAX_SEPARATOR_PCT * n_words:
         return "navigation"
     if (100 * len(SYMBOL_WORD.findall(line)) > MAX_SYMBOL_PCT * n_words
-            or 100 * len(SHOUT_WORD.findall(line)) > MAX_SHOUT_PCT * n_words or PHRASES.search(line)):
+            or 100 * len(SHOUT_WORD.findall(line)) > MAX_SHOUT_PCT * n_words):
         return "boilerplate"
     return None
 
 
+def has_mark(line: str) -> bool:
+    return bool(ENDS.search(line) or SENTENCE.search(line))
+
+
+def _count(text: str) -> int:
+    return len(text.encode("utf-8", "surrogatepass").split())
+
+
+def without_phrases(line: str, n_words: int) -> tuple[str, int]:
+    """The line without the sentences that hold a known phrase, and their words."""
+    if not PHRASES.search(line):
+        return line, 0
+    pieces = PIECE.findall(line)
+    hit = [bool(PHRASES.search(p)) for p in pieces]
+    return "".join(p for p, h in zip(pieces, hit) if not h), min(n_words, sum(_count(p) for p, h in zip(pieces, hit) if h))
+
+
+def _marked(lines: list[str], counts: list[int]) -> list[bool]:
+    """Whether each line, with those it is wrapped with, has a sentence mark."""
+    out = [n > 0 and has_mark(line) for line, n in zip(lines, counts)]
+    first = 0  # of the wrapped lines so far
+    for i, (line, n) in enumerate(zip(lines, counts)):
+        if n >= WRAPPED_WORDS and i + 1 < len(lines) and counts[i + 1] and GOES_ON.match(lines[i + 1]) and not ENDS.search(line):
+            continue
+        if i > first:
+            out[first:i + 1] = [any(out[first:i + 1])] * (i + 1 - first)
+        first = i + 1
+    return out
+
+
 def clean(text: str | None) -> tuple[str, int, int, int]:
-    """Text without failing lines, its words, the words of removed lines, and
-    the number of lines with a word that equal an earlier line."""
+    """Text without failing lines and sentences, its words, the words removed,
+    and the number of lines with a word that equal an earlier line."""
     good, words, lost, copies, seen = [], 0, 0, 0, set()
-    for line in (text or "").split("\n"):
-        n = len(line.encode("utf-8", "surrogatepass").split())
+    lines = (text or "").split("\n")
+    counts = [_count(line) for line in lines]
+    for line, n, marked in zip(lines, counts, _marked(lines, counts)):
         if not n:
             good.append(line)
             continue
         words += n
         copies += line in seen
         seen.add(line)
-        if line_fails(line, n):
+        if line_fails(line, n, marked):
             lost += n
-        else:
+            continue
+        line, gone = without_phrases(line, n)
+        lost += gone
+        if gone < n:
             good.append(line)
     return "\n".join(good), words, lost, copies
 

@@ -106,15 +106,26 @@ FROM n JOIN g USING (norm)
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
 l0 AS (SELECT rid, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM d),
 l AS (SELECT rid, line, pos, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n FROM l0),
+w0 AS (
+  SELECT *, regexp_matches(line, '[.!?…:;"'')\]»”।॥。！？؟۔．；：」』】）》’][\x20\x09-\x0D]*$') AS ended,
+    regexp_matches(line, '[.!?][\x20\x09-\x0D]|[।॥。！？؟۔]') AS inner_mark,
+    lead(n) OVER x AS next_n, lead(line) OVER x AS next_line
+  FROM l WINDOW x AS (PARTITION BY rid ORDER BY pos)),
+w1 AS (SELECT *, n >= 5 AND NOT ended AND coalesce(next_n, 0) > 0 AND regexp_matches(coalesce(next_line, ''), '^[\x20\x09-\x0D]*[a-zß-öø-ÿ]') AS goes_on FROM w0),
+w2 AS (SELECT *, coalesce(lag(goes_on) OVER (PARTITION BY rid ORDER BY pos), false) AS follows FROM w1),
+w3 AS (SELECT *, sum(CASE WHEN follows THEN 0 ELSE 1 END) OVER (PARTITION BY rid ORDER BY pos) AS unit FROM w2),
+w4 AS (SELECT *, bool_or(n > 0 AND (ended OR inner_mark)) OVER (PARTITION BY rid, unit) AS marked FROM w3),
 judged AS (
   SELECT rid, n, row_number() OVER (PARTITION BY rid, line ORDER BY pos) > 1 AS again,
-    (NOT regexp_matches(line, '[.!?…:;"'')\]»”][\x20\x09-\x0D]*$') AND NOT regexp_matches(line, '[.!?][\x20\x09-\x0D]'))
+    NOT marked
     OR 100 * len(regexp_extract_all(line, '(?:^|[\x20\x09-\x0D])[|>»•·]')) > 10 * n
     OR 100 * len(regexp_extract_all(line, '[#*$%&|<>][^\x20\x09-\x0D]*')) > 30 * n
-    OR 100 * len(regexp_extract_all(line, '[A-ZÀ-ÖØ-Þ]{2}[^\x20\x09-\x0D]*')) > 50 * n
-    OR regexp_matches(line, '(?i)lorem ipsum|javascript|cookie policy|privacy policy|terms of use|terms of service|all rights reserved|click here|read more|sign up|log in|[{}]') AS fails
-  FROM l WHERE n > 0),
-lines AS (SELECT rid, sum(n) AS n_words, count(*) FILTER (again) AS n_dup_lines, coalesce(sum(n) FILTER (fails), 0) AS n_lost_words FROM judged GROUP BY rid),
+    OR 100 * len(regexp_extract_all(line, '[A-ZÀ-ÖØ-Þ]{2}[^\x20\x09-\x0D]*')) > 50 * n AS fails,
+    least(n, coalesce(list_sum(list_transform(
+      list_filter(regexp_extract_all(line, '[^.!?।॥。！？؟۔]+[.!?।॥。！？؟۔]*|[.!?।॥。！？؟۔]+'), lambda p: regexp_matches(p, '(?i)lorem ipsum|javascript|cookie policy|privacy policy|terms of use|terms of service|all rights reserved|click here|read more|sign up|log in|[{}]')),
+      lambda p: len(regexp_extract_all(p, '[^\x20\x09-\x0D]+')))), 0)) AS n_phrase
+  FROM w4 WHERE n > 0),
+lines AS (SELECT rid, sum(n) AS n_words, count(*) FILTER (again) AS n_dup_lines, sum(CASE WHEN fails THEN n ELSE n_phrase END)::BIGINT AS n_lost_words FROM judged GROUP BY rid),
 w AS (SELECT rid, unnest(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS word, generate_subscripts(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), 1) AS pos FROM d),
 g AS (
   SELECT rid, pos, concat_ws(' ', word, lead(word, 1) OVER x, lead(word, 2) OVER x, lead(word, 3) OVER x, lead(word, 4) OVER x, lead(word, 5) OVER x, lead(word, 6) OVER x, lead(word, 7) OVER x) AS gram,
