@@ -163,7 +163,8 @@ def build_dataset(fr: Frames, oset: OriginSet, test: bool = False, fill: bool =
     out = _unpack(out.join(origin_cells(hist, cube, oset, levels), ["origin_id", "store_id"], "left"), levels)
 
     # Weather of the target day: (region, day) table, bounded by regions x days.
-    w_bound = distinct_count(fr.stores, ["area_l1"]) * fr.cal.count()
+    lo, hi = fr.fx.span
+    w_bound = distinct_count(fr.stores, ["area_l1"]) * ((hi - lo).days + 1 if lo else 0)
     out = weather_join(out, fr.fx.weather, cols=("rainfall", "wind_max", "weather_daytime"),
                        broadcast=w_bound <= BROADCAST_MAX_ROWS)
     place = F.array_position(F.array(*map(F.lit, WEATHER_LEVELS)), F.col("weather_daytime"))

@@ -59,8 +59,9 @@ class Fixtures:
     logical subtree, which lets Spark reuse its exchange.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, ini: dt.date = INI):
+    def __init__(self, spark: SparkSession, sf_dir: str, ini: dt.date = INI, span: tuple[dt.date, dt.date] | None = None):
         self.spark = spark
+        self._span = span
         self.sf_dir = sf_dir.rstrip("/")
         self.ini = ini
 
@@ -114,14 +115,22 @@ class Fixtures:
             F.col("s_nationkey").cast("double").alias("longitude"),
         )
 
+    @cached_property
+    def span(self) -> tuple[dt.date | None, dt.date | None]:
+        """First and last fact date: given, or read once (two dates), so that
+        no plan with a calendar scans the facts for it."""
+        if self._span is None:
+            li = self.table("lineitem").agg(F.min(F.to_date("l_shipdate")).alias("lo"), F.max(F.to_date("l_shipdate")).alias("hi"))
+            self._span = tuple(li.first())
+        return self._span
+
     @cached_property
     def calendar(self) -> DataFrame:
         """(visit_date, holiday_flg) for every day from the first to the last
         fact date. Its size is bounded by the number of days, so joins
         broadcast it."""
-        bounds = self.table("lineitem").agg(F.min(F.to_date("l_shipdate")).alias("lo"),
-                                            F.max(F.to_date("l_shipdate")).alias("hi"))
-        days = bounds.select(F.explode(F.sequence("lo", "hi")).alias("visit_date"))
+        lo, hi = self.span
+        days = self.spark.range(1).select(F.explode(F.sequence(F.lit(lo).cast("date"), F.lit(hi).cast("date"))).alias("visit_date"))
         flag = F.date_format("visit_date", "MM-dd").isin(*HOLIDAY_MONTH_DAYS).cast("long")
         return days.select("visit_date", flag.alias("holiday_flg"))
 
