@@ -84,7 +84,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
     table = [(i, int(e), int(histogram[lo + 1:e + 1].sum()), max(1, -(-int(histogram[lo + 1:e + 1].sum()) // slice_rows)))
              for i, (lo, e) in enumerate(zip(low, ends))]
     number = F.lit(0)
-    size = F.lit(0)
+    size = F.lit(context)  # no bucket without rows, but the constant is divided by
     slices = F.lit(1)
     for i, e, _, s in reversed(table):  # at most ``buckets`` branches
         inside = F.col("n_tokens") <= e
