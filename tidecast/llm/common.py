@@ -71,6 +71,35 @@ def keyed_lookup(rows: DataFrame, table: DataFrame, keys: list[str], weight: str
     return both.select(*[rows[c] for c in rows.columns], *[F.when(is_hot, F.col(f"{c}__hot")).otherwise(F.col(f"{c}__cold")).alias(c) for c in rest])
 
 
+#: Slots of a sieve: at most so many rows, of two numbers each, are broadcast.
+SIEVE_SLOTS = 1 << 20
+
+
+def _slot(key: Column) -> tuple[Column, Column]:
+    """Slot of a key and the two bits that it sets there."""
+    h = F.xxhash64(key, F.lit(1))
+    one = F.lit(1).cast("bigint")
+    bit = lambda shift: F.call_function("shiftleft", one, F.pmod(F.shiftright(h, shift), F.lit(64)).cast("int"))
+    return F.pmod(F.xxhash64(key), F.lit(SIEVE_SLOTS)), bit(0).bitwiseOR(bit(6))
+
+
+def sieve(keys: DataFrame, key: Column) -> DataFrame:
+    """Blocked Bloom filter (sieve__slot, sieve__bits) of ``key`` over
+    ``keys``: never more than ``SIEVE_SLOTS`` rows, whatever the input. A full
+    sieve lets everything through, so what follows it must not rely on it."""
+    slot, bits = _slot(key)
+    return store(keys.select(slot.alias("sieve__slot"), bits.alias("sieve__bits"))
+                 .groupBy("sieve__slot").agg(F.bit_or("sieve__bits").alias("sieve__bits")), "sieve")
+
+
+def sifted(rows: DataFrame, key: Column, table: DataFrame, inside: bool = True) -> DataFrame:
+    """Rows whose key may be in the sieve (all that are, and few others), or
+    with ``inside`` false those whose key surely isn't."""
+    slot, bits = _slot(key)
+    met = (slot == F.col("sieve__slot")) & (F.col("sieve__bits").bitwiseAND(bits) == bits)
+    return rows.join(F.broadcast(table), met, "left_semi" if inside else "left_anti")
+
+
 def id_bucket(doc_id: Column, parts: int) -> Column:
     """crc32 of the decimal id modulo ``parts``; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(parts)

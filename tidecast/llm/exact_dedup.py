@@ -4,7 +4,9 @@ Every partition builds a counting quotient filter (CQF) of the 64-bit
 fingerprints of its texts, cut into blocks by their leading bits. Filters of
 one block merge losslessly, as sorted (quotient, remainder) entries whose
 counters add up. Fingerprints with a count above one are routed to byte
-verification: only their texts are grouped by their actual bytes.
+verification: their texts (and the few that a Bloom filter of those
+fingerprints can't tell from them) are grouped by their actual bytes, the
+others never leave the scan.
 
 Scale: the filters hold about 8 bytes a text, a copy met again in the same
 partition only raises a counter, and byte groups are pre-aggregated before
@@ -21,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.llm.common import normalised, store
+from tidecast.llm.common import normalised, sieve, sifted, store
 
 #: Leading fingerprint bits that name a block; a block is the unit of merging.
 BLOCK_BITS = 10
@@ -151,8 +153,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     base = docs.select(F.col(id_col).alias("doc_id"), normalised(F.col(text_col)).alias("norm"))
     keys = store(base.select("doc_id", F.xxhash64("norm").alias("fp"), F.sha2("norm", 256).alias("sha")), "fingerprints")
     repeated = repeated_fingerprints(keys)
-    groups = (base.withColumn("fp", F.xxhash64("norm")).join(repeated.select("fp"), "fp", "left_semi")
-              .groupBy("norm").agg(F.min("doc_id").alias("low"), F.count("*").alias("size"))
+    # Texts that the sieve lets through without a copy form groups of one.
+    routed = sifted(base, F.xxhash64("norm"), sieve(repeated, F.col("fp")))
+    groups = (routed.groupBy("norm").agg(F.min("doc_id").alias("low"), F.count("*").alias("size")).where("size > 1")
               .select(F.sha2("norm", 256).alias("sha"), "low", "size"))
     rows = keys.groupBy("doc_id", "sha").agg(F.count("*").alias("times"))
     joined = rows.join(groups, "sha", "left").select(
@@ -169,7 +172,9 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     gone = groups.where(~F.col("kept"))
     lost = gone.where(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(F.col("doc_id").alias("gone__id"), F.col("text_sha256").alias("gone__sha"))
     sha = F.sha2(normalised(docs[text_col]), 256)
-    left = docs.join(lost.distinct().hint("merge"), docs[id_col].eqNullSafe(F.col("gone__id")) & (sha == F.col("gone__sha")), "left_anti")
+    table = sieve(lost, F.col("gone__sha"))
+    left = sifted(docs, sha, table, inside=False).union(sifted(docs, sha, table).join(
+        lost.distinct().hint("merge"), docs[id_col].eqNullSafe(F.col("gone__id")) & (sha == F.col("gone__sha")), "left_anti"))
     if gone.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).limit(1).count():  # repeated rows of the id that stays
         left = left.withColumn("text__sha", F.sha2(normalised(F.col(text_col)), 256)).dropDuplicates([id_col, "text__sha"]).drop("text__sha")
     return left
