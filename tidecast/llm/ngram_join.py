@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidecast.llm import textvec
-from tidecast.llm.common import chunks, map_arrow, normalised, paused_gc, store
+from tidecast.llm.common import chunks, map_arrow, normalised, paused_gc, sieve, sifted, store
 
 #: Words of an n-gram and the least similarity of a link.
 NGRAM = 5
@@ -288,9 +288,11 @@ def _linked(base: DataFrame, threshold: float, recall: float, n: int, chunk: int
         return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(sets, pa.binary())], ["key", "grams"])
 
     # The ids wanted grow with the data, so their texts come by a shuffle at
-    # every size rather than by a broadcast that small inputs would allow.
+    # every size rather than by a broadcast that small inputs would allow; a
+    # sieve of bounded size keeps most other texts out of that shuffle.
     texts = base.select("doc_id", "text")
-    sets = map_arrow(texts.join(wanted.distinct().hint("merge"), "doc_id", "left_semi"), full_sets, "key binary, grams binary")
+    whole = F.col("doc_id").cast("bigint")
+    sets = map_arrow(sifted(texts, whole, sieve(wanted, whole)).join(wanted.distinct().hint("merge"), "doc_id", "left_semi"), full_sets, "key binary, grams binary")
     if by_row:  # sets that only rows without an id have
         sets = sets.union(map_arrow(texts.where(F.col("doc_id").isNull()), full_sets, "key binary, grams binary"))
     sets = sets.dropDuplicates(["key"])
@@ -347,7 +349,9 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rows = store(sigs.where(F.col("key").isNotNull()).groupBy("doc_id", "sha", "key").agg(F.count("*").alias("times")), "rows")
     stays = F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("sha") == F.col("keep.sha"))
     gone = store(rows.join(info.select("key", "keep"), "key").where(~stays).select(F.col("doc_id").alias("gone__id"), F.col("sha").alias("gone__sha")), "gone")
-    left = docs.join(gone.hint("merge"), docs[id_col].eqNullSafe(F.col("gone__id")) & (sha(docs[text_col]) == F.col("gone__sha")), "left_anti")
+    table = sieve(gone, F.col("gone__sha"))
+    left = sifted(docs, sha(docs[text_col]), table, inside=False).union(sifted(docs, sha(docs[text_col]), table).join(
+        gone.hint("merge"), docs[id_col].eqNullSafe(F.col("gone__id")) & (sha(docs[text_col]) == F.col("gone__sha")), "left_anti"))
     if rows.where("times > 1").limit(1).count():  # repeated rows, perhaps of one that stays
         blank = F.trim(normalised(F.col(text_col))) == ""
         once = left.where(~blank).withColumn("text__sha", sha(F.col(text_col))).dropDuplicates([id_col, "text__sha"]).drop("text__sha")
