@@ -4,26 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _scored(y: str, pred: str) -> Column:
+    return F.col(y).isNotNull() & F.col(pred).isNotNull()
+
+
 def rmsle(df: DataFrame, y: str = "y", pred: str = "pred", by: Sequence[str] = (),
-          count_as: str = "n") -> DataFrame:
-    """sqrt(mean((y - pred)^2)) with y and pred already log1p-scaled;
-    rows without a prediction are left out."""
-    d = df.where(F.col(pred).isNotNull() & F.col(y).isNotNull())
-    return d.groupBy(*by).agg(F.count(F.lit(1)).alias(count_as),
-                              F.sqrt(F.avg(F.pow(F.col(y) - F.col(pred), 2))).alias("rmsle"))
+          count_as: str = "n", unscored_as: str = "n_unscored") -> DataFrame:
+    """sqrt(mean((y - pred)^2)) with y and pred already log1p-scaled, over
+    the rows that have both; ``unscored_as`` counts the others, and a group of
+    only such rows has a null score."""
+    return df.groupBy(*by).agg(F.count_if(_scored(y, pred)).alias(count_as),
+                               F.count_if(~_scored(y, pred)).alias(unscored_as),
+                               F.sqrt(F.avg(F.pow(F.col(y) - F.col(pred), 2))).alias("rmsle"))
 
 
 def horizon_score(df: DataFrame, y: str = "y", pred: str = "pred", by: Sequence[str] = (),
-                  flag: str = "flag", w1: int = 6, w2: int = 33) -> DataFrame:
-    """s1, s2 per segment and total (w1*s1 + w2*s2) / (w1 + w2)."""
-    d = df.where(F.col(pred).isNotNull() & F.col(y).isNotNull())
+                  flag: str = "flag", w1: int = 6, w2: int = 33, unscored_as: str = "n_unscored") -> DataFrame:
+    """s1, s2 per segment and total (w1*s1 + w2*s2) / (w1 + w2), and the
+    rows without a value or prediction, which no score covers."""
     sq = F.pow(F.col(y) - F.col(pred), 2)
-    s = d.groupBy(*by).agg(F.sqrt(F.avg(F.when(F.col(flag) == 1, sq))).alias("s1"),
-                           F.sqrt(F.avg(F.when(F.col(flag) == 2, sq))).alias("s2"))
+    s = df.groupBy(*by).agg(F.sqrt(F.avg(F.when(F.col(flag) == 1, sq))).alias("s1"),
+                            F.sqrt(F.avg(F.when(F.col(flag) == 2, sq))).alias("s2"),
+                            F.count_if(~_scored(y, pred)).alias(unscored_as))
     return s.withColumn("total", (F.col("s1") * w1 + F.col("s2") * w2) / float(w1 + w2))
 
 

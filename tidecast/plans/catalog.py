@@ -466,20 +466,20 @@ def score_rmsle(spark, d):
     fr = _fr(spark, d)
     truth = fr.fx.history().withColumnRenamed("y", "truth")
     p = _test_preds(fr).join(truth, ["store_id", "visit_date"], "inner")
-    return finalize(met.rmsle(p, "truth", "pred", by=["model_id"]).select("model_id", "n", "rmsle"))
+    return finalize(met.rmsle(p, "truth", "pred", by=["model_id"]).select("model_id", "n", "n_unscored", "rmsle"))
 
 
 def score_horizon(spark, d):
     fr = _fr(spark, d)
     t = fr.train_targets(TRAIN_ALL, by_day_flag=True, decorate=False)
     p = naive_long(naive_wide(fr, TRAIN_ALL, t))
-    return finalize(met.horizon_score(p, "y", "pred", by=["model_id"]).select("model_id", "s1", "s2", "total"))
+    return finalize(met.horizon_score(p, "y", "pred", by=["model_id"]).select("model_id", "s1", "s2", "total", "n_unscored"))
 
 
 def backtest_scores(spark, d):
     fr = _fr(spark, d)
     s = mdl.backtest_naive_scores(fr.hist, INI, BACKTEST_SPLIT)
-    return finalize(met.mean_score(s).select("n", "rmsle", "mean_rmsle"))
+    return finalize(met.mean_score(s).select("n", "rmsle", "mean_rmsle", "n_unscored"))
 
 
 def _submission(spark, fr):
@@ -675,4 +675,4 @@ def score_stack(spark, d):
     layers = F.explode(F.array(*[F.struct(F.lit(c).alias("layer"), F.col(c).alias("pred"))
                                  for c in ("pred_blend", "pred_stack", "pred_3rd")])).alias("p")
     long = tr.select("flag", "y", layers).select("flag", "y", "p.layer", "p.pred")
-    return finalize(met.horizon_score(long, "y", "pred", by=["layer"]).select("layer", "s1", "s2", "total"))
+    return finalize(met.horizon_score(long, "y", "pred", by=["layer"]).select("layer", "s1", "s2", "total", "n_unscored"))

@@ -685,9 +685,10 @@ def _q_step8() -> dict[str, str]:
         f"SELECT store_id, visit_date, {r(f'({_blend_expr(EQUAL_WEIGHTS)}) * {a} + ({_blend_expr(BLEND_WEIGHTS)}) * {1.0 - a!r}')} "
         "AS pred_3rd FROM np", *views, extra=nt)
     q["score_rmsle"] = with_views(
-        f"SELECT CAST(p.model_id AS BIGINT) AS model_id, CAST(COUNT(*) AS BIGINT) AS n, "
+        f"SELECT CAST(p.model_id AS BIGINT) AS model_id, CAST(COUNT(p.pred) AS BIGINT) AS n, "
+        "CAST(COUNT(*) FILTER (WHERE p.pred IS NULL) AS BIGINT) AS n_unscored, "
         f"{r('SQRT(AVG(POWER(g.y - p.pred, 2)))')} AS rmsle FROM npl p JOIN hist g "
-        "ON g.store_id = p.store_id AND g.visit_date = p.visit_date WHERE p.pred IS NOT NULL GROUP BY 1",
+        "ON g.store_id = p.store_id AND g.visit_date = p.visit_date GROUP BY 1",
         *views, extra=nt)
     o9n = {
         "nl0": "SELECT o.origin_id, h.store_id, h.dow, SUM(h.weight * h.y) / SUM(h.weight) AS wm "
@@ -706,12 +707,12 @@ def _q_step8() -> dict[str, str]:
         "npl": """SELECT 1 AS model_id, flag, y, pred_1 AS pred FROM np
             UNION ALL SELECT 2, flag, y, pred_2 FROM np UNION ALL SELECT 3, flag, y, pred_3 FROM np""",
         "sc": """SELECT model_id, SQRT(AVG(POWER(y - pred, 2)) FILTER (WHERE flag = 1)) AS s1,
-            SQRT(AVG(POWER(y - pred, 2)) FILTER (WHERE flag = 2)) AS s2 FROM npl WHERE pred IS NOT NULL
-            GROUP BY model_id""",
+            SQRT(AVG(POWER(y - pred, 2)) FILTER (WHERE flag = 2)) AS s2,
+            COUNT(*) FILTER (WHERE pred IS NULL OR y IS NULL) AS n_unscored FROM npl GROUP BY model_id""",
     }
     q["score_horizon"] = with_views(
         f"SELECT CAST(model_id AS BIGINT) AS model_id, {r('s1')} AS s1, {r('s2')} AS s2, "
-        f"{r('(s1 * 6 + s2 * 33) / 39.0')} AS total FROM sc", "o9", "origins9", "hist", extra=o9n)
+        f"{r('(s1 * 6 + s2 * 33) / 39.0')} AS total, CAST(n_unscored AS BIGINT) AS n_unscored FROM sc", "o9", "origins9", "hist", extra=o9n)
     bt = {
         "p": f"""SELECT CAST(k.n AS BIGINT) AS n, h.store_id, h.dow, h.y,
             CASE WHEN h.visit_date >= {D0} - CAST(33 * k.n AS INTEGER)
@@ -719,11 +720,12 @@ def _q_step8() -> dict[str, str]:
             WHEN h.visit_date < {D0} - CAST(33 * k.n AS INTEGER) AND h.visit_date >= {D0} - 365 THEN 'train'
             END AS part FROM hist h, range(1, 6) AS k(n)""",
         "fit": "SELECT n, store_id, dow, AVG(y) AS pred FROM p WHERE part = 'train' GROUP BY 1, 2, 3",
-        "s": """SELECT v.n, SQRT(AVG(POWER(v.y - f.pred, 2))) AS rmsle FROM p v JOIN fit f
-            ON f.n = v.n AND f.store_id = v.store_id AND f.dow = v.dow WHERE v.part = 'valid' GROUP BY v.n""",
+        "s": """SELECT v.n, SQRT(AVG(POWER(v.y - f.pred, 2))) AS rmsle, COUNT(*) FILTER (WHERE f.pred IS NULL) AS n_unscored
+            FROM p v LEFT JOIN fit f ON f.n = v.n AND f.store_id = v.store_id AND f.dow = v.dow WHERE v.part = 'valid' GROUP BY v.n""",
     }
     q["backtest_scores"] = with_views(
-        f"SELECT n, {r('rmsle')} AS rmsle, {r('(SELECT AVG(rmsle) FROM s)')} AS mean_rmsle FROM s", "hist", extra=bt)
+        f"SELECT n, {r('rmsle')} AS rmsle, {r('(SELECT AVG(rmsle) FROM s)')} AS mean_rmsle, "
+        "CAST(n_unscored AS BIGINT) AS n_unscored FROM s", "hist", extra=bt)
     subm = dict(nt)
     subm["sb"] = (f"SELECT i.id, i.visit_date, EXP({_blend_expr(BLEND_WEIGHTS)}) - 1 AS visitors FROM horizon_ids i "
                   "LEFT JOIN np ON np.store_id = i.store_id AND np.visit_date = i.visit_date")
