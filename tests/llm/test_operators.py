@@ -218,6 +218,21 @@ def test_texts_stay_without_a_language_model(odd, docs):
     assert len(langid.train(docs, max_docs=2)["labels"]) == 2  # the bound on rows
 
 
+def test_toxicity_fit_is_the_least_loss():
+    rng = np.random.default_rng(3)
+    x = rng.random((60, 25)) < 0.3
+    x[7] = False  # a row without features
+    y, value, ridge = (rng.random(60) < 0.4).astype(float), rng.normal(size=25) * 2, 1e-2
+    w, bias = toxicity.solve(np.concatenate([np.flatnonzero(r) for r in x]), x.sum(axis=1), value, y, ridge)
+    dense = x * value
+    loss = lambda w, b: np.mean(np.logaddexp(0, dense @ w + b) - y * (dense @ w + b)) + ridge / 2 * (w @ w)
+    slow, at = np.zeros(25), 0.0
+    for _ in range(20_000):  # plain gradient descent on the dense matrix
+        error = 1 / (1 + np.exp(-(dense @ slow + at))) - y
+        slow, at = slow - 0.1 * (dense.T @ error / 60 + ridge * slow), at - 0.1 * error.mean()
+    assert abs(loss(w, bias) - loss(slow, at)) < 1e-5 and np.abs(w - slow).max() < 0.02
+
+
 def test_toxicity_on_held_out(spark):
     labels = spark.read.parquet(f"{SMALL}/labels.parquet")
     rows = [r for r in queries.op7_toxicity(spark, SMALL).join(labels, "doc_id").collect() if r.held_out]
