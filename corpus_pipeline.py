@@ -22,8 +22,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified (operator 1), by a model fitted
-    on this stage's labelled documents."""
-    return langid.keep_identified(docs, langid.train(docs), min_score=0.0)
+    on this stage's labelled documents. ``lang`` becomes the language found, by
+    which the last stage packs."""
+    return langid.keep_identified(docs, langid.train(docs), min_score=0.0, lang_col="lang")
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,8 +38,9 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of the documents left, in length buckets and batches (operator 2)."""
-    return packing.pack(docs)
+    """Sequences of the documents left, in length buckets and batches of one
+    language (operator 2)."""
+    return packing.pack(docs, group_col="lang")
 
 
 STAGES = [("quality", quality), ("language", language), ("exact", exact), ("near", near), ("packing", pack)]

@@ -36,6 +36,8 @@ SEQUENCE = 96
 ITERATIONS = 25
 #: Word types a worker keeps before it starts anew.
 MAX_WORDS = 300_000
+#: Characters of texts that step together; a worker's arrays follow it.
+STEP_CHARS = 1_000_000
 UNKNOWN = "und"
 _NO_LETTER = regex.compile(r"^\P{L}+|\P{L}+$")
 
@@ -257,7 +259,7 @@ class Tagger:
         lang, score, moves = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), dtype=np.int64)
         at = 0
         while at < len(order):
-            end = at + max(1, int(np.searchsorted(np.cumsum(size[order[at:]]), 4_000_000)))
+            end = at + max(1, int(np.searchsorted(np.cumsum(size[order[at:]]), STEP_CHARS)))
             rows = order[at:end]
             at = end
             marginal, lengths, real = self.marginals([texts[i] or "" for i in rows])
@@ -344,21 +346,27 @@ def tag_languages(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
-def keep_identified(docs: DataFrame, model: dict, text_col: str = "text", min_score: float = 0.5) -> DataFrame:
+def keep_identified(docs: DataFrame, model: dict, text_col: str = "text", min_score: float = 0.5, lang_col: str | None = None) -> DataFrame:
     """``docs`` with all its columns, without texts whose language is unknown
     or scores below ``min_score``. A model without labels tells nothing of a
-    text, so then only texts without a letter go."""
+    text, so then only texts without a letter go. ``lang_col``: the column that
+    takes the language found (``und`` if the model tells nothing)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
+    to = docs.columns.index(lang_col) if lang_col else None
+
+    def named(batch: pa.RecordBatch, lang: list[str]) -> pa.RecordBatch:
+        return batch if to is None else batch.set_column(to, lang_col, pa.array(lang, pa.string()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = Tagger(shared.value) if shared.value["labels"] else None
         for batch in batches:
             if tagger is None:
-                yield batch.filter(pa.array([any(map(str.isalpha, t or "")) for t in batch.column(at).to_pylist()], pa.bool_()))
+                letters = pa.array([any(map(str.isalpha, t or "")) for t in batch.column(at).to_pylist()], pa.bool_())
+                yield named(batch, [UNKNOWN] * batch.num_rows).filter(letters)
                 continue
             with paused_gc():
                 lang, score, _ = tagger.predict(batch.column(at).to_pylist())
-            yield batch.filter(pa.array([k != UNKNOWN for k in lang]) if min_score <= 0 else pa.array([k != UNKNOWN and s >= min_score for k, s in zip(lang, score)], pa.bool_()))
+            yield named(batch, lang).filter(pa.array([k != UNKNOWN for k in lang]) if min_score <= 0 else pa.array([k != UNKNOWN and s >= min_score for k, s in zip(lang, score)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

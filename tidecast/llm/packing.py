@@ -59,7 +59,8 @@ def optimal_buckets(histogram: np.ndarray, buckets: int) -> list[int]:
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None,
-         context: int = CONTEXT, buckets: int = BUCKETS, budget: int = BUDGET, slice_rows: int = SLICE) -> DataFrame:
+         context: int = CONTEXT, buckets: int = BUCKETS, budget: int = BUDGET, slice_rows: int = SLICE,
+         group_col: str | None = None) -> DataFrame:
     """One row for each sequence: doc_id, part (from 0), first_token, n_tokens,
     bucket (from 0), bucket_len (its padded length), batch_id and slot (both
     from 0 inside the bucket), batch_size (sequences of a full batch).
@@ -67,14 +68,18 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
     Every token of every row is in exactly one sequence. Null and empty texts
     (or lengths) have no sequences. Ties of ids and repeated rows each get
     their own; null ids are kept. Other columns are ignored. ``budget`` must
-    be at least ``context``."""
+    be at least ``context``. With ``group_col`` (its nulls count as ``und``),
+    given back as last column, a batch holds rows of one group, and batches are
+    numbered inside group and bucket."""
     if budget < context:
         raise ValueError("a batch must hold at least one sequence of full length")
     length = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(BLANK_RUN)) if length_col is None else F.coalesce(F.col(length_col), F.lit(0))
-    sized = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), length.cast("bigint").alias("length")).where("length > 0")
+    own = [F.coalesce(F.col(group_col).cast("string"), F.lit("und")).alias(group_col)] if group_col else []
+    group = [group_col] if group_col else []
+    sized = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), length.cast("bigint").alias("length"), *own).where("length > 0")
     last = F.col("length") - F.lit(context) * F.col("part")
     pieces = (sized.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("length") - 1) / context).cast("bigint"))))
-              .select("doc_id", F.col("part").cast("int").alias("part"), (F.col("part") * context).alias("first_token"), F.least(F.lit(context).cast("bigint"), last).alias("n_tokens")))
+              .select("doc_id", F.col("part").cast("int").alias("part"), (F.col("part") * context).alias("first_token"), F.least(F.lit(context).cast("bigint"), last).alias("n_tokens"), *group))
     pieces = store(pieces, "pieces")
     histogram = np.zeros(context + 1, dtype=np.int64)
     for r in pieces.groupBy("n_tokens").count().collect():  # at most ``context`` rows
@@ -93,10 +98,10 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
         slices = F.when(inside, F.lit(s)).otherwise(slices)
     placed = pieces.select("*", number.alias("bucket"), size.alias("bucket_len"),
                            F.pmod(F.xxhash64("doc_id", "part"), slices).cast("int").alias("slice"))
-    before = (placed.groupBy("bucket", "slice").agg(F.count("*").alias("rows"))
-              .select("bucket", "slice", (F.sum("rows").over(W.partitionBy("bucket").orderBy("slice")) - F.col("rows")).alias("shift")))
-    rank = F.row_number().over(W.partitionBy("bucket", "slice").orderBy("doc_id", "part", "n_tokens")) - 1
-    at = placed.withColumn("rank", rank).join(before, ["bucket", "slice"]).withColumn("at", F.col("rank") + F.col("shift"))
+    before = (placed.groupBy(*group, "bucket", "slice").agg(F.count("*").alias("rows"))
+              .select(*group, "bucket", "slice", (F.sum("rows").over(W.partitionBy(*group, "bucket").orderBy("slice")) - F.col("rows")).alias("shift")))
+    rank = F.row_number().over(W.partitionBy(*group, "bucket", "slice").orderBy("doc_id", "part", "n_tokens")) - 1
+    at = placed.withColumn("rank", rank).join(before, [*group, "bucket", "slice"]).withColumn("at", F.col("rank") + F.col("shift"))
     per = F.floor(F.lit(budget) / F.col("bucket_len")).cast("bigint")
     return at.select("doc_id", "part", "first_token", "n_tokens", "bucket", "bucket_len",
-                     F.floor(F.col("at") / per).cast("bigint").alias("batch_id"), (F.col("at") % per).cast("int").alias("slot"), per.cast("int").alias("batch_size"))
+                     F.floor(F.col("at") / per).cast("bigint").alias("batch_id"), (F.col("at") % per).cast("int").alias("slot"), per.cast("int").alias("batch_size"), *group)
