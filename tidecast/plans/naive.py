@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidecast.operators.history import with_fallback
+from tidecast.operators.history import by_store, with_fallback
 from tidecast.operators.lags import lag_features
 from tidecast.operators.origins import OriginSet
 from tidecast.operators.trailing import trailing_stats
@@ -27,10 +27,11 @@ def naive_wide(fr: Frames, oset: OriginSet, targets: DataFrame) -> DataFrame:
     # Three forecasters read the history of each store and day: written once.
     seen = fr.hist.where(F.col("visit_date") <= F.lit(oset.history_range(None)[1]))
     hist = cut_lineage(seen.select("store_id", "visit_date", "y", "dow", "weight"))
-    m1 = with_fallback(base.select(*KEYS, "dow"), hist, oset, [("store_id", "dow"), ("store_id",)], median=False)
-    lag = lag_features(base, hist, {"lag_7w": 49}, oset=oset)
-    tr = trailing_stats(hist, oset, [50], scales=False, aggs=("mean",))
-    w = (base.join(m1.select(*KEYS, "wmean"), KEYS, "left").join(lag, KEYS, "left")
+    m1 = with_fallback(base.select(*KEYS, "dow"), hist, oset, [("store_id", "dow"), ("store_id",)], median=False,
+                       partitions=fr.tasks)
+    lag = lag_features(base, hist, {"lag_7w": 49}, oset=oset, partitions=fr.tasks)
+    tr = trailing_stats(by_store(hist, fr.tasks), oset, [50], scales=False, aggs=("mean",)).repartition(fr.tasks, "origin_id", "store_id")
+    w = (base.repartition(fr.tasks, *KEYS).join(m1.select(*KEYS, "wmean"), KEYS, "left").join(lag, KEYS, "left")
          .join(tr, ["origin_id", "store_id"], "left"))
     return w.select(*KEYS, "flag", *(["y"] if "y" in base.columns else []),
                     F.col("wmean").alias("pred_1"),
