@@ -21,6 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import regex
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,7 +38,7 @@ ITERATIONS = 25
 #: Word types a worker keeps before it starts anew.
 MAX_WORDS = 300_000
 #: Characters of texts that step together; a worker's arrays follow it.
-STEP_CHARS = 1_000_000
+STEP_CHARS = 500_000
 UNKNOWN = "und"
 _NO_LETTER = regex.compile(r"^\P{L}+|\P{L}+$")
 
@@ -252,9 +253,11 @@ class Tagger:
         token = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
         return forward_backward(self.emit[token], self.moves, self.start, lengths), lengths, token > 0
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """Language, score and number of language changes of each text."""
-        size = np.array([len(t or "") for t in texts])
+    def predict(self, texts: list[str | None] | pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language, score and number of language changes of each text. Of an
+        Arrow array, only the texts that step together become Python strings."""
+        column = isinstance(texts, pa.Array)
+        size = pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64) if column else np.array([len(t or "") for t in texts])
         order = np.argsort(-size, kind="stable")  # texts of like length step together
         lang, score, moves = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), dtype=np.int64)
         at = 0
@@ -262,7 +265,8 @@ class Tagger:
             end = at + max(1, int(np.searchsorted(np.cumsum(size[order[at:]]), STEP_CHARS)))
             rows = order[at:end]
             at = end
-            marginal, lengths, real = self.marginals([texts[i] or "" for i in rows])
+            some = texts.take(pa.array(rows)).to_pylist() if column else [texts[i] for i in rows]
+            marginal, lengths, real = self.marginals([t or "" for t in some])
             doc = np.repeat(np.arange(len(rows)), lengths)[real]
             best = marginal.argmax(axis=1)[real]
             total = np.bincount(doc, minlength=len(rows))
@@ -335,12 +339,12 @@ def tag_languages(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = Tagger(shared.value) if shared.value["labels"] else None
         for batch in batches:
-            texts = batch.column(1).to_pylist()
+            n = batch.num_rows
             with paused_gc():
-                lang, score, moves = tagger.predict(texts) if tagger else ([UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), dtype=np.int64))
+                lang, score, moves = tagger.predict(batch.column(1)) if tagger else ([UNKNOWN] * n, np.zeros(n), np.zeros(n, dtype=np.int64))
                 arrays = [batch.column(0).cast(pa.int64()), pa.array(lang, pa.string()), pa.array(score), pa.array(moves)]
                 if with_spans:
-                    arrays.append(pa.array([[dict(zip(("first_word", "end_word", "lang"), s)) for s in tagger.spans(t or "")] if tagger else [] for t in texts], span))
+                    arrays.append(pa.array([[dict(zip(("first_word", "end_word", "lang"), s)) for s in tagger.spans(t or "")] if tagger else [] for t in batch.column(1).to_pylist()], span))
             yield pa.RecordBatch.from_arrays(arrays, [f.split()[0] for f in schema.split(", ")[: len(arrays)]])
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
@@ -366,7 +370,7 @@ def keep_identified(docs: DataFrame, model: dict, text_col: str = "text", min_sc
                 yield named(batch, [UNKNOWN] * batch.num_rows).filter(letters)
                 continue
             with paused_gc():
-                lang, score, _ = tagger.predict(batch.column(at).to_pylist())
+                lang, score, _ = tagger.predict(batch.column(at))
             yield named(batch, lang).filter(pa.array([k != UNKNOWN for k in lang]) if min_score <= 0 else pa.array([k != UNKNOWN and s >= min_score for k, s in zip(lang, score)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
