@@ -15,7 +15,7 @@ from tidecast.operators.lags import lag_features
 from tidecast.operators.origins import OriginSet
 from tidecast.operators.trailing import trailing_stats
 from tidecast.plans.frames import Frames
-from tidecast.session import cut_lineage
+from tidecast.session import stored
 
 MODELS = (1, 2, 3)
 KEYS = ["origin_id", "store_id", "visit_date"]
@@ -26,7 +26,7 @@ def naive_wide(fr: Frames, oset: OriginSet, targets: DataFrame) -> DataFrame:
     base = targets.select(*KEYS, "cutoff", "dow", "flag", *(["y"] if "y" in targets.columns else []))
     # Three forecasters read the history of each store and day: written once.
     seen = fr.hist.where(F.col("visit_date") <= F.lit(oset.history_range(None)[1]))
-    hist = cut_lineage(seen.select("store_id", "visit_date", "y", "dow", "weight"))
+    hist = stored(seen.select("store_id", "visit_date", "y", "dow", "weight"), "history")
     m1 = with_fallback(base.select(*KEYS, "dow"), hist, oset, [("store_id", "dow"), ("store_id",)], median=False,
                        partitions=fr.tasks)
     lag = lag_features(base, hist, {"lag_7w": 49}, oset=oset, partitions=fr.tasks)
