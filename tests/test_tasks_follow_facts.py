@@ -39,3 +39,41 @@ def test_train_and_test_rows_are_written_apart(spark, monkeypatch):
     assert len(tags) == 2
     assert sorted(map(tuple, tr.collect())) == [(0, 1, day, 1.5, 7.0, 0.0), (0, 2, day, 2.5, 5.0, 2.0)]
     assert sorted(map(tuple, te.collect())) == [(1, 1, day, None, 7.0, -1.0), (1, 2, day, None, 9.0, 4.0), (1, 2, day, None, 9.0, 4.0)]
+
+
+def _stores_with_visits(spark, path):
+    spark.createDataFrame([(0, "EUROPE")], "r_regionkey long, r_name string").write.parquet(f"{path}/region.parquet")
+    spark.createDataFrame([(0, "FRANCE", 0)], "n_nationkey long, n_name string, n_regionkey long").write.parquet(f"{path}/nation.parquet")
+    # Supplier 3 comes twice; 9 has no line items, and the line items of None no supplier.
+    spark.createDataFrame([(s, 0, float(s)) for s in (1, 2, 3, 3, 9)], "s_suppkey long, s_nationkey long, s_acctbal double").write.parquet(f"{path}/supplier.parquet")
+    day = lambda k: dt.datetime(2001, 7, 31) - dt.timedelta(days=k)
+    lines = [(s, 1.0 + (s * k) % 5, day(k)) for s in (1, 2, 3) for k in range(0, 1000, s)] + [(None, 2.0, day(4)), (1, 2.0, None)]
+    spark.createDataFrame(lines, "l_suppkey long, l_quantity double, l_shipdate timestamp").write.parquet(f"{path}/lineitem.parquet")
+
+
+def test_naive_rows_are_the_same_on_tasks_that_follow_the_targets(spark, tmp_path, monkeypatch):
+    from tidecast.operators.origins import TEST, TRAIN_ALL
+    from tidecast.plans.frames import Frames
+    from tidecast.plans.naive import naive_history, naive_wide
+    _stores_with_visits(spark, str(tmp_path))
+
+    def both():
+        fr = Frames(spark, str(tmp_path))
+        hist = naive_history(fr, TEST)
+        return [naive_wide(fr, TRAIN_ALL, fr.train_targets(TRAIN_ALL, by_day_flag=True, decorate=False), hist),
+                naive_wide(fr, TEST, fr.test_targets(decorate=False), hist)]
+
+    rows = lambda df: sorted(str([round(v, 9) if isinstance(v, float) else v for v in r]) for r in df.collect())
+    want = [rows(df) for df in both()]
+    fr = Frames(spark, str(tmp_path))
+    assert want[0] == rows(naive_wide(fr, TRAIN_ALL, fr.train_targets(TRAIN_ALL, by_day_flag=True, decorate=False)))
+    monkeypatch.setattr(partitioning, "FACTS_PER_TASK", 100)
+    assert Frames(spark, str(tmp_path)).tasks == 19  # 1,836 facts, a third of them targets
+    found = both()
+    assert [rows(df) for df in found] == want
+    assert found[0].rdd.getNumPartitions() == -(-len(want[0]) // 100) < 10
+
+
+def test_fewer_fits_side_by_side_on_many_rows():
+    from tidecast.operators import models as mdl
+    assert [mdl.fits_at_once(n, 3) for n in (0, 75_000, 4_500_000, 27_000_000, 10**9)] == [8, 8, 8, 2, 2]
