@@ -2,6 +2,7 @@
 with the same rows."""
 
 import datetime as dt
+from functools import reduce
 
 from tidecast.plans import partitioning
 from tidecast.sources.tables import Fixtures
@@ -74,6 +75,27 @@ def test_naive_rows_are_the_same_on_tasks_that_follow_the_targets(spark, tmp_pat
     assert found[0].rdd.getNumPartitions() == -(-len(want[0]) // 100) < 10
 
 
+def test_predictions_meet_their_rows_on_tasks_that_follow_them(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    from tidecast.operators import models as mdl
+    rows = spark.createDataFrame([(i, i % 2, float(i % 7), float(i % 7) * 0.5) for i in range(200)], "store_id long, fold long, a double, y double")
+    test = spark.createDataFrame([(i, float(i % 7)) for i in (0, 1, 2, 2)], "store_id long, a double")
+    monkeypatch.setattr(partitioning, "FACTS_PER_TASK", 25)
+    seen = []
+    monkeypatch.setattr(mdl, "side_by_side", lambda spark, jobs, *most: seen.extend(job() for job in jobs) or seen)
+    oof, tst, last = mdl.crossfit(rows, test, ["a"], keys=["store_id"], k=2, bags=3, params=dict(maxIter=2))
+    assert oof.rdd.getNumPartitions() == 8
+    assert oof.count() == 200 and last is seen[-1] and len(seen) == 6
+    # Bags 0 to 2 are the models of fold 0, and so on; a key's test rows give one.
+    whole = mdl._assemble(rows, ["a"])
+    one = lambda models, df: (reduce(lambda a, b: a.unionByName(b), [m.transform(df).select("store_id", "pred") for m in models])
+                              .groupBy("store_id").agg(F.avg("pred").alias("pred")))
+    want = one(seen[:3], whole.where("fold = 0")).unionByName(one(seen[3:], whole.where("fold = 1")))
+    near = lambda df: {r.store_id: round(r.pred, 9) for r in df.collect()}
+    assert near(oof) == near(want)
+    assert tst.count() == 3 and near(tst) == near(one(seen, mdl._assemble(test, ["a"])))
+
+
 def test_fewer_fits_side_by_side_on_many_rows():
     from tidecast.operators import models as mdl
     assert [mdl.fits_at_once(n, 3) for n in (0, 75_000, 4_500_000, 27_000_000, 10**9)] == [8, 8, 8, 2, 2]
