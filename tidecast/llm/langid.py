@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidecast.llm.common import paused_gc
+from tidecast.llm.common import paused_gc, small_batches
 
 #: Labelled texts that training reads at most, spread over the languages.
 MAX_TRAIN_DOCS = 480
@@ -355,6 +355,7 @@ def keep_identified(docs: DataFrame, model: dict, text_col: str = "text", min_sc
     or scores below ``min_score``. A model without labels tells nothing of a
     text, so then only texts without a letter go. ``lang_col``: the column that
     takes the language found (``und`` if the model tells nothing)."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
     to = docs.columns.index(lang_col) if lang_col else None

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidecast.llm import textvec
-from tidecast.llm.common import chunks, map_arrow, normalised, paused_gc, sieve, sifted, store
+from tidecast.llm.common import CHUNK_BYTES, chunks, map_arrow, normalised, paused_gc, sieve, sifted, small_batches, store
 
 #: Words of an n-gram and the least similarity of a link.
 NGRAM = 5
@@ -60,7 +60,7 @@ def gram_sets(texts: list[str | None], n: int) -> Iterator[tuple[int, int, np.nd
     """For ranges of texts: first, end, distinct sorted n-gram hashes, offsets.
     Words are lower-cased runs of characters other than the six blanks."""
     data = [(t or "").lower().encode("utf-8", "surrogatepass") for t in texts]
-    for a, b in chunks([len(t) for t in data], 1 << 20):
+    for a, b in chunks([len(t) for t in data], CHUNK_BYTES):
         grams, offsets = textvec.shingles(textvec.words(data[a:b]), n)
         parts, sizes = [], np.zeros(b - a + 1, dtype=np.int64)
         for d in range(b - a):
@@ -343,6 +343,7 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     smallest id stays. Rows are told apart by id and text, so rows of one id
     stay or go by their own texts. Null ids lose against any id; where all ids
     of a class are null, one row stays. Rows without words stay."""
+    small_batches(docs.sparkSession)
     sha = lambda text: F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), sha(F.col(text_col)).alias("sha"))
     sigs, info = _linked(base, threshold, recall, n, chunk)
