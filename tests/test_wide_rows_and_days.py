@@ -73,3 +73,33 @@ def test_bags_and_backtests_run_fewer_fits_side_by_side_on_many_rows(spark, monk
     out = mdl.bagged_fit(rows, rows.limit(20).unionByName(rows.limit(1)), ["a"], params=dict(maxIter=1))
     assert out.count() == 20 and out.where("pred is null").count() == 0
     assert seen == [2, 2]
+
+
+def test_the_sets_of_the_first_stage_run_side_by_side_unless_rows_are_many(spark, monkeypatch):
+    import threading
+
+    from tidecast.plans import catalog, dataset
+    day = dt.date(2001, 8, 1)
+    rows = spark.createDataFrame([(1, day, 1, 1.0), (2, day, 2, 2.0)], "store_id long, visit_date date, flag long, y double")
+    monkeypatch.setattr(dataset, "build_dataset", lambda fr, oset, test=False: rows)
+    monkeypatch.setattr(catalog, "model_inputs", lambda train, test, *cols: (train, test))
+    at, most, lock, meet = [0], [0], threading.Lock(), threading.Event()
+
+    def crossfit(train, test, feats, label, k):
+        with lock:
+            at[0] += 1
+            most[0] = max(most[0], at[0])
+        if at[0] == 2:
+            meet.set()
+        meet.wait(2)
+        with lock:
+            at[0] -= 1
+        return None, test.select("store_id", "visit_date", F.lit(0.5).alias("pred")), None
+
+    monkeypatch.setattr(mdl, "crossfit", crossfit)
+    want = [(1, 1, day, 0.5), (2, 2, day, 0.5)]
+    assert sorted(map(tuple, catalog.first_stage(spark, "none").collect())) == want and most == [2]
+    most[0] = 0
+    meet.clear()
+    monkeypatch.setattr(mdl, "AT_ONCE_BYTES", 1000)
+    assert sorted(map(tuple, catalog.first_stage(spark, "none").collect())) == want and most == [1]
